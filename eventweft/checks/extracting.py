@@ -12,6 +12,7 @@ from eventweft.models import orders as M
 from eventweft.operators import extract as E
 from eventweft.operators import quality as Q
 from eventweft.plans import shred as S
+from eventweft.plans.run import open_batch
 from eventweft.sources import corpus
 from eventweft.sources.corpus import damaged, order_events, part_events
 from eventweft.spec import Column, Entity, Source
@@ -248,8 +249,6 @@ def event_alias(spark, sf_dir):
 )
 def conform_schema(spark, sf_dir):
     """A column the rows lack becomes a typed NULL, one the target lacks is left out."""
-    from eventweft.plans.run import open_batch
-
     rows = open_batch(order_events(spark, sf_dir, items=False), M.ORDERS).all_rows("reference")
     target = M.REFERENCE.schema().add("note", "string")
     return E.conform(rows, target).withColumn("received_at", stamp("received_at"))
@@ -298,7 +297,8 @@ def distinct_types(spark, sf_dir):
 def route_events(spark, sf_dir):
     """One scan serves every event type of every table: each event holds the rows it yields."""
     landed = order_events(spark, sf_dir, items=False).unionByName(part_events(spark, sf_dir))
-    wide = S.shred(S.working_events(landed, M.ORDERS), M.ORDERS)
+    part = M.ORDERS.only("customer", "reference", "product")
+    wide = S.shred(S.working_events(landed, part), part)
     original = F.when(F.col("source_id") % 10 == 2, "orderModify").otherwise(F.col("event_name"))
     sizes = F.array(
         *[
@@ -322,7 +322,7 @@ def unrouted_events(spark, sf_dir):
         F.col("event_type").alias("event_name"),
         F.col("props").alias("raw"),
     )
-    away = S.turned_away(S.shred(S.working_events(stream, M.ORDERS), M.ORDERS))
+    away = open_batch(stream, M.ORDERS).turned_away()
     return away.groupBy("event_name", "reason").agg(F.count(F.lit(1)).alias("n_events"))
 
 

@@ -108,8 +108,8 @@ re AS (
 _LABEL = "CASE lower(raw_code) WHEN 'o' THEN 'Open' WHEN 'f' THEN 'Fulfilled' WHEN 'p' THEN 'Pending' ELSE raw_code END"
 STATUSES = f"""
 st AS (
-  SELECT {sql_id("o_orderkey", "strftime(at, '%Y-%m-%d %H:%M:%S')", "raw_code")} AS id, *, {_LABEL} AS code FROM (
-    SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS at, 'o' AS raw_code, source_id FROM ev WHERE kind < 3
+  SELECT {sql_id("o_orderkey", "strftime(happened, '%Y-%m-%d %H:%M:%S')", "raw_code")} AS id, *, {_LABEL} AS code FROM (
+    SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS happened, 'o' AS raw_code, source_id FROM ev WHERE kind < 3
     UNION ALL SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 2 DAY, o_orderstatus, source_id FROM ev))"""
 
 CHARGES = f"""

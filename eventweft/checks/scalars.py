@@ -147,7 +147,7 @@ def coerce_timestamp(spark, sf_dir):
 
 @query(
     "coerce_binary",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'order ' || o_orderkey || '!' ELSE 'key ' || o_orderkey END AS value FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'order' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') ELSE 'key ' || o_orderkey END AS value FROM orders""",
 )
 def coerce_binary(spark, sf_dir):
     plain = F.concat(F.lit("key "), F.col("o_orderkey").cast("string"))
@@ -155,7 +155,7 @@ def coerce_binary(spark, sf_dir):
         F.col("o_orderkey") % 3,
         F.lower(F.hex(F.encode(plain, "UTF-8"))),
         F.base64(F.encode(plain, "UTF-8")),
-        F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit("!")),
+        F.concat(F.lit("order"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")),
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", F.decode(C.coerce(text, "binary"), "UTF-8").alias("value"))
 

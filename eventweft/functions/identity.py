@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventweft.functions.bind import let
+
 # The DNS name space of RFC 4122 and the separator between key values.
 DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
 KEY_SEPARATOR = "|"
@@ -20,22 +22,20 @@ def record_hash(values: Sequence[Column], null_token: str | None = None) -> Colu
     return F.sha2(F.concat_ws(KEY_SEPARATOR, *texts), 256)
 
 
-# How the digits of a SHA-1 digest are laid out; ``~`` marks the digit that holds the variant.
-_LAYOUT = (r"^(.{8})(.{4}).(.{3})(.)(.{3})(.{12}).*$", "$1-$2-5$3-~$4$5-$6")
-_VARIANT_DIGITS = (("~[048c]", "8"), ("~[159d]", "9"), ("~[26ae]", "a"), ("~[37bf]", "b"))
-
-
 def uuid_v5(name: Column, namespace: str = DNS_NAMESPACE) -> Column:
     """Name-based UUID, equal to Python's ``uuid.uuid5``; NULL or empty text gives NULL."""
     return _named(F.nullif(name, F.lit("")), namespace)
 
 
 def _named(name: Column, namespace: str) -> Column:
-    # A chain that uses each value once, so the digest is made once also inside lambdas.
-    text = F.regexp_replace(F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8"))), *_LAYOUT)
-    for digits, to in _VARIANT_DIGITS:
-        text = F.regexp_replace(text, digits, to)
-    return text
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8")))
+
+    def laid_out(d: Column) -> Column:
+        variant = F.translate(F.substring(d, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        parts = [F.substring(d, 1, 8), F.substring(d, 9, 4), F.concat(F.lit("5"), F.substring(d, 14, 3))]
+        return F.concat_ws("-", *parts, F.concat(variant, F.substring(d, 18, 3)), F.substring(d, 21, 12))
+
+    return let(digest, lambda d: F.when(d.isNotNull(), laid_out(d)))
 
 
 def row_id(values: Sequence[Column], fallback: Column, null_token: str | None = None) -> Column:

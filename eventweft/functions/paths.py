@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventweft.functions.bind import let
+
 _STEP = re.compile(r"(\w+)(?:\[(\d*)\])?\Z")
 MISFIT = "_misfit"
 
@@ -109,23 +111,25 @@ def repaired_variant(raw: Column) -> Column:
 
 def read_variant(value: Column, kind: T.DataType) -> Column:
     """A VARIANT read into a shape: what does not fit is NULL, a lone value stands for an array of one."""
-    if isinstance(kind, T.StructType):
-        fields = [
+    if isinstance(kind, T.StringType):
+        return F.try_variant_get(value, "$", "string")
+    return let(value, lambda v: F.when(v.isNotNull() & ~F.is_variant_null(v), _read_inside(v, kind)))
+
+
+def _read_inside(v: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.ArrayType):
+        elements = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+        return F.transform(elements, lambda x: read_variant(x, kind.elementType))
+    return F.struct(
+        *[
             (
-                F.try_variant_get(value, f"$.{f.name}", "string")
+                F.try_variant_get(v, f"$.{f.name}", "string")
                 if isinstance(f.dataType, T.StringType)
-                else read_variant(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType)
+                else read_variant(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType)
             ).alias(f.name)
             for f in kind.fields
         ]
-        return F.when(value.isNotNull() & ~F.is_variant_null(value), F.struct(*fields))
-    if isinstance(kind, T.ArrayType):
-        elements = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
-        return F.when(
-            value.isNotNull() & ~F.is_variant_null(value),
-            F.transform(elements, lambda x: read_variant(x, kind.elementType)),
-        )
-    return F.try_variant_get(value, "$", "string")
+    )
 
 
 # Reading

@@ -45,15 +45,26 @@ def parent_choices(parent_ids: Column, fk: ForeignKey) -> Column:
 def pairs(left: Column, right: Column, depth: Column | None = None) -> Column:
     """Id pairs of two row arrays of one event; with a depth, only those sharing that many positions."""
 
+    def slim(rows: Column) -> Column:
+        place = lambda r: F.concat_ws(",", F.slice(r[ORD], 1, depth).cast("array<string>"))
+        return F.transform(
+            valid(rows),
+            lambda r: F.struct(
+                r["id"].alias("id"),
+                r["received_at"].alias("received_at"),
+                (F.lit(None).cast("string") if depth is None else place(r)).alias("place"),
+            ),
+        )
+
     def with_rights(a: Column, rights: Column) -> Column:
         if depth is not None:
-            rights = F.filter(rights, lambda b: F.slice(b[ORD], 1, depth) == F.slice(a[ORD], 1, depth))
+            rights = F.filter(rights, lambda b: b["place"] == a["place"])
         return F.transform(
             rights,
             lambda b: F.struct(a["id"].alias("left_id"), b["id"].alias("right_id"), b["received_at"].alias("received_at")),
         )
 
-    return let(valid(right), lambda rights: F.flatten(F.transform(valid(left), lambda a: with_rights(a, rights))))
+    return let(slim(right), lambda rights: F.flatten(F.transform(slim(left), lambda a: with_rights(a, rights))))
 
 
 def shared_depth(model: Model, link: Link, event: Column) -> Column:

@@ -19,17 +19,25 @@ VERSION_ORDER = ["received_at", "source_id"]
 
 @dataclass(frozen=True)
 class Batch:
-    """The tables of one batch, read lazily off the wide frame."""
+    """The tables of one batch, read lazily: off the staged wide frame, or straight off the events."""
 
     model: Model
-    wide: DataFrame
+    landed: DataFrame
+    staged: DataFrame | None = None
+
+    def wide(self, *names: str) -> DataFrame:
+        """The wide frame, narrowed to what the named tables rest on where it is not staged."""
+        if self.staged is not None:
+            return self.staged
+        part = self.model.only(*names) if names else self.model
+        return S.shred(S.working_events(self.landed, part), part, known=self.model.events)
 
     def all_rows(self, name: str) -> DataFrame:
         table = self.model.table(name)
         if isinstance(table, Link):
-            found = S.link_rows(self.wide, table, self.model)
+            found = S.link_rows(self.wide(name), table, self.model)
             return found.withColumn(Q.REASONS, Q.reasons(F.col, ["received_at"]))
-        return S.entity_rows(self.wide, table)
+        return S.entity_rows(self.wide(name), table)
 
     def lookup(self, name: str) -> DataFrame:
         """Sound rows as extracted, so that children can refer to rows stored long before."""
@@ -51,10 +59,12 @@ class Batch:
         return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], Q.REASONS)
 
     def turned_away(self) -> DataFrame:
-        return S.turned_away(self.wide)
+        return S.turned_away(self.wide())
 
-    def counts(self) -> DataFrame:
-        return S.counts(self.wide, self.model)
+    def counts(self, *names: str) -> DataFrame:
+        """Rows, sound and failed, per entity, of all entities or those named and their parents."""
+        part = self.model.only(*names) if names else self.model
+        return S.counts(self.wide(*names), part)
 
 
 def open_batch(landed: DataFrame, model: Model, stage: bool = False) -> Batch:
@@ -63,5 +73,5 @@ def open_batch(landed: DataFrame, model: Model, stage: bool = False) -> Batch:
     Stage when several tables are read: documents are then parsed once, and a table's job reads
     its own column of the staged files only.
     """
-    wide = S.shred(S.working_events(Q.null_guard(landed), model), model)
-    return Batch(model, staged(wide, "wide") if stage else wide)
+    batch = Batch(model, Q.null_guard(landed))
+    return Batch(model, batch.landed, staged(batch.wide(), "wide")) if stage else batch

@@ -46,18 +46,21 @@ def canonical_name(name: Column, aliases: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), name), name)
 
 
-def event_reason(model: Model) -> Column:
+def event_reason(known: Sequence[str]) -> Column:
     """Why a whole event yields no rows, or NULL."""
     return (
         F.when(F.col("doc").isNull(), F.lit("malformed document"))
         .when(F.col("event_name").isNull(), F.lit("no event type"))
-        .when(~F.col("event_name").isin(*model.events), F.lit("unknown event type"))
+        .when(~F.col("event_name").isin(*known), F.lit("unknown event type"))
     )
 
 
-def shred(events: DataFrame, model: Model) -> DataFrame:
-    """The wide frame. Tables of later levels are added after the parents they take ids from."""
-    wide = events.withColumn(BAD_EVENT, event_reason(model))
+def shred(events: DataFrame, model: Model, known: Sequence[str] | None = None) -> DataFrame:
+    """The wide frame. Tables of later levels are added after the parents they take ids from.
+
+    ``known`` names the event types that count as known, where the model is only a part.
+    """
+    wide = events.withColumn(BAD_EVENT, event_reason(known or model.events))
     entities = list(model.entities)
     wide = wide.select(*CARRIED, BAD_EVENT, *[_typed_rows(e).alias(e.name) for e in entities])
     for level in model.levels:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .appName("eventweft")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
@@ -31,11 +32,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     Timestamps in documents carry no zone once repaired, so the zone is fixed. A repeated key
     inside one JSON object keeps its last value instead of voiding the document. Projections of
     many columns generate methods larger than the JVM compiles; above its limit of 8000 bytes
-    Spark then splits the projection instead of leaving it to the bytecode interpreter.
+    Spark then splits the projection instead of leaving it to the bytecode interpreter. Words
+    compared without regard to case are plain ASCII, for which the JVM's case mapping suffices.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.icu.caseMappings.enabled", "false")
     return spark
 
 

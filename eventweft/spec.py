@@ -6,7 +6,7 @@ A model is data. ``eventweft.plans`` compiles it to DataFrame expressions.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -214,6 +214,29 @@ class Model:
         out = [[e.name for e in self.entities if depth[e.name] == d] for d in range(max(depth.values(), default=-1) + 1)]
         return out + ([[ln.name for ln in self.links]] if self.links else [])
 
+    def only(self, *names: str) -> Model:
+        """The part of the model that these tables rest on: themselves, their parents, their sides."""
+        wanted: set[str] = set()
+
+        def add(name: str):
+            t = self.table(name)
+            wanted.add(name)
+            for other in (t.left, t.right) if isinstance(t, Link) else [fk.parent for fk in self.parents(name)]:
+                add(other)
+
+        for name in names:
+            add(name)
+        if self.cascade:
+            for e in self.entities:
+                if e.rejects:
+                    add(e.name)
+        return replace(
+            self,
+            entities=tuple(e for e in self.entities if e.name in wanted),
+            foreign_keys=tuple(fk for fk in self.foreign_keys if fk.child in wanted),
+            links=tuple(ln for ln in self.links if ln.name in wanted),
+        )
+
     @property
     def write_order(self) -> list[str]:
         return [name for level in self.levels for name in level]
