@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventweft.checks import extracting, identity, modelling, quality, relating, scalars
+from eventweft.checks import extracting, identity, landing, modelling, quality, relating, scalars
 from eventweft.checks.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "extracting", "identity", "modelling", "quality", "relating", "scalars"]
+__all__ = ["ORACLES", "QUERIES", "extracting", "identity", "landing", "modelling", "quality", "relating", "scalars"]
