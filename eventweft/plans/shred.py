@@ -83,11 +83,17 @@ def _typed_rows(e: Entity) -> Column:
     return F.transform(some, lambda r: F.struct(r[E.ORD].alias(E.ORD), *E.typed(r.getField, e)))
 
 
-def _with_parent(rows: Column, e: Entity, fk: ForeignKey) -> Column:
-    """Each row once for every parent id it takes."""
+def _with_parent(rows: Column, e: Entity, parent: Entity, fk: ForeignKey) -> Column:
+    """Each row once for every parent id it takes.
+
+    Event types that do not yield the parent leave the column as mapped, which is mostly NULL.
+    """
+    mapped = any(fk.column in s.fields for s in e.sources)
+    yielding = sorted({s.event for s in parent.sources})
 
     def filled(r: Column, parent_id: Column) -> Column:
-        cols = [(parent_id if n == fk.column else r[n]).alias(n) for n in e.column_names]
+        taken = F.when(F.col("event_name").isin(*yielding), parent_id).otherwise(r[fk.column]) if mapped else parent_id
+        cols = [(taken if n == fk.column else r[n]).alias(n) for n in e.column_names]
         return F.struct(r[E.ORD].alias(E.ORD), *cols)
 
     return let(
@@ -101,7 +107,7 @@ def _finished(e: Entity, model: Model) -> Column:
     rows, event, source_id = F.col(e.name), F.col("event_name"), F.col("source_id")
     parents = model.parents(e.name)
     for fk in parents:
-        rows = _with_parent(rows, e, fk)
+        rows = _with_parent(rows, e, model.entity(fk.parent), fk)
 
     def identified(r: Column) -> Column:
         cols = [
