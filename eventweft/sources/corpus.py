@@ -179,3 +179,77 @@ def damaged(events: DataFrame) -> DataFrame:
         .when(pick == 3, F.concat(F.lit('"'), doubled, F.lit('"')))
         .otherwise(F.col("raw")),
     )
+
+
+def stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders told as hotel stays: created, checked in (status O) or cancelled (status F).
+
+    The nation is the hotel, every seventh without a currency; the customer is the guest.
+    """
+    people = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    full = table(spark, sf_dir, "orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
+    key, nation = F.col("o_orderkey"), F.col("n_nationkey")
+    kinds = F.array(
+        F.struct(F.lit(1).alias("n"), F.lit("reservationCreate").alias("name"), F.lit("reservation").alias("body")),
+        F.when(F.col("o_orderstatus") == "O", F.struct(F.lit(2).alias("n"), F.lit("reservationCheckIn").alias("name"), F.lit("checkIn").alias("body"))),
+        F.when(F.col("o_orderstatus") == "F", F.struct(F.lit(3).alias("n"), F.lit("reservationCancel").alias("name"), F.lit("cancellation").alias("body"))),
+    )
+    typed = full.withColumn("event", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
+    n = F.col("event.n")
+    date = lambda days: F.date_format(F.date_add(F.col("o_orderdate").cast("date"), days), "yyyy-MM-dd")
+    hotel = F.struct(
+        nation.alias("hotelId"),
+        F.concat(F.lit("H"), nation.cast("string")).alias("hotelCode"),
+        F.lit("P").alias("propertyCode"),
+        F.lit("+00:00").alias("timeOffsetFromUTC"),
+        F.concat(F.lit("Grand River "), F.when(nation == 3, F.lit("Test ")).otherwise(F.lit("")), F.col("n_name")).alias("propertyName"),
+        F.lit("B").alias("brandCode"),
+        F.when(nation % 7 != 0, F.lit("USD")).alias("currencyCode"),
+    )
+    contacts = F.array(
+        F.struct(
+            F.lit("true").alias("contactIsPrimary"),
+            F.array(F.lit("home"), F.lit("billing")).alias("contactPurposes"),
+            F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("emailAddress"),
+            F.struct(F.col("n_name").alias("city")).alias("postalAddress"),
+        ),
+        F.struct(F.lit("false").alias("contactIsPrimary"), F.lit(None).cast("array<string>").alias("contactPurposes"),
+                 F.lit(None).cast("string").alias("emailAddress"), F.struct(F.lit("elsewhere").alias("city")).alias("postalAddress")),
+    )
+    guest = F.struct(F.col("c_name").alias("lastName"), F.lit("Ada").alias("firstName"), contacts.alias("contacts"))
+    room = F.struct(date(0).alias("startDate"), date(2).alias("endDate"), (key % 400).alias("roomNumber"))
+    numbers = F.array(F.struct(key.alias("confirmationNumber"), F.lit("web").alias("source")))
+    status = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("statusTimestamp"), F.lit("RESERVED").alias("reservationStatus"), key.alias("confirmationId")
+    )
+    card = lambda digits: F.struct(F.lit("V").alias("cardType"), digits.cast("string").alias("lastFourDigits"))
+    created = F.struct(
+        hotel.alias("hotel"),
+        key.alias("reservationId"),
+        date(0).alias("arrivalDate"),
+        date(2).alias("departureDate"),
+        numbers.alias("reservationConfirmationNumbers"),
+        F.array(status).alias("reservationStatuses"),
+        F.array(F.struct(F.lit(True).alias("customerIsPrimary"), guest.alias("customer"))).alias("reservationCustomers"),
+        F.array(F.struct(date(0).alias("startDate"), date(2).alias("endDate"), F.lit("room").alias("itemType"), F.array(room).alias("reservedRooms"))).alias("reservationItems"),
+        F.struct(F.lit("card").alias("guaranteeType"), card(key % 10000).alias("creditCard")).alias("guarantee"),
+        F.array(F.struct(F.lit("1").alias("folioId"), card(key % 10000 + 1).alias("creditCard"))).alias("paymentMethods"),
+        F.struct(F.concat(F.lit("$"), F.format_number(money(F.col("o_totalprice")), 2)).alias("totalTaxAmount")).alias("costSummary"),
+    )
+    short = F.struct(
+        hotel.alias("hotel"), date(0).alias("arrivalDate"), date(2).alias("departureDate"), numbers.alias("reservationConfirmationNumbers"),
+        status.alias("reservationStatus"), guest.alias("customer"), room.alias("reservedRoom"),
+    )
+    text = header_text(F.col("o_orderdate"), key)
+    raw = F.when(n == 1, _envelope(F.col("event.name"), text, "reservation", created)).when(
+        n == 2, _envelope(F.col("event.name"), text, "checkIn", short)
+    ).otherwise(_envelope(F.col("event.name"), text, "cancellation", short))
+    return typed.select(
+        (key * 10 + n).alias("id"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(8), F.lit(7), F.lit(19) + (key % 1000).cast("decimal(18,6)") / 1000))
+        .cast("timestamp").alias("event_timestamp"),
+        F.col("event.name").alias("event_name"),
+        raw.alias("raw"),
+    )
