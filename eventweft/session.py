@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,13 +43,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="eventweft-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a temporary one where none is named."""
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="eventweft-")
-        spark.conf.set(CHECKPOINT_KEY, named)
-    return named
+    """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
+    return spark.conf.get(CHECKPOINT_KEY, None) or _own_folder()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
