@@ -33,7 +33,7 @@ def path_scalar(spark, sf_dir):
     reads = ("eventInfo.name", "eventInfo.version", "order.customer.nation.name", "order.placed.priority")
     doc = documents(spark, sf_dir, *reads)
     names = ("event_name", "version", "nation", "priority")
-    return doc.select("id", *[paths.scalar(F.col("doc"), p).alias(n) for p, n in zip(reads, names)])
+    return doc.select("id", *[paths.scalar("doc", p).alias(n) for p, n in zip(reads, names)])
 
 
 @query(
@@ -45,7 +45,7 @@ def path_scalar(spark, sf_dir):
 )
 def path_all(spark, sf_dir):
     doc = documents(spark, sf_dir, "order.refs[].number", "order.refs[].source")
-    sources, numbers = (paths.every(F.col("doc"), f"order.refs[].{k}") for k in ("source", "number"))
+    sources, numbers = (paths.every("doc", f"order.refs[].{k}") for k in ("source", "number"))
     return doc.select(
         "id",
         F.size(sources).cast("bigint").alias("n_sources"),
@@ -64,7 +64,7 @@ def path_index(spark, sf_dir):
     reads = ("order.refs[0].number", "order.statuses[1].code", "order.statuses[9].code")
     doc = documents(spark, sf_dir, *reads).filter("event_name <> 'orderCancel'")
     names = ("first_number", "second_status", "tenth_status")
-    return doc.select("id", *[paths.scalar(F.col("doc"), p).alias(n) for p, n in zip(reads, names)])
+    return doc.select("id", *[paths.scalar("doc", p).alias(n) for p, n in zip(reads, names)])
 
 
 @query(
@@ -77,7 +77,7 @@ def path_index(spark, sf_dir):
 def path_nested(spark, sf_dir):
     reads = ("order.items[].charges[].kind", "order.items[].ship.flags[0]")
     doc = documents(spark, sf_dir, *reads, items=True)
-    charges, flags = (paths.every(F.col("doc"), p) for p in reads)
+    charges, flags = (paths.every("doc", p) for p in reads)
     return doc.select(
         "id",
         F.size(flags).cast("bigint").alias("n_flags"),

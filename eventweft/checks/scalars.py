@@ -191,7 +191,7 @@ def normalize_code(spark, sf_dir):
 def header_fields(spark, sf_dir):
     events = order_events(spark, sf_dir, items=False).select("id", "raw").filter("id % 10 = 1")
     doc = paths.with_document(events, "raw", paths.shape([X.TIME_PATH, X.NAME_PATH]))
-    time, name = X.header_fields(F.col("doc"))
+    time, name = X.header_fields("doc")
     return doc.select("id", stamp(time).alias("event_timestamp"), name)
 
 
@@ -205,7 +205,7 @@ def header_fields(spark, sf_dir):
 def raw_repair(spark, sf_dir):
     """Damaged texts, once mended, equal the texts they came from; cut-off ones cannot be mended."""
     sound = order_events(spark, sf_dir, items=False).select("id", "raw", F.col("raw").alias("sound"))
-    mended = damaged(sound).select("id", "sound", X.repair_raw(F.col("raw")).alias("mended"))
+    mended = damaged(sound).select("id", "sound", X.repair_raw("raw").alias("mended"))
     return mended.groupBy((F.col("id") % 10).alias("kind")).agg(
         F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("mended") == F.col("sound")).alias("n_sound")
     )

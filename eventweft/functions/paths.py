@@ -5,6 +5,9 @@ Path text: ``a.b`` steps into objects, ``a[]`` takes every element of an array,
 The paths a model uses give the shape of its documents: nested structs and arrays with text at the
 ends. Text is parsed once into that shape, skipping all else; paths are then plain field access in
 generated code. A document that does not fit the shape is read again through VARIANT, step by step.
+
+Functions ending in ``_sql`` give expression text over named columns. A model has a thousand paths,
+and one parse of their text is far quicker than a call into the JVM for each step.
 """
 
 from __future__ import annotations
@@ -17,8 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventweft.functions.bind import let
-
 _STEP = re.compile(r"(\w+)(?:\[(\d*)\])?\Z")
 MISFIT = "_misfit"
 
@@ -87,70 +88,68 @@ def with_document(events: DataFrame, raw: str, kind: T.StructType, name: str = "
         F.from_json(raw, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MISFIT}).alias("_fast"),
     )
     fits = F.col("_fast").isNotNull() & F.col(f"_fast.{MISFIT}").isNull()
-    careful = read_variant(repaired_variant(F.col(raw)), parsed)
+    careful = F.expr(read_variant_sql(repaired_variant_sql(raw), parsed))
     return fast.select(*others, F.when(fits, F.col("_fast")).otherwise(careful).alias(name))
 
 
-def raw_forms(raw: Column) -> tuple[Column, Column]:
+# Texts that a careless export has wrapped in quotes or whose quotes it has doubled.
+_OPENING, _CLOSING, _QUOTED = r'^\s*"(?=\s*[\{\[])', r'(?<=[\}\]])"\s*$', r'^\s*"'
+
+
+def raw_forms_sql(raw: str) -> tuple[str, str]:
     """The text without an outer pair of quotes, and that with doubled quotes made single."""
-    unwrapped = F.regexp_replace(F.regexp_replace(raw, r'^\s*"(?=\s*[\{\[])', ""), r'(?<=[\}\]])"\s*$', "")
-    return unwrapped, F.regexp_replace(unwrapped, '""', '"')
+    unwrapped = f"regexp_replace(regexp_replace(`{raw}`, r'{_OPENING}', ''), r'{_CLOSING}', '')"
+    return unwrapped, f"""replace({unwrapped}, '""', '"')"""
 
 
-def quoted_whole(raw: Column) -> Column:
-    return raw.rlike(r'^\s*"')
+def quoted_whole_sql(raw: str) -> str:
+    return f"`{raw}` rlike r'{_QUOTED}'"
 
 
-def repaired_variant(raw: Column) -> Column:
+def repaired_variant_sql(raw: str) -> str:
     """VARIANT of raw text, mended if need be; sound text is parsed only once."""
-    unwrapped, mended = raw_forms(raw)
-    return F.coalesce(
-        F.when(~quoted_whole(raw), F.try_parse_json(raw)), F.try_parse_json(unwrapped), F.try_parse_json(mended)
-    )
+    unwrapped, mended = raw_forms_sql(raw)
+    sound = f"CASE WHEN NOT {quoted_whole_sql(raw)} THEN try_parse_json(`{raw}`) END"
+    return f"coalesce({sound}, try_parse_json({unwrapped}), try_parse_json({mended}))"
 
 
-def read_variant(value: Column, kind: T.DataType) -> Column:
+def read_variant_sql(value: str, kind: T.DataType) -> str:
     """A VARIANT read into a shape: what does not fit is NULL, a lone value stands for an array of one."""
     if isinstance(kind, T.StringType):
-        return F.try_variant_get(value, "$", "string")
-    return let(value, lambda v: F.when(v.isNotNull() & ~F.is_variant_null(v), _read_inside(v, kind)))
+        return f"try_variant_get({value}, '$', 'string')"
+    if isinstance(kind, T.ArrayType):
+        elements = "coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))"
+        inside = f"transform({elements}, x -> {read_variant_sql('x', kind.elementType)})"
+    else:
+        inside = "named_struct(" + ", ".join(f"'{f.name}', {_field_sql(f)}" for f in kind.fields) + ")"
+    bound = f"CASE WHEN v IS NOT NULL AND NOT is_variant_null(v) THEN {inside} END"
+    return f"get(transform(array({value}), v -> {bound}), 0)"
 
 
-def _read_inside(v: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.ArrayType):
-        elements = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
-        return F.transform(elements, lambda x: read_variant(x, kind.elementType))
-    return F.struct(
-        *[
-            (
-                F.try_variant_get(v, f"$.{f.name}", "string")
-                if isinstance(f.dataType, T.StringType)
-                else read_variant(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType)
-            ).alias(f.name)
-            for f in kind.fields
-        ]
-    )
+def _field_sql(f: T.StructField) -> str:
+    if isinstance(f.dataType, T.StringType):
+        return f"try_variant_get(v, '$.{f.name}', 'string')"
+    return read_variant_sql(f"try_variant_get(v, '$.{f.name}', 'variant')", f.dataType)
 
 
 # Reading
 
 
-def _walk(value: Column, run: Iterable[Step]) -> Column:
+def walk_sql(value: str, run: Iterable[Step]) -> str:
     for step in run:
-        value = value.getField(step.key)
+        value = f"{value}.`{step.key}`"
         if step.index is not None:
-            value = F.get(value, F.lit(step.index))
+            value = f"get({value}, {step.index})"
     return value
 
 
-def scalar(doc: Column, path: str) -> Column:
-    """One value as text: NULL when a step is missing or JSON null; objects give JSON text."""
+def scalar_sql(doc: str, path: str) -> str:
     if fans_out(path):
         raise ValueError(f"{path!r} yields many values; use every()")
-    return _walk(doc, steps(path))
+    return walk_sql(doc, steps(path))
 
 
-def nodes(doc: Column, path: str) -> Column:
+def nodes_sql(doc: str, path: str) -> str:
     """``array<struct<node, ord array<int>>>``: what the path reaches, in document order.
 
     Missing keys and JSON nulls are passed over. ``ord`` holds the position in each array passed
@@ -165,33 +164,32 @@ def nodes(doc: Column, path: str) -> Column:
     here = None
     for head in heads:
         if here is None:
-            here = F.transform(_walk(doc, head), lambda x, i: _placed(x, F.array(i)))
+            here = f"transform({walk_sql(doc, head)}, (x, i) -> named_struct('node', x, 'ord', array(i)))"
         else:
-            here = F.flatten(F.transform(_with_children(here, head), _children(head)))
+            below = walk_sql("n.node", head)
+            children = f"transform({below}, (x, i) -> named_struct('node', x, 'ord', concat(n.ord, array(i))))"
+            here = f"flatten(transform(filter({here}, n -> {below} IS NOT NULL), n -> {children}))"
     if here is None:
-        here = F.array(_placed(_walk(doc, tail), F.array().cast("array<int>")))
+        here = f"array(named_struct('node', {walk_sql(doc, tail)}, 'ord', cast(array() AS array<int>)))"
     elif tail:
-        here = F.transform(here, _deeper(tail))
-    return F.filter(here, lambda n: n["node"].isNotNull())
+        here = f"transform({here}, n -> named_struct('node', {walk_sql('n.node', tail)}, 'ord', n.ord))"
+    return f"filter({here}, n -> n.node IS NOT NULL)"
 
 
-def _placed(node: Column, place: Column) -> Column:
-    return F.struct(node.alias("node"), place.alias("ord"))
+def every_sql(doc: str, path: str) -> str:
+    return f"transform({nodes_sql(doc, path)}, n -> n.node)"
 
 
-def _with_children(here: Column, head: list[Step]) -> Column:
-    return F.filter(here, lambda n: _walk(n["node"], head).isNotNull())
-
-
-def _children(head: list[Step]):
-    return lambda n: F.transform(_walk(n["node"], head), lambda x, i: _placed(x, F.concat(n["ord"], F.array(i))))
+def scalar(doc: str, path: str) -> Column:
+    """One value as text: NULL when a step is missing or JSON null; objects give JSON text."""
+    return F.expr(scalar_sql(doc, path))
 
 
-def _deeper(tail: list[Step]):
-    return lambda n: _placed(_walk(n["node"], tail), n["ord"])
+def nodes(doc: str, path: str) -> Column:
+    return F.expr(nodes_sql(doc, path))
 
 
-def every(doc: Column, path: str) -> Column:
+def every(doc: str, path: str) -> Column:
     """Every value the path reaches, as texts in document order; NULL when there is none."""
-    texts = F.transform(nodes(doc, path), lambda n: n["node"])
-    return F.when(F.size(texts) > 0, texts)
+    texts = every_sql(doc, path)
+    return F.expr(f"CASE WHEN size({texts}) > 0 THEN {texts} END")

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from eventweft.functions import paths
 
 
-def repair_raw(raw: Column) -> Column:
+def repair_raw(raw: str) -> Column:
     """Mend JSON text whose quotes were doubled by an extra CSV round; leave text that parses."""
-    unwrapped, mended = paths.raw_forms(raw)
-    sound = lambda text: F.try_parse_json(text).isNotNull()
-    return (
-        F.when(~paths.quoted_whole(raw) & sound(raw), raw)
-        .when(sound(unwrapped), unwrapped)
-        .when(sound(mended), mended)
-        .otherwise(raw)
+    unwrapped, mended = paths.raw_forms_sql(raw)
+    return F.expr(
+        f"CASE WHEN NOT {paths.quoted_whole_sql(raw)} AND try_parse_json(`{raw}`) IS NOT NULL THEN `{raw}` "
+        f"WHEN try_parse_json({unwrapped}) IS NOT NULL THEN {unwrapped} "
+        f"WHEN try_parse_json({mended}) IS NOT NULL THEN {mended} ELSE `{raw}` END"
     )
 
 
@@ -39,7 +37,7 @@ TIME_PATH = "messageHeader.timestamp"
 NAME_PATH = "eventInfo.name"
 
 
-def header_fields(doc: Column) -> list[Column]:
+def header_fields(doc: str) -> list[Column]:
     return [
         header_time(paths.scalar(doc, TIME_PATH)).alias("event_timestamp"),
         paths.scalar(doc, NAME_PATH).alias("event_name"),

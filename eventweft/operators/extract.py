@@ -24,53 +24,49 @@ def model_shape(entities: Iterable[Entity]) -> T.StructType:
     return paths.shape(sorted(found))
 
 
-def source_rows(doc: Column, source: Source, names: Sequence[str]) -> Column:
+def _source_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
     """``array<struct<ord, text of each column>>`` of one source; unmapped columns give NULL.
 
     A column whose path lies outside the row is read from the document and repeats on every row.
     """
 
-    def text(node: Column, name: str) -> Column:
+    def text(name: str) -> str:
         path = source.fields.get(name)
         if path is None:
-            return F.lit(None).cast("string").alias(name)
+            return "cast(NULL AS string)"
         rest = source.relative(path)
         if rest is None and paths.fans_out(path):
             raise ValueError(f"{name}: {path!r} leaves the rows of {source.rows_from!r}; use another source")
-        return (paths.scalar(doc, path) if rest is None else paths.scalar(node, rest)).alias(name)
+        return paths.scalar_sql(doc, path) if rest is None else paths.scalar_sql("n.node", rest)
 
-    return F.transform(
-        paths.nodes(doc, source.rows_from),
-        lambda n: F.struct(n["ord"].alias(ORD), *[text(n["node"], name) for name in names]),
-    )
+    columns = ", ".join(f"'{n}', {text(n)}" for n in names)
+    return f"transform({paths.nodes_sql(doc, source.rows_from)}, n -> named_struct('{ORD}', n.ord, {columns}))"
 
 
-def compact_rows(doc: Column, source: Source, names: Sequence[str]) -> Column:
+def _compact_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
     """Each column's values as a list without gaps, paired by position and padded with NULL.
 
     A value after a gap moves up, and the value of a path without ``[]`` fills only the first row.
     Offered for tables that were filled that way before.
     """
-    empty = F.array().cast("array<string>")
-    lists = {}
-    for name in names:
+    empty = "cast(array() AS array<string>)"
+
+    def values(name: str) -> str:
         path = source.fields.get(name)
         if path is None:
-            lists[name] = empty
-        elif paths.fans_out(path):
-            lists[name] = F.coalesce(paths.every(doc, path), empty)
-        else:
-            one = paths.scalar(doc, path)
-            lists[name] = F.when(one.isNotNull(), F.array(one)).otherwise(empty)
+            return empty
+        if paths.fans_out(path):
+            return f"coalesce({paths.every_sql(doc, path)}, {empty})"
+        one = paths.scalar_sql(doc, path)
+        return f"CASE WHEN {one} IS NOT NULL THEN array({one}) ELSE {empty} END"
+
     # Zipped by index, which keeps the column names out of the zip itself.
-    zipped = F.arrays_zip(*lists.values())
-    return F.transform(
-        zipped,
-        lambda z, i: F.struct(F.array(i).alias(ORD), *[z[str(k)].alias(n) for k, n in enumerate(lists)]),
-    )
+    zipped = f"arrays_zip({', '.join(values(n) for n in names)})"
+    columns = ", ".join(f"'{n}', z.`{k}`" for k, n in enumerate(names))
+    return f"transform({zipped}, (z, i) -> named_struct('{ORD}', array(i), {columns}))"
 
 
-def text_rows(doc: Column, event: Column, entity: Entity) -> Column:
+def text_rows(doc: str, event: str, entity: Entity) -> Column:
     """Text rows of one table from all its event types, picked by one CASE in one scan.
 
     Several sources in one event type are joined end to end.
@@ -79,16 +75,14 @@ def text_rows(doc: Column, event: Column, entity: Entity) -> Column:
     by_event: dict[str, list[Source]] = {}
     for s in entity.sources:
         by_event.setdefault(s.event, []).append(s)
-    pick = None
+    branches = []
     for name, group in by_event.items():
-        parts = [(compact_rows if s.align == "compact" else source_rows)(doc, s, names) for s in group]
-        if len(parts) > 1:
-            none = F.array().cast(T.ArrayType(_text_struct(names)))
-            rows = F.concat(*[F.coalesce(p, none) for p in parts])
-        else:
-            rows = parts[0]
-        pick = (F if pick is None else pick).when(event == name, rows)
-    return pick
+        parts = [(_compact_rows_sql if s.align == "compact" else _source_rows_sql)(doc, s, names) for s in group]
+        rows = f"flatten(filter(array({', '.join(parts)}), p -> p IS NOT NULL))" if len(parts) > 1 else parts[0]
+        branches.append(f"WHEN `{event}` = '{name}' THEN {rows}")
+    if not branches:
+        return F.lit(None).cast(T.ArrayType(_text_struct(names)))
+    return F.expr(f"CASE {' '.join(branches)} END")
 
 
 def _text_struct(names: Sequence[str]) -> T.StructType:
@@ -133,11 +127,11 @@ def keeps_empty(event: Column, entity: Entity) -> Column:
 
 def extract(events: DataFrame, entity: Entity) -> DataFrame:
     """Typed rows of one table, with provenance; rows without any value are left out."""
-    doc, event = F.col("doc"), F.col("event_name")
+    event = F.col("event_name")
     carried = ["source_id", "event_name", "event_time"]
     names = entity.column_names
     wanted = events.filter(event.isin(*sorted({s.event for s in entity.sources})))
-    texts = inlined(wanted.select(*carried, text_rows(doc, event, entity).alias("_rows")), "_rows", carried)
+    texts = inlined(wanted.select(*carried, text_rows("doc", "event_name", entity).alias("_rows")), "_rows", carried)
     # Filtered before columns get their types: a filter over the typed columns would be moved
     # below them by the optimizer and compute every coercion a second time.
     clean = texts.select(*carried, ORD, *cleaned(F.col, names))

@@ -75,9 +75,9 @@ def shred(events: DataFrame, model: Model, known: Sequence[str] | None = None) -
 
 
 def _typed_rows(e: Entity) -> Column:
-    doc, event, names = F.col("doc"), F.col("event_name"), e.column_names
+    event, names = F.col("event_name"), e.column_names
     texts = F.transform(
-        E.text_rows(doc, event, e), lambda r: F.struct(r[E.ORD].alias(E.ORD), *E.cleaned(r.getField, names))
+        E.text_rows("doc", "event_name", e), lambda r: F.struct(r[E.ORD].alias(E.ORD), *E.cleaned(r.getField, names))
     )
     some = F.filter(texts, lambda r: E.filled(r.getField, e) | E.keeps_empty(event, e))
     return F.transform(some, lambda r: F.struct(r[E.ORD].alias(E.ORD), *E.typed(r.getField, e)))
