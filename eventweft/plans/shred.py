@@ -189,8 +189,8 @@ def counts(wide: DataFrame, model: Model) -> DataFrame:
         *[
             F.struct(
                 F.lit(e.name).alias("table_name"),
-                F.coalesce(F.size(F.filter(F.col(e.name), lambda r: F.size(r[Q.REASONS]) == 0)), F.lit(0)).alias("valid"),
-                F.coalesce(F.size(F.col(e.name)), F.lit(0)).alias("total"),
+                F.coalesce(F.size(F.filter(F.col(e.name)[Q.REASONS], lambda w: F.size(w) == 0)), F.lit(0)).alias("valid"),
+                F.coalesce(F.size(F.col(e.name)[Q.REASONS]), F.lit(0)).alias("total"),
             )
             for e in model.entities
         ]
