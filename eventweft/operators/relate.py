@@ -23,14 +23,15 @@ AMBIGUOUS = "_ambiguous"
 _SLIM = f"array<struct<id:string,received_at:timestamp,{ORD}:array<int>,{REASONS}:array<string>>>"
 
 
-def valid(rows: Column) -> Column:
-    """The sound rows of an array, with what relations need of them.
+def valid(rows: Column, stored: bool = False) -> Column:
+    """The sound rows of an array.
 
-    The fields are taken out of the array one by one and put together again, so that a scan of
-    staged rows loads these fields only.
+    From stored rows, the fields that relations need are taken out one by one and put together
+    again, so that the scan loads these only. Rows still being made would be made once per field.
     """
-    slim = F.arrays_zip(rows["id"], rows["received_at"], rows[ORD], rows[REASONS]).cast(_SLIM)
-    return F.filter(slim, lambda r: F.size(r[REASONS]) == 0)
+    if stored:
+        rows = F.arrays_zip(rows["id"], rows["received_at"], rows[ORD], rows[REASONS]).cast(_SLIM)
+    return F.filter(rows, lambda r: F.size(r[REASONS]) == 0)
 
 
 def ids(rows: Column) -> Column:
@@ -51,13 +52,13 @@ def parent_choices(parent_ids: Column, fk: ForeignKey) -> Column:
     return let(known, lambda ids: F.when(enough(ids), ids).otherwise(none))
 
 
-def pairs(left: Column, right: Column, depth: Column | None = None) -> Column:
+def pairs(left: Column, right: Column, depth: Column | None = None, stored: bool = False) -> Column:
     """Id pairs of two row arrays of one event; with a depth, only those sharing that many positions."""
 
     def slim(rows: Column) -> Column:
         place = lambda r: F.concat_ws(",", F.slice(r[ORD], 1, depth).cast("array<string>"))
         return F.transform(
-            valid(rows),
+            valid(rows, stored),
             lambda r: F.struct(
                 r["id"].alias("id"),
                 r["received_at"].alias("received_at"),

@@ -35,7 +35,7 @@ class Batch:
     def all_rows(self, name: str) -> DataFrame:
         table = self.model.table(name)
         if isinstance(table, Link):
-            found = S.link_rows(self.wide(name), table, self.model)
+            found = S.link_rows(self.wide(name), table, self.model, self.staged is not None)
             return found.withColumn(Q.REASONS, Q.reasons(F.col, ["received_at"]))
         return S.entity_rows(self.wide(name), table)
 
@@ -64,7 +64,7 @@ class Batch:
     def counts(self, *names: str) -> DataFrame:
         """Rows, sound and failed, per entity, of all entities or those named and their parents."""
         part = self.model.only(*names) if names else self.model
-        return S.counts(self.wide(*names), part)
+        return S.counts(self.wide(*names), part, self.staged is not None)
 
 
 def open_batch(landed: DataFrame, model: Model, stage: bool = False) -> Batch:

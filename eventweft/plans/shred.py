@@ -168,10 +168,10 @@ def entity_rows(wide: DataFrame, entity: Entity) -> DataFrame:
     return E.inlined(wide, entity.name, [])
 
 
-def link_rows(wide: DataFrame, link: Link, model: Model) -> DataFrame:
+def link_rows(wide: DataFrame, link: Link, model: Model, stored: bool = False) -> DataFrame:
     """All rows of one link table: pairs of sound rows of one event, by identity."""
     depth = R.shared_depth(model, link, F.col("event_name")) if link.scope == "path" else None
-    found = wide.select("source_id", F.inline_outer(R.pairs(F.col(link.left), F.col(link.right), depth)))
+    found = wide.select("source_id", F.inline_outer(R.pairs(F.col(link.left), F.col(link.right), depth, stored)))
     named = found.select(
         F.col("left_id").alias(link.left_column), F.col("right_id").alias(link.right_column), "received_at", "source_id"
     )
@@ -183,21 +183,23 @@ def turned_away(wide: DataFrame) -> DataFrame:
     return wide.filter(F.col(BAD_EVENT).isNotNull()).select(*CARRIED, F.col(BAD_EVENT).alias("reason"))
 
 
-def counts(wide: DataFrame, model: Model) -> DataFrame:
+def counts(wide: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     """Rows, sound and failed, per entity: one pass over the wide frame for all of them."""
+
+    def why(e: Entity) -> Column:
+        return F.col(e.name)[Q.REASONS] if stored else F.transform(e.name, lambda r: r[Q.REASONS])
+
     per_event = F.array(
         *[
             F.struct(
                 F.lit(e.name).alias("table_name"),
-                F.coalesce(F.size(F.filter(F.col(e.name)[Q.REASONS], lambda w: F.size(w) == 0)), F.lit(0)).alias("valid"),
-                F.coalesce(F.size(F.col(e.name)[Q.REASONS]), F.lit(0)).alias("total"),
+                let(why(e), lambda w: F.struct(F.size(F.filter(w, lambda x: F.size(x) == 0)), F.size(w))).alias("n"),
             )
             for e in model.entities
         ]
     )
     flat = wide.select(F.inline_outer(per_event))
+    valid, total = (F.coalesce(F.sum(F.greatest(F.col(f"n.{c}"), F.lit(0))), F.lit(0)) for c in ("col1", "col2"))
     return flat.groupBy("table_name").agg(
-        F.sum("total").alias("n_rows"),
-        F.sum("valid").alias("n_valid"),
-        F.sum(F.col("total") - F.col("valid")).alias("n_failed"),
+        total.alias("n_rows"), valid.alias("n_valid"), (total - valid).alias("n_failed")
     )
