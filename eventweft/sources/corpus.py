@@ -19,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """At least as many partitions as there are cores. Documents cost CPU out of proportion to the
-    bytes they are made from, so a few small files must not mean a few tasks; large tables, which
-    come in many partitions, stay as they are.
+def spread(rows: DataFrame, scan: DataFrame, key: str) -> DataFrame:
+    """At least as many partitions as there are cores, where the scan had fewer.
+
+    Documents cost CPU out of proportion to the bytes they are made from, so a few small files must
+    not mean a few tasks; large tables, which come in many partitions, are not shuffled for it.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    return rows if scan.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
 
 def money(value: Column, kind: str = "decimal(12,2)") -> Column:
@@ -81,7 +82,7 @@ def _envelope(name: Column, time_text: Column, body: str, content: Column) -> Co
 
 def make_order_events(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
     """``orderCreate`` for every order, ``orderModify`` for every tenth key, ``orderCancel`` for status F."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -102,7 +103,7 @@ def make_order_events(spark: SparkSession, sf_dir: str, items: bool = True) -> D
         ),
         lambda k: k.isNotNull(),
     )
-    typed = full.withColumn("event", F.explode(kinds))
+    typed = spread(full, orders, "o_orderkey").withColumn("event", F.explode(kinds))
     n, name = F.col("event.n"), F.col("event.name")
     day = F.col("o_orderdate") + F.make_dt_interval(n - 1)
     customer = F.struct(
@@ -223,14 +224,15 @@ def make_stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    full = spread(table(spark, sf_dir, "orders"), "o_orderkey").join(people, F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, sf_dir, "orders")
+    full = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
     key, nation = F.col("o_orderkey"), F.col("n_nationkey")
     kinds = F.array(
         F.struct(F.lit(1).alias("n"), F.lit("reservationCreate").alias("name"), F.lit("reservation").alias("body")),
         F.when(F.col("o_orderstatus") == "O", F.struct(F.lit(2).alias("n"), F.lit("reservationCheckIn").alias("name"), F.lit("checkIn").alias("body"))),
         F.when(F.col("o_orderstatus") == "F", F.struct(F.lit(3).alias("n"), F.lit("reservationCancel").alias("name"), F.lit("cancellation").alias("body"))),
     )
-    typed = full.withColumn("event", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
+    typed = spread(full, orders, "o_orderkey").withColumn("event", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
     n = F.col("event.n")
     date = lambda days: F.date_format(F.date_add(F.col("o_orderdate").cast("date"), days), "yyyy-MM-dd")
     hotel = F.struct(
