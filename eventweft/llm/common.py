@@ -47,11 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, removed when the session's JVM ends."""
+    """A new path, with its scheme, below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    store = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.deleteOnExit(hadoop_path)
+    full = store.makeQualified(hadoop_path).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and full[6:7] != "/" else full
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from .fm import op7_fm
+from .hamming import OP9_SQL, op9_multi_index
 from .lsa import op4_latent
 from .pieces import op10_pieces
 from .pii import op2_semicrf
 from .rules import op3_rules
+from .segtree import op5_segtree
 from .simhash import op6_simhash
+from .urls import op8_rules
+from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_semicrf": op2_semicrf,
     "op3_rules": op3_rules,
     "op4_latent": op4_latent,
+    "op5_segtree": op5_segtree,
     "op6_simhash": op6_simhash,
     "op7_fm": op7_fm,
+    "op8_rules": op8_rules,
+    "op9_multi_index": op9_multi_index,
     "op10_pieces": op10_pieces,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_warc": OP1_SQL, "op9_multi_index": OP9_SQL}
