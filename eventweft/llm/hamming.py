@@ -108,7 +108,8 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
             break
         probe = open_.select("query", "asked", F.posexplode(segment_values(F.col("asked"), parts)).alias("segment", "value"))
         probe = probe.select("query", "asked", "segment", F.explode(F.transform(F.lit(masks), lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
-        new = probe.join(filed, ["segment", "value"]).select("query", "code", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
+        # both sides grow with the data and with r, which estimates before the explode don't show: no broadcast
+        new = probe.hint("merge").join(filed.hint("merge"), ["segment", "value"]).select("query", "code", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
         new = new.dropDuplicates(["query", "code"]).select("query", F.explode("ids").alias("vec_id"), "distance")
         if known is not None:
             new = new.unionByName(known).distinct()
