@@ -6,7 +6,8 @@ The code is cut into segments of about log2(rows) bits; the index holds each cod
 value. Per round the open queries look up all values at segment distance r, verify the whole distance of
 what they find, and keep their k best. Any code that was not found differs by more than r in every
 segment, so with m segments all codes within m (r + 1) - 1 are known: a query whose k-th distance is
-within that is done, the others go on with r + 1. When a round would ask for more values than a scan
+within that is done. The others go on with r + 1, in as many segments as their k-th distance so far calls
+for: each segment whose radius grows covers one more bit. When a round would ask for more values than a scan
 compares, the open queries are compared with all codes in blocks, which is as exact.
 
 Defined results: answers are by (distance, id); a query finds itself and its copies like any other row;
@@ -95,6 +96,7 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
     widest = max(n for _, _, n in parts)
     filed = staged(index.select("code", "ids", F.posexplode(segment_values(F.col("code"), parts)).alias("segment", "value")), "filed")
     asked = coded.filter(chosen).select(F.col("vec_id").alias("query"), F.col("code").alias("asked")).distinct()
+    asked = asked.withColumn("need", F.lit(len(parts)))
     open_, answers, known = staged(asked, "open"), None, None
     for r in range(widest + 1):
         if open_.isEmpty():
@@ -102,11 +104,11 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
         # values at distance r, as numbers to xor; the widest segment bounds them
         masks = [m for m in range(1 << widest) if m.bit_count() == r] if widest <= 16 else []
         if len(masks) * len(parts) > probes:
-            found = _scan(open_, index, k)
+            found = _scan(open_.drop("need"), index, k)
             answers = found if answers is None else answers.unionByName(found)
             open_ = open_.limit(0)
             break
-        probe = open_.select("query", "asked", F.posexplode(segment_values(F.col("asked"), parts)).alias("segment", "value"))
+        probe = open_.select("query", "asked", F.posexplode(F.slice(segment_values(F.col("asked"), parts), F.lit(1), F.col("need"))).alias("segment", "value"))
         probe = probe.select("query", "asked", "segment", F.explode(F.transform(F.lit(masks), lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
         # both sides grow with the data and with r, which estimates before the explode don't show: no broadcast
         new = probe.hint("merge").join(filed.hint("merge"), ["segment", "value"]).select("query", "code", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
@@ -115,11 +117,17 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
             new = new.unionByName(known).distinct()
         top = staged(best(new, k).drop("rank"), f"top{r}")
         covered = len(parts) * (r + 1) - 1
-        done = top.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
-        done = staged(done.filter((F.col("n") == k) & (F.col("far") <= covered)).select("query"), f"done{r}")
+        state = top.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
+        # far only falls: the segments that cover it are enough, and those who asked fewer are covered now
+        need = F.when(F.col("n") == k, F.least(F.col("far") - covered, F.lit(len(parts)))).otherwise(F.lit(len(parts)))
+        state = open_.join(state, "query", "left").withColumn(
+            "next", F.when(F.col("need") < len(parts), F.lit(0)).otherwise(need)
+        )
+        state = staged(state.select("query", "asked", F.col("next").alias("need")), f"open{r}")
+        done = state.filter("need <= 0").select("query")
         ready = top.join(done, "query", "left_semi")
         answers = ready if answers is None else answers.unionByName(ready)
-        open_ = staged(open_.join(done, "query", "left_anti"), f"open{r}")
+        open_ = state.filter("need > 0")
         known = top.join(done, "query", "left_anti")
     else:
         answers = known if answers is None else answers.unionByName(known)
