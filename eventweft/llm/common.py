@@ -76,17 +76,17 @@ def hashed_sample(frame: DataFrame, rows: int, *by: str) -> DataFrame:
     return frame.withColumn("__mark", mark).orderBy("__mark", *by).limit(rows).drop("__mark")
 
 
-def texts_of(batches: Iterator[pa.RecordBatch], size: int = 1 << 24) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Batches cut to about ``size`` bytes of their column ``text``, with its values; NULL reads as empty."""
+def texts_of(batches: Iterator[pa.RecordBatch], size: int = 1 << 24, column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches cut to about ``size`` bytes of their text column, with its values; NULL reads as empty."""
     for batch in batches:
         rows = batch.num_rows
         if not rows:
             continue
-        per_row = max(1, batch.column("text").nbytes // rows)
+        per_row = max(1, batch.column(column).nbytes // rows)
         step = max(1, size // per_row)
         for start in range(0, rows, step):
             part = batch.slice(start, step)
-            yield part, [t or "" for t in part.column("text").to_pylist()]
+            yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
 def record_batch(columns: Iterable[tuple[str, object, pa.DataType]]) -> pa.RecordBatch:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import fold_id, hashed_sample, record_batch, sliced, spread, table, texts_of
 
 #: Labelled rows that a fit reads at most, per class.
-ROWS = 3_000
+ROWS = 1_500
 BITS = 18
 FACTORS = 4
 PASSAGE = 64
@@ -123,8 +123,8 @@ def fit_terms(terms: np.ndarray, passage: np.ndarray, text: np.ndarray, y: np.nd
         model.base = float(np.log(share / (1 - share)))
         return model
     # a term counts once per text
-    key = np.unique(text[passage] * size + terms)
-    of, term = key // size, key % size
+    key = np.unique(text[passage].astype(np.int64) << BITS | terms)
+    of, term = key >> BITS, key & (size - 1)
     ones = np.bincount(term, weights=y[of], minlength=size)
     zeros = np.bincount(term, minlength=size) - ones
     common = ones + zeros >= min(5, max(2, len(y) // 100))
@@ -196,10 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows: i
     data = data.sort_values(["y", "terms"], kind="stable")
     sizes = [np.frombuffer(x, np.int32) for x in data["sizes"]]
     terms = [np.frombuffer(x, np.int32) for x in data["terms"]]
-    text = np.repeat(np.arange(len(sizes)), [len(x) for x in sizes])
-    size = np.concatenate(sizes).astype(np.int64) if sizes else np.zeros(0, np.int64)
-    flat = np.concatenate(terms).astype(np.int64) if terms else np.zeros(0, np.int64)
-    return fit_terms(flat, np.repeat(np.arange(len(size)), size), text, data["y"].to_numpy(float))
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), [len(x) for x in sizes])
+    size = np.concatenate(sizes) if sizes else np.zeros(0, np.int32)
+    flat = np.concatenate(terms) if terms else np.zeros(0, np.int32)
+    return fit_terms(flat, np.repeat(np.arange(len(size), dtype=np.int32), size), text, data["y"].to_numpy(float))
 
 
 def score(text: Column, model: FmModel) -> Column:

@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import sliced, spread, table
+from .common import sliced, spread, table, texts_of
 
 #: Fixed values of the model format: the sign for a space, and the last rank.
 SPACE = "▁"
@@ -34,7 +34,7 @@ NO_PAIR = np.int64(1) << 40
 
 _UNITS = re.compile(r" *[^ ]+| +")
 #: Units kept per worker before the store is emptied.
-STORE_UNITS = 300_000
+STORE_UNITS = 150_000
 
 
 class Pieces:
@@ -282,7 +282,7 @@ def encode(text: Column, path: str) -> Column:
         model = pieces(path)
         for batch in batches:
             parts = [pa.array([], pa.list_(pa.int32()))]
-            for values in sliced(batch):
+            for values in sliced(batch, 1 << 21):
                 ids, offset = model.encode([t or "" for t in values.to_pylist()])
                 parts.append(pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(ids, pa.int32())))
             yield pa.concat_arrays(parts)
@@ -298,7 +298,7 @@ def decode(ids: Column, path: str) -> Column:
         model = pieces(path)
         for batch in batches:
             parts = [pa.array([], pa.string())]
-            for values in sliced(batch):
+            for values in sliced(batch, 1 << 21):
                 count = np.asarray(values.value_lengths().fill_null(0), np.int64)
                 flat = np.asarray(values.flatten(), np.int64)
                 parts.append(pa.array(model.decode(flat, np.r_[0, np.cumsum(count)]), pa.string()))
@@ -307,6 +307,28 @@ def decode(ids: Column, path: str) -> Column:
     return run(ids)
 
 
+def coded(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, the ids of each whole text and the text that they decode to. One worker per
+    task does both and hands on small batches, so that its memory doesn't follow Spark's batch size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(path)
+        for batch, texts in texts_of(batches, 1 << 21, 0):
+            ids, offset = model.encode(texts)
+            arrays = [
+                *batch.columns[1:],
+                pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(ids, pa.int32())),
+                pa.array(model.decode(ids, offset), pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "ids", "decoded"])
+
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    schema = StructType([StructField(n, kinds[n]) for n in keep])
+    schema.add("ids", ArrayType(IntegerType(), True)).add("decoded", StringType())
+    # the kept columns may be named like the text: they are told apart by place
+    return docs.select("text", *keep).mapInArrow(run, schema)
+
+
 def model_path() -> str:
     import public_tokenizers
 
@@ -315,11 +337,10 @@ def model_path() -> str:
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = model_path()
-    coded = docs.select("doc_id", encode(F.col("text"), path).alias("ids"))
-    return coded.select(
+    out = coded(docs, model_path(), ["doc_id"])
+    return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
