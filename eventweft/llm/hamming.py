@@ -2,7 +2,7 @@
 
 A vector's code has one bit per dimension (is it above zero?), in one 64-bit number per 64 dimensions.
 Equal codes are one row of the index, which keeps their ``k`` smallest ids: more can't be in an answer.
-The code is cut into segments of about log2(rows) bits; the index holds each code under each segment's
+The code is cut into segments of at most 16 bits; the index holds each code under each segment's
 value. Per round the open queries look up all values at segment distance r, verify the whole distance of
 what they find, and keep their k best. Any code that was not found differs by more than r in every
 segment, so with m segments all codes within m (r + 1) - 1 are known: a query whose k-th distance is
@@ -25,7 +25,7 @@ from .common import staged, table
 
 TOP = 10
 EVERY = 100
-SEGMENT_BITS = (8, 16)
+SEGMENT_BITS = 16
 #: Values that one query may look up in one round; beyond it the open queries scan.
 PROBES = 20_000
 BLOCK = 500
@@ -90,9 +90,7 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
     order = Window.partitionBy("code").orderBy("vec_id")
     kept = coded.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
     index = staged(kept.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "index")
-    count = index.count()
-    bits = max(SEGMENT_BITS[0], min(SEGMENT_BITS[1], count.bit_length()))
-    parts = segments(dims, bits)
+    parts = segments(dims, SEGMENT_BITS)
     widest = max(n for _, _, n in parts)
     filed = staged(index.select("code", "ids", F.posexplode(segment_values(F.col("code"), parts)).alias("segment", "value")), "filed")
     asked = coded.filter(chosen).select(F.col("vec_id").alias("query"), F.col("code").alias("asked")).distinct()
@@ -102,7 +100,7 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
         if open_.isEmpty():
             break
         # values at distance r, as numbers to xor; the widest segment bounds them
-        masks = [m for m in range(1 << widest) if m.bit_count() == r] if widest <= 16 else []
+        masks = [m for m in range(1 << widest) if m.bit_count() == r]
         if len(masks) * len(parts) > probes:
             found = _scan(open_.drop("need"), index, k)
             answers = found if answers is None else answers.unionByName(found)
