@@ -78,6 +78,14 @@ def best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def nearest_codes(found: DataFrame, k: int) -> DataFrame:
+    """(query, vec_id, distance) of the k nearest codes of each query. A code behind k others by its
+    distance and smallest id has no id among the k best: the others' smallest ids are before it."""
+    order = Window.partitionBy("query").orderBy("distance", F.get("ids", F.lit(0)))
+    kept = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return kept.select("query", F.explode("ids").alias("vec_id"), "distance")
+
+
 def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES) -> DataFrame:
     """(query, rank, vec_id, distance) of the rows that pass ``chosen``, against all rows."""
     spark = vectors.sparkSession
@@ -110,7 +118,7 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
         probe = probe.select("query", "asked", "segment", F.explode(F.transform(F.lit(masks), lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
         # both sides grow with the data and with r, which estimates before the explode don't show: no broadcast
         new = probe.hint("merge").join(filed.hint("merge"), ["segment", "value"]).select("query", "code", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
-        new = new.dropDuplicates(["query", "code"]).select("query", F.explode("ids").alias("vec_id"), "distance")
+        new = nearest_codes(new.dropDuplicates(["query", "code"]), k)
         if known is not None:
             new = new.unionByName(known).distinct()
         top = staged(best(new, k).drop("rank"), f"top{r}")
@@ -142,8 +150,8 @@ def _scan(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     def run(rows: list) -> DataFrame:
         sent = F.broadcast(spark.createDataFrame(rows, queries.schema))  # BLOCK rows
         pairs = index.join(sent, F.size("code") == F.size("asked"))
-        pairs = pairs.select("query", F.explode("ids").alias("vec_id"), distance(F.col("asked"), F.col("code")).alias("distance"))
-        return staged(best(pairs, k).drop("rank"), "scan")
+        pairs = pairs.select("query", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
+        return staged(best(nearest_codes(pairs, k), k).drop("rank"), "scan")
 
     for row in queries.toLocalIterator():
         block.append(row)
