@@ -166,7 +166,9 @@ def scored(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame
     """``docs`` with one more column."""
     names = docs.columns
     stats = F.struct(*[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()])
-    inner = docs.select(F.struct(*names).alias("row"), stats.alias("stats"))
+    # made by explode, so that a filter on the score is not moved below the statistics, which would then
+    # be computed once per rule
+    inner = docs.select(F.struct(*names).alias("row"), F.explode(F.array(stats)).alias("stats"))
     return inner.select(*[F.col("row")[n].alias(n) for n in names], model.score().alias(score))
 
 
