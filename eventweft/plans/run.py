@@ -46,11 +46,13 @@ class Batch:
     def succeeded(self, name: str, stored: DataFrame | None = None, row_bound: int | None = None) -> DataFrame:
         """Newest version of each sound row, without those stored before."""
         rows = self.all_rows(name).filter(Q.passes())
-        # New rows first: both steps see fewer rows then, and the outcome is the same.
+        order = [*VERSION_ORDER, E.ORD] if E.ORD in rows.columns else VERSION_ORDER
+        # Newest version first: each map task keeps one row per id, so a hot id is small in the join,
+        # which needs the same distribution by id.
+        rows = D.latest_per_key(rows, ["id"], order)
         if stored is not None:
             rows = D.new_only(rows, stored, row_bound=row_bound)
-        order = [*VERSION_ORDER, E.ORD] if E.ORD in rows.columns else VERSION_ORDER
-        return E.conform(D.latest_per_key(rows, ["id"], order), self.model.table(name).schema())
+        return E.conform(rows, self.model.table(name).schema())
 
     def failed(self, name: str) -> DataFrame:
         """Every failed row with its reasons; two failures that share an id both stay."""

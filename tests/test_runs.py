@@ -70,15 +70,20 @@ def test_calendar_rolls_over(spark):
     assert got["none"] == []
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_next_chunk(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(L, "SMALL_CHUNK", 0)
+def test_next_chunk(spark):
     frame = spark.range(0, 100).repartition(7)
     assert sorted(r["id"] for r in L.next_chunk(frame, 20, 10).collect()) == list(range(21, 31))
     assert L.next_chunk(frame, 99, 10).count() == 0
 
 
+@pytest.mark.parametrize(
+    "ids, limit, kept", [([1, 1, 2, 3], 1, 2), ([1, 2, 2, 2, 3], 3, 4), ([0], 5, 1), ([5, 5, 5], 1, 3), ([], 4, 0)]
+)
+def test_next_chunk_splits_no_id(spark, ids, limit, kept):
+    frame = spark.createDataFrame([(i,) for i in ids], "id long")
+    assert L.next_chunk(frame, -1, limit).count() == kept
+
+
 def test_increments_walk_through_all_files(spark, base, tmp_path):
     state, seen = str(tmp_path / "state"), []
     for _ in range(10):
