@@ -43,7 +43,7 @@ def uuid_v5(spark, sf_dir):
 )
 def latest_per_id(spark, sf_dir):
     """Every order event carries its customer; the newest version of each stays."""
-    rows = open_batch(order_events(spark, sf_dir, items=False), M.ORDERS).succeeded("customer")
+    rows = open_batch(order_events(spark, sf_dir), M.ORDERS).succeeded("customer")
     return rows.select("id", F.col("custKey").alias("custkey"), "source_id", stamp("received_at").alias("received_at"))
 
 
@@ -60,10 +60,10 @@ def new_only_anti_join(spark, sf_dir):
 
 @query(
     "sort_latest",
-    f"SELECT o_orderkey, {sql_day('o_orderdate')} AS ordered_on FROM orders WHERE o_totalprice > 250000 ORDER BY o_orderdate DESC, o_orderkey",
+    f"SELECT o_orderkey, {sql_day('o_orderdate')} AS ordered_on FROM orders ORDER BY o_orderdate DESC, o_orderkey",
 )
 def sort_latest(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").filter("o_totalprice > 250000")
+    rows = table(spark, sf_dir, "orders")
     return D.newest_first(rows, "o_orderdate", "o_orderkey").select("o_orderkey", day("o_orderdate").alias("ordered_on"))
 
 
@@ -76,7 +76,7 @@ def sort_latest(spark, sf_dir):
 )
 def time_override(spark, sf_dir):
     """Status rows take their own time, not the event's."""
-    rows = open_batch(order_events(spark, sf_dir, items=False), M.ORDERS).all_rows("statusChange")
+    rows = open_batch(order_events(spark, sf_dir), M.ORDERS).all_rows("statusChange")
     return rows.select("source_id", stamp("received_at").alias("received_at"), "code")
 
 

@@ -21,7 +21,7 @@ from eventweft.spec import ForeignKey, Link
 )
 def fk_resolve(spark, sf_dir):
     """Purchases take the id of their event's customer; the row's own id then rests on it."""
-    rows = open_batch(order_events(spark, sf_dir, items=False), M.ORDERS).all_rows("purchase")
+    rows = open_batch(order_events(spark, sf_dir), M.ORDERS).all_rows("purchase")
     return rows.select("source_id", F.col("eventInfo_name").alias("event_name"), F.col("orderKey").alias("orderkey"), "id", "customer_id")
 
 
@@ -65,7 +65,7 @@ def fk_missing_parent(spark, sf_dir):
     FROM pu JOIN re ON pu.source_id = re.source_id WHERE pu.customer_id IS NOT NULL AND re.number IS NOT NULL""",
 )
 def link_event_scope(spark, sf_dir):
-    rows = open_batch(order_events(spark, sf_dir, items=False), M.ORDERS).all_rows("purchaseReferenceLink")
+    rows = open_batch(order_events(spark, sf_dir), M.ORDERS).all_rows("purchaseReferenceLink")
     return rows.select("id", "purchase_id", "reference_id", "source_id")
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventweft.checks.registry import day, query, sql_stamp, stamp
+from eventweft.checks.registry import EVENTS, day, query, sql_stamp, stamp, with_parts
 from eventweft.functions import coerce as C
 from eventweft.functions import paths
 from eventweft.functions import text as X
 from eventweft.models.orders import STATUS_LABELS
+from eventweft.operators import extract as E
 from eventweft.sources.corpus import damaged, order_events, table
+from eventweft.spec import Column, Entity, Source
 
 
 
@@ -91,7 +93,7 @@ def coerce_decimal(spark, sf_dir):
 @query(
     "coerce_bool",
     """SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 14 < 6 THEN TRUE WHEN l_partkey % 14 < 12 THEN FALSE
-         WHEN l_partkey % 14 = 12 THEN l_linenumber <> 0 END AS value FROM lineitem""",
+         WHEN l_partkey % 14 = 12 AND l_linenumber = 1 THEN TRUE END AS value FROM lineitem""",
 )
 def coerce_bool(spark, sf_dir):
     words = [F.lit(w.upper() if i % 2 else w) for i, w in enumerate((*C.TRUE_WORDS, *C.FALSE_WORDS))]
@@ -122,7 +124,7 @@ def coerce_date(spark, sf_dir):
     "coerce_timestamp",
     f"""SELECT o_orderkey, {sql_stamp('''CASE o_orderkey % 10
         WHEN 0 THEN t WHEN 1 THEN t WHEN 2 THEN t WHEN 3 THEN t WHEN 4 THEN t WHEN 5 THEN t - INTERVAL 5 HOUR
-        WHEN 6 THEN t WHEN 7 THEN CAST(o_orderdate AS TIMESTAMP) WHEN 8 THEN t END''')} AS value
+        WHEN 6 THEN t WHEN 7 THEN CAST(o_orderdate AS TIMESTAMP) END''')} AS value
     FROM (SELECT o_orderkey, o_orderdate, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 29239 SECOND
             + CASE WHEN o_orderkey % 10 IN (2, 3, 5) THEN INTERVAL 42 MILLISECOND ELSE INTERVAL 0 SECOND END AS t FROM orders)""",
 )
@@ -145,6 +147,50 @@ def coerce_timestamp(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", stamp(C.coerce(text, "timestamp")).alias("value"))
 
 
+_KINDS = Entity(
+    "reading",
+    (
+        Column("whole", "int"), Column("wide", "bigint"), Column("amount", "decimal(12,2)"),
+        Column("yes", "boolean"), Column("at", "timestamp"), Column("seen", "string"),
+    ),
+    key=("seen",),
+    sources=(
+        Source("reading", "", {
+            "whole": "r.flag", "wide": "r.flag", "amount": "r.flag", "yes": "r.count", "at": "r.seconds", "seen": "r.count",
+        }),
+    ),
+)
+
+
+@query(
+    "coerce_json_kinds",
+    f"""WITH k AS (SELECT *, CASE WHEN l_partkey % 4 = 0 THEN 1 WHEN l_partkey % 4 = 1 THEN 0 END AS flag FROM lineitem)
+    SELECT l_orderkey AS orderkey, l_linenumber AS linenumber, l_partkey AS partkey, flag AS whole, CAST(flag AS BIGINT) AS wide,
+      CAST(flag AS DOUBLE) AS amount,
+      CASE WHEN l_partkey % 2 = 0 THEN l_linenumber > 1 WHEN l_linenumber = 1 THEN FALSE WHEN l_linenumber = 2 THEN TRUE END AS yes,
+      CASE WHEN l_partkey % 2 = 0 THEN {sql_stamp("CAST(l_shipdate AS TIMESTAMP)")} END AS at,
+      CAST(l_linenumber - 1 AS VARCHAR) AS seen FROM k""",
+)
+def coerce_json_kinds(spark, sf_dir):
+    """The same letters as a JSON number or boolean, and as a JSON text."""
+    quoted = lambda c, when: F.when(when, F.concat(F.lit('"'), c, F.lit('"'))).otherwise(c)
+    part, odd = F.col("l_partkey"), F.col("l_partkey") % 2 == 1
+    flag = quoted(F.when(part % 2 == 0, "true").otherwise("false"), part % 4 > 1)
+    count = quoted((F.col("l_linenumber") - 1).cast("string"), odd)
+    seconds = quoted(F.unix_timestamp("l_shipdate").cast("string"), odd)
+    raw = F.concat(F.lit('{"r":{"flag":'), flag, F.lit(',"count":'), count, F.lit(',"seconds":'), seconds, F.lit("}}"))
+    told = _lines(spark, sf_dir).select(
+        F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("source_id"), F.lit("reading").alias("event_name"),
+        F.lit(None).cast("timestamp").alias("event_time"), raw.alias("raw"),
+    )
+    rows = E.extract(paths.with_document(told, "raw", E.model_shape([_KINDS])), _KINDS)
+    return rows.select(
+        F.col("source_id.l_orderkey").alias("orderkey"), F.col("source_id.l_linenumber").alias("linenumber"),
+        F.col("source_id.l_partkey").alias("partkey"), "whole", "wide", F.col("amount").cast("double").alias("amount"),
+        "yes", stamp("at").alias("at"), "seen",
+    )
+
+
 @query(
     "coerce_binary",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'order' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') ELSE 'key ' || o_orderkey END AS value FROM orders""",
@@ -185,11 +231,10 @@ def normalize_code(spark, sf_dir):
 
 @query(
     "header_fields",
-    f"""SELECT o_orderkey * 10 + 1 AS id, {sql_stamp('''CAST(o_orderdate AS TIMESTAMP) + INTERVAL 29239 SECOND
-        + INTERVAL (o_orderkey % 1000) MILLISECOND''')} AS event_timestamp, 'orderCreate' AS event_name FROM orders""",
+    f"""{with_parts(EVENTS)} SELECT source_id AS id, {sql_stamp("received_at")} AS event_timestamp, event_name FROM ev""",
 )
 def header_fields(spark, sf_dir):
-    events = order_events(spark, sf_dir, items=False).select("id", "raw").filter("id % 10 = 1")
+    events = order_events(spark, sf_dir).select("id", "raw")
     doc = paths.with_document(events, "raw", paths.shape([X.TIME_PATH, X.NAME_PATH]))
     time, name = X.header_fields("doc")
     return doc.select("id", stamp(time).alias("event_timestamp"), name)
@@ -197,14 +242,14 @@ def header_fields(spark, sf_dir):
 
 @query(
     "raw_repair",
-    """SELECT n % 10 AS kind, count(*) AS n_events, count_if(k % 13 <> 0) AS n_sound FROM (
+    """SELECT n % 10 AS kind, count(*) AS n_events, count_if(k % 13 > 2) AS n_sound FROM (
       SELECT o_orderkey AS k, o_orderkey * 10 + 1 AS n FROM orders
       UNION ALL SELECT o_orderkey, o_orderkey * 10 + 2 FROM orders WHERE o_orderkey % 10 = 0
       UNION ALL SELECT o_orderkey, o_orderkey * 10 + 3 FROM orders WHERE o_orderstatus = 'F') GROUP BY 1""",
 )
 def raw_repair(spark, sf_dir):
-    """Damaged texts, once mended, equal the texts they came from; cut-off ones cannot be mended."""
-    sound = order_events(spark, sf_dir, items=False).select("id", "raw", F.col("raw").alias("sound"))
+    """Damaged texts, once mended, equal the texts they came from; those cut off or with more text after them cannot be mended."""
+    sound = order_events(spark, sf_dir).select("id", "raw", F.col("raw").alias("sound"))
     mended = damaged(sound).select("id", "sound", X.repair_raw("raw").alias("mended"))
     return mended.groupBy((F.col("id") % 10).alias("kind")).agg(
         F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("mended") == F.col("sound")).alias("n_sound")

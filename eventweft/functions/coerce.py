@@ -17,7 +17,8 @@ TRUE_WORDS = ("true", "t", "yes", "y", "1", "on")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "off")
 CURRENCY_SIGNS = "$€£,"
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# What ``schema_of_variant`` calls a JSON number begins with one of these.
+_NUMBERS = r"^(BIGINT|DECIMAL|DOUBLE)"
 _LAST_EPOCH_SECOND = 253402300799  # the end of year 9999
 
 
@@ -29,14 +30,13 @@ def to_text(text: Column) -> Column:
 
 
 def _whole_number(clean: Column, kind: str) -> Column:
-    """Exact whole numbers first; text with a point is cut towards zero; JSON booleans are 1 and 0."""
+    """Exact whole numbers first; text with a point is cut towards zero."""
     plain = F.translate(clean, ",", "")
     # A cast of a decimal to a whole type cuts towards zero.
     wide = F.coalesce(plain.try_cast("decimal(38,12)"), plain.try_cast("double").try_cast("decimal(38,12)"))
     return F.coalesce(
         plain.try_cast(kind),
         F.when(plain.contains("."), wide.try_cast(kind)),
-        F.when(clean == "true", F.lit(1)).when(clean == "false", F.lit(0)).cast(kind),
     )
 
 
@@ -50,10 +50,7 @@ def to_long(clean: Column) -> Column:
 
 def to_decimal(clean: Column, precision: int = 12, scale: int = 2) -> Column:
     kind = f"decimal({precision},{scale})"
-    return F.coalesce(
-        F.translate(clean, CURRENCY_SIGNS, "").try_cast(kind),
-        F.when(clean == "true", F.lit(1)).when(clean == "false", F.lit(0)).cast(kind),
-    )
+    return F.translate(clean, CURRENCY_SIGNS, "").try_cast(kind)
 
 
 def to_double(clean: Column) -> Column:
@@ -62,11 +59,7 @@ def to_double(clean: Column) -> Column:
 
 def to_boolean(clean: Column) -> Column:
     word = F.lower(clean)
-    return (
-        F.when(word.isin(*TRUE_WORDS), F.lit(True))
-        .when(word.isin(*FALSE_WORDS), F.lit(False))
-        .when(word.rlike(_NUMBER), word.try_cast("double") != 0)
-    )
+    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
 # Accepted date shapes in the order tried. Each reshapes to year-month-day.
@@ -108,13 +101,12 @@ TIME_SHAPES = (
 
 
 def to_timestamp(clean: Column) -> Column:
-    """Known shapes first, then a leading date; a bare number counts seconds since 1970."""
-    seconds = clean.try_cast("decimal(20,6)")
+    """Known shapes first, then a leading date. Digits alone are no time: only a JSON number counts
+    seconds, see ``json_text_sql``."""
     lead = F.substring(clean, 1, 10)
     return F.coalesce(
         _reshaped(clean, TIME_SHAPES, "timestamp"),
         F.when(lead.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), lead.try_cast("date").cast("timestamp")),
-        F.when(F.abs(seconds) <= _LAST_EPOCH_SECOND, seconds.try_cast("timestamp")),
     )
 
 
@@ -141,6 +133,32 @@ _PLAIN: dict[str, Callable[[Column], Column]] = {
 }
 
 
+def kind_counts(kind: str) -> bool:
+    """Whether a column of this type reads a JSON number or boolean otherwise than the same text."""
+    return kind in ("int", "bigint", "boolean", "timestamp") or kind.startswith("decimal(")
+
+
+def json_text_sql(leaf: str, kind: str) -> str:
+    """SQL for the text of a document's end, so that coercion of the text gives what the JSON value means.
+
+    In a boolean column a JSON number is true unless zero, in a time column it counts seconds since
+    1970, and in a number column a JSON boolean is 1 or 0. A JSON text stays as it is. The end must be
+    a VARIANT where ``kind_counts``.
+    """
+    text = f"try_cast({leaf} AS string)"
+    if not kind_counts(kind):
+        return text
+    found = f"schema_of_variant({leaf})"
+    if kind == "boolean":
+        number = f"cast(try_variant_get({leaf}, '$', 'double') <> 0 AS string)"
+        return f"CASE WHEN {found} RLIKE '{_NUMBERS}' THEN {number} ELSE {text} END"
+    if kind == "timestamp":
+        seconds = f"try_variant_get({leaf}, '$', 'decimal(20,6)')"
+        time = f"CASE WHEN abs({seconds}) <= {_LAST_EPOCH_SECOND} THEN cast(cast({seconds} AS timestamp) AS string) END"
+        return f"CASE WHEN {found} RLIKE '{_NUMBERS}' THEN {time} ELSE {text} END"
+    return f"CASE WHEN {found} = 'BOOLEAN' THEN cast(cast(try_variant_get({leaf}, '$', 'boolean') AS int) AS string) ELSE {text} END"
+
+
 def from_text(clean: Column, kind: str) -> Column:
     """Text already through ``to_text`` to a type given as its SQL name, such as ``decimal(12,2)``."""
     if kind.startswith("decimal("):

@@ -12,7 +12,6 @@ and one parse of their text is far quicker than a call into the JVM for each ste
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -20,8 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_STEP = re.compile(r"(\w+)(?:\[(\d*)\])?\Z")
-MISFIT = "_misfit"
+MISFIT, WHOLE, CHECK = "_misfit", "_whole", "_check"
 
 
 @dataclass(frozen=True)
@@ -35,11 +33,12 @@ def steps(path: str) -> tuple[Step, ...]:
     """Split path text; the empty path is the document itself."""
     out = []
     for part in path.split(".") if path else []:
-        found = _STEP.match(part)
-        if found is None:
+        key, bracket, rest = part.partition("[")
+        inside = rest.removesuffix("]")
+        sound = rest.endswith("]") and (inside == "" or inside.isdecimal()) if bracket else True
+        if not sound or not key.replace("_", "a").isalnum():
             raise ValueError(f"bad step {part!r} in path {path!r}")
-        key, inside = found.groups()
-        out.append(Step(key, int(inside) if inside else None, inside == ""))
+        out.append(Step(key, int(inside) if inside else None, bool(bracket) and inside == ""))
     return tuple(out)
 
 
@@ -50,8 +49,9 @@ def fans_out(path: str) -> bool:
 # Shape
 
 
-def shape(paths: Iterable[str]) -> T.StructType:
-    """The part of a document that the paths reach."""
+def shape(paths: Iterable[str], kept: Iterable[str] = ()) -> T.StructType:
+    """The part of a document that the paths reach. Ends are text, those in ``kept`` are VARIANT,
+    which tells a JSON number or boolean from a text of the same letters."""
     root: dict = {}
     arrays: dict[tuple[str, ...], bool] = {}
     for path in paths:
@@ -63,10 +63,11 @@ def shape(paths: Iterable[str]) -> T.StructType:
                 raise ValueError(f"{'.'.join(trail)} is read both as an array and as one value")
             here = here.setdefault(step.key, {})
     ends = {tuple(s.key for s in steps(p)) for p in paths}
+    variants = {tuple(s.key for s in steps(p)) for p in kept}
 
     def build(node: dict, trail: tuple[str, ...]) -> T.DataType:
         if not node:
-            kind: T.DataType = T.StringType()
+            kind: T.DataType = T.VariantType() if trail in variants else T.StringType()
         else:
             if trail in ends and trail:
                 raise ValueError(f"{'.'.join(trail)} is read both as text and as an object")
@@ -78,18 +79,33 @@ def shape(paths: Iterable[str]) -> T.StructType:
 
 
 def with_document(events: DataFrame, raw: str, kind: T.StructType, name: str = "doc") -> DataFrame:
-    """Replace raw text by its document in the given shape; NULL where no object can be parsed."""
-    parsed = T.StructType([*kind.fields, T.StructField(MISFIT, T.StringType())])
+    """Replace raw text by its document in the given shape; NULL where no object can be parsed.
+
+    Text after the document makes it malformed. A parser stops after the first value, so the text is
+    parsed inside an object that ends with its own hash: whatever follows the document breaks it.
+    """
+    parsed = T.StructType([T.StructField(WHOLE, kind), T.StructField(CHECK, T.LongType()), T.StructField(MISFIT, T.StringType())])
     others = [F.col(c) for c in events.columns if c != raw]
     # Two steps, so that the parse is done once and then used twice.
     fast = events.select(
         *others,
         F.col(raw),
-        F.from_json(raw, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MISFIT}).alias("_fast"),
+        F.from_json(F.expr(_enclosed_sql(f"`{raw}`")), parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MISFIT}).alias("_fast"),
     )
-    fits = F.col("_fast").isNotNull() & F.col(f"_fast.{MISFIT}").isNull()
-    careful = F.expr(read_variant_sql(repaired_variant_sql(raw), parsed))
-    return fast.select(*others, F.when(fits, F.col("_fast")).otherwise(careful).alias(name))
+    fits = F.col(f"_fast.{MISFIT}").isNull() & (F.col(f"_fast.{CHECK}") == F.xxhash64(raw)) & F.col(f"_fast.{WHOLE}").isNotNull()
+    careful = F.expr(read_variant_sql(repaired_variant_sql(raw), kind))
+    return fast.select(*others, F.when(fits, F.col(f"_fast.{WHOLE}")).otherwise(careful).alias(name))
+
+
+def _enclosed_sql(text: str) -> str:
+    return f"""concat('{{"{WHOLE}":', {text}, ',"{CHECK}":', xxhash64({text}), '}}')"""
+
+
+def strict_variant_sql(text: str) -> str:
+    """VARIANT of a text that is one JSON value and nothing more, else NULL."""
+    ended = f"try_variant_get(v, '$.{CHECK}', 'bigint') = xxhash64({text})"
+    inside = f"CASE WHEN {ended} THEN try_variant_get(v, '$.{WHOLE}', 'variant') END"
+    return f"get(transform(array(try_parse_json({_enclosed_sql(text)})), v -> {inside}), 0)"
 
 
 # Texts that a careless export has wrapped in quotes or whose quotes it has doubled.
@@ -109,12 +125,14 @@ def quoted_whole_sql(raw: str) -> str:
 def repaired_variant_sql(raw: str) -> str:
     """VARIANT of raw text, mended if need be; sound text is parsed only once."""
     unwrapped, mended = raw_forms_sql(raw)
-    sound = f"CASE WHEN NOT {quoted_whole_sql(raw)} THEN try_parse_json(`{raw}`) END"
-    return f"coalesce({sound}, try_parse_json({unwrapped}), try_parse_json({mended}))"
+    sound = f"CASE WHEN NOT {quoted_whole_sql(raw)} THEN {strict_variant_sql(f'`{raw}`')} END"
+    return f"coalesce({sound}, {strict_variant_sql(unwrapped)}, {strict_variant_sql(mended)})"
 
 
 def read_variant_sql(value: str, kind: T.DataType) -> str:
     """A VARIANT read into a shape: what does not fit is NULL, a lone value stands for an array of one."""
+    if isinstance(kind, T.VariantType):
+        return value
     if isinstance(kind, T.StringType):
         return f"try_variant_get({value}, '$', 'string')"
     if isinstance(kind, T.ArrayType):

@@ -13,10 +13,10 @@ from eventweft.functions import paths
 def repair_raw(raw: str) -> Column:
     """Mend JSON text whose quotes were doubled by an extra CSV round; leave text that parses."""
     unwrapped, mended = paths.raw_forms_sql(raw)
+    sound = lambda text: f"{paths.strict_variant_sql(text)} IS NOT NULL"
     return F.expr(
-        f"CASE WHEN NOT {paths.quoted_whole_sql(raw)} AND try_parse_json(`{raw}`) IS NOT NULL THEN `{raw}` "
-        f"WHEN try_parse_json({unwrapped}) IS NOT NULL THEN {unwrapped} "
-        f"WHEN try_parse_json({mended}) IS NOT NULL THEN {mended} ELSE `{raw}` END"
+        f"CASE WHEN NOT {paths.quoted_whole_sql(raw)} AND {sound(f'`{raw}`')} THEN `{raw}` "
+        f"WHEN {sound(unwrapped)} THEN {unwrapped} WHEN {sound(mended)} THEN {mended} ELSE `{raw}` END"
     )
 
 

@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A batch of at most this many rows may have its ids broadcast: about 40 bytes each.
-BROADCAST_ROWS = 1_000_000
-
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by the ``newest`` columns, which should order rows totally.
@@ -26,14 +23,12 @@ def newest_first(rows: DataFrame, column: str, *ties: str) -> DataFrame:
     return rows.orderBy(F.col(column).desc_nulls_last(), *ties)
 
 
-def new_only(rows: DataFrame, stored: DataFrame, key: str = "id", row_bound: int | None = None) -> DataFrame:
+def new_only(rows: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not stored yet.
 
-    The stored side grows without end. When the caller proves the batch small by ``row_bound``,
-    its keys are broadcast to cut the stored keys down to those of the batch, in one scan of one
-    column and no shuffle of the stored side. Otherwise both sides shuffle on the key.
+    The stored side grows without end, so its keys are first cut down to those of the batch. Spark
+    measures the batch's keys as it runs and broadcasts them if they are few: the store is then scanned
+    for one column and not shuffled. Nothing is broadcast on a caller's word.
     """
-    known = stored.select(key)
-    if row_bound is not None and row_bound <= BROADCAST_ROWS:
-        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
+    known = stored.select(key).join(rows.select(key), key, "left_semi")
     return rows.join(known, key, "left_anti")

@@ -20,11 +20,20 @@ ORD = "_ord"
 
 def model_shape(entities: Iterable[Entity]) -> T.StructType:
     """What the documents of these tables look like, as far as the tables read them."""
-    found = {p for e in entities for s in e.sources for p in s.fields.values() if p}
-    return paths.shape(sorted(found))
+    read = [(p, e, name) for e in entities for s in e.sources for name, p in s.fields.items() if p]
+    kept = {p for p, e, name in read if C.kind_counts(_kinds(e)[name])}
+    return paths.shape(sorted({p for p, _, _ in read}), kept)
 
 
-def _source_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
+def _kinds(entity: Entity) -> dict[str, str]:
+    return {c.name: c.kind for c in entity.columns}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _source_rows_sql(doc: str, source: Source, kinds: dict[str, str]) -> str:
     """``array<struct<ord, text of each column>>`` of one source; unmapped columns give NULL.
 
     A column whose path lies outside the row is read from the document and repeats on every row.
@@ -37,13 +46,14 @@ def _source_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
         rest = source.relative(path)
         if rest is None and paths.fans_out(path):
             raise ValueError(f"{name}: {path!r} leaves the rows of {source.rows_from!r}; use another source")
-        return paths.scalar_sql(doc, path) if rest is None else paths.scalar_sql("n.node", rest)
+        leaf = paths.scalar_sql(doc, path) if rest is None else paths.scalar_sql("n.node", rest)
+        return C.json_text_sql(leaf, kinds[name])
 
-    columns = ", ".join(f"'{n}', {text(n)}" for n in names)
+    columns = ", ".join(f"{_quoted(n)}, {text(n)}" for n in kinds)
     return f"transform({paths.nodes_sql(doc, source.rows_from)}, n -> named_struct('{ORD}', n.ord, {columns}))"
 
 
-def _compact_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
+def _compact_rows_sql(doc: str, source: Source, kinds: dict[str, str]) -> str:
     """Each column's values as a list without gaps, paired by position and padded with NULL.
 
     A value after a gap moves up, and the value of a path without ``[]`` fills only the first row.
@@ -56,13 +66,14 @@ def _compact_rows_sql(doc: str, source: Source, names: Sequence[str]) -> str:
         if path is None:
             return empty
         if paths.fans_out(path):
-            return f"coalesce({paths.every_sql(doc, path)}, {empty})"
-        one = paths.scalar_sql(doc, path)
+            texts = f"transform({paths.every_sql(doc, path)}, x -> {C.json_text_sql('x', kinds[name])})"
+            return f"coalesce(filter({texts}, t -> t IS NOT NULL), {empty})"
+        one = C.json_text_sql(paths.scalar_sql(doc, path), kinds[name])
         return f"CASE WHEN {one} IS NOT NULL THEN array({one}) ELSE {empty} END"
 
     # Zipped by index, which keeps the column names out of the zip itself.
-    zipped = f"arrays_zip({', '.join(values(n) for n in names)})"
-    columns = ", ".join(f"'{n}', z.`{k}`" for k, n in enumerate(names))
+    zipped = f"arrays_zip({', '.join(values(n) for n in kinds)})"
+    columns = ", ".join(f"{_quoted(n)}, z.`{k}`" for k, n in enumerate(kinds))
     return f"transform({zipped}, (z, i) -> named_struct('{ORD}', array(i), {columns}))"
 
 
@@ -72,14 +83,15 @@ def text_rows(doc: str, event: str, entity: Entity) -> Column:
     Several sources in one event type are joined end to end.
     """
     names = entity.column_names
+    kinds = {n: _kinds(entity)[n] for n in names}
     by_event: dict[str, list[Source]] = {}
     for s in entity.sources:
         by_event.setdefault(s.event, []).append(s)
     branches = []
     for name, group in by_event.items():
-        parts = [(_compact_rows_sql if s.align == "compact" else _source_rows_sql)(doc, s, names) for s in group]
+        parts = [(_compact_rows_sql if s.align == "compact" else _source_rows_sql)(doc, s, kinds) for s in group]
         rows = f"flatten(filter(array({', '.join(parts)}), p -> p IS NOT NULL))" if len(parts) > 1 else parts[0]
-        branches.append(f"WHEN `{event}` = '{name}' THEN {rows}")
+        branches.append(f"WHEN `{event}` = {_quoted(name)} THEN {rows}")
     if not branches:
         return F.lit(None).cast(T.ArrayType(_text_struct(names)))
     return F.expr(f"CASE {' '.join(branches)} END")

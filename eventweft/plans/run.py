@@ -43,7 +43,7 @@ class Batch:
         """Sound rows as extracted, so that children can refer to rows stored long before."""
         return E.conform(self.all_rows(name).filter(Q.passes()), self.model.table(name).schema())
 
-    def succeeded(self, name: str, stored: DataFrame | None = None, row_bound: int | None = None) -> DataFrame:
+    def succeeded(self, name: str, stored: DataFrame | None = None) -> DataFrame:
         """Newest version of each sound row, without those stored before."""
         rows = self.all_rows(name).filter(Q.passes())
         order = [*VERSION_ORDER, E.ORD] if E.ORD in rows.columns else VERSION_ORDER
@@ -51,7 +51,7 @@ class Batch:
         # which needs the same distribution by id.
         rows = D.latest_per_key(rows, ["id"], order)
         if stored is not None:
-            rows = D.new_only(rows, stored, row_bound=row_bound)
+            rows = D.new_only(rows, stored)
         return E.conform(rows, self.model.table(name).schema())
 
     def failed(self, name: str) -> DataFrame:

@@ -49,8 +49,15 @@ def _own_folder() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
-    return spark.conf.get(CHECKPOINT_KEY, None) or _own_folder()
+    """The shared folder the cluster names. Where none is named one is made only for a master on this
+    very machine, as in tests, whose folders all tasks share; on a cluster that is an error."""
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    if named:
+        return named
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    return _own_folder()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -10,42 +10,18 @@ from pyspark.sql import functions as F
 
 from eventweft.session import staged
 
-# Line items per document. An order with more gets several documents.
-ITEMS_PER_EVENT = 256
-_NEXT_DOCUMENT = 10_000_000_000_000  # far above ten times any order key
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, scan: DataFrame, key: str) -> DataFrame:
-    """At least as many partitions as there are cores, where the scan had fewer.
-
-    Documents cost CPU out of proportion to the bytes they are made from, so a few small files must
-    not mean a few tasks; large tables, which come in many partitions, are not shuffled for it.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if scan.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
-
-
 def money(value: Column, kind: str = "decimal(12,2)") -> Column:
     return value.cast(kind)
 
 
 def _item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items gathered per order, in lists of bounded length.
-
-    Orders are counted first, with partial sums on the map side. Items of an order above the
-    bound are spread over as many documents as it needs by a salt fixed at the scan, so no list,
-    and no task, holds more of one order than the bound allows for.
-    """
-    lines = table(spark, sf_dir, "lineitem").withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
-    sizes = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > ITEMS_PER_EVENT)
-    spread = lines.join(large, "l_orderkey", "left").withColumn(
-        "chunk", F.coalesce(F.pmod("_salt", F.ceil(F.col("_n") * 2 / ITEMS_PER_EVENT)), F.lit(0))
-    )
+    """Line items gathered per order: one order is one document, whatever its size, so the list is as
+    long as the document has to be."""
+    lines = table(spark, sf_dir, "lineitem")
     charge = lambda kind, amount: F.struct(F.lit(kind).alias("kind"), money(F.col(amount), "decimal(5,2)").alias("amount"))
     charges = F.filter(
         F.array(charge("discount", "l_discount"), charge("tax", "l_tax")), lambda c: c["amount"] > F.lit(0)
@@ -62,7 +38,7 @@ def _item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("ship"),
         charges.alias("charges"),
     )
-    return spread.groupBy("l_orderkey", "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def header_text(day: Column, millis: Column) -> Column:
@@ -80,30 +56,31 @@ def _envelope(name: Column, time_text: Column, body: str, content: Column) -> Co
     )
 
 
-def make_order_events(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation")
+    return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by their key, the distribution that the join with line items needs; making documents
+    costs CPU out of proportion to the bytes read, so it should not keep the scan's few partitions."""
+    return table(spark, sf_dir, "orders").repartition("o_orderkey")
+
+
+def make_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orderCreate`` for every order, ``orderModify`` for every tenth key, ``orderCancel`` for status F."""
-    orders = table(spark, sf_dir, "orders")
-    people = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    full = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
-    if items:
-        full = full.join(_item_lists(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    else:
-        full = full.withColumn("chunk", F.lit(0)).withColumn("items", F.lit(None).cast("array<string>"))
+    whole = _orders(spark, sf_dir).join(_item_lists(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    full = whole.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")
     kinds = F.filter(
         F.array(
             F.struct(F.lit(1).alias("n"), F.lit("orderCreate").alias("name")),
             F.when(key % 10 == 0, F.struct(F.lit(2).alias("n"), F.lit("orderModify").alias("name"))),
-            F.when(
-                (F.col("o_orderstatus") == "F") & (F.coalesce(F.col("chunk"), F.lit(0)) == 0),
-                F.struct(F.lit(3).alias("n"), F.lit("orderCancel").alias("name")),
-            ),
+            F.when(F.col("o_orderstatus") == "F", F.struct(F.lit(3).alias("n"), F.lit("orderCancel").alias("name"))),
         ),
         lambda k: k.isNotNull(),
     )
-    typed = spread(full, orders, "o_orderkey").withColumn("event", F.explode(kinds))
+    typed = full.withColumn("event", F.explode(kinds))
     n, name = F.col("event.n"), F.col("event.name")
     day = F.col("o_orderdate") + F.make_dt_interval(n - 1)
     customer = F.struct(
@@ -148,7 +125,7 @@ def make_order_events(spark: SparkSession, sf_dir: str, items: bool = True) -> D
     text = header_text(day, key)
     raw = F.when(n == 3, _envelope(name, text, "cancellation", cancel)).otherwise(_envelope(name, text, "order", order))
     return typed.select(
-        (key * 10 + n + F.coalesce(F.col("chunk"), F.lit(0)) * _NEXT_DOCUMENT).alias("id"),
+        (key * 10 + n).alias("id"),
         (day + F.make_dt_interval(F.lit(0), F.lit(8), F.lit(7), F.lit(19) + (key % 1000).cast("decimal(18,6)") / 1000))
         .cast("timestamp")
         .alias("event_timestamp"),
@@ -179,24 +156,31 @@ def make_part_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple, DataFrame] = {}
 
 
-def _landed(spark: SparkSession, sf_dir: str, make, *more) -> DataFrame:
-    """Events as a run finds them, stored: made once per session and read from there."""
-    key = (spark.sparkContext.applicationId, sf_dir, make.__name__, *more)
+def _version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """What tells whether a table's files are still the same; the listing reads no content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+
+
+def _landed(spark: SparkSession, sf_dir: str, make, *tables: str) -> DataFrame:
+    """Events as a run finds them, stored: made once per session for each state of the tables."""
+    versions = [_version(spark, sf_dir, name) for name in tables]
+    key = (spark.sparkContext.applicationId, sf_dir, make.__name__, *versions)
     if key not in _LANDED:
-        _LANDED[key] = staged(make(spark, sf_dir, *more), "events")
+        _LANDED[key] = staged(make(spark, sf_dir), "events")
     return _LANDED[key]
 
 
-def order_events(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
-    return _landed(spark, sf_dir, make_order_events, items)
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, make_order_events, "orders", "lineitem", "customer", "nation")
 
 
 def part_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(spark, sf_dir, make_part_events)
+    return _landed(spark, sf_dir, make_part_events, "part")
 
 
 def stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(spark, sf_dir, make_stay_events)
+    return _landed(spark, sf_dir, make_stay_events, "orders", "customer", "nation")
 
 
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,12 +188,15 @@ def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged(events: DataFrame) -> DataFrame:
-    """The same events as careless exports leave them: quotes doubled, wrapped, or text cut off."""
+    """The same events as careless exports leave them: quotes doubled, wrapped, text cut off or more
+    text after the document."""
     doubled = F.replace(F.col("raw"), F.lit('"'), F.lit('""'))
     pick = F.col("id") % 10 + F.floor(F.col("id") / 10) % 7
     return events.withColumn(
         "raw",
         F.when(F.floor(F.col("id") / 10) % 13 == 0, F.substr(F.col("raw"), F.lit(1), F.length("raw") - 5))
+        .when(F.floor(F.col("id") / 10) % 13 == 1, F.concat("raw", "raw"))
+        .when(F.floor(F.col("id") / 10) % 13 == 2, F.concat("raw", F.lit(" and more")))
         .when(pick == 2, doubled)
         .when(pick == 3, F.concat(F.lit('"'), doubled, F.lit('"')))
         .otherwise(F.col("raw")),
@@ -221,18 +208,14 @@ def make_stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The nation is the hotel, every seventh without a currency; the customer is the guest.
     """
-    people = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    orders = table(spark, sf_dir, "orders")
-    full = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    full = _orders(spark, sf_dir).join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     key, nation = F.col("o_orderkey"), F.col("n_nationkey")
     kinds = F.array(
         F.struct(F.lit(1).alias("n"), F.lit("reservationCreate").alias("name"), F.lit("reservation").alias("body")),
         F.when(F.col("o_orderstatus") == "O", F.struct(F.lit(2).alias("n"), F.lit("reservationCheckIn").alias("name"), F.lit("checkIn").alias("body"))),
         F.when(F.col("o_orderstatus") == "F", F.struct(F.lit(3).alias("n"), F.lit("reservationCancel").alias("name"), F.lit("cancellation").alias("body"))),
     )
-    typed = spread(full, orders, "o_orderkey").withColumn("event", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
+    typed = full.withColumn("event", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
     n = F.col("event.n")
     date = lambda days: F.date_format(F.date_add(F.col("o_orderdate").cast("date"), days), "yyyy-MM-dd")
     hotel = F.struct(

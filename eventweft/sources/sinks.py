@@ -63,7 +63,6 @@ def write_batch(
     first_id: int,
     last_id: int,
     append: Callable[[str, DataFrame, int], None] | None = None,
-    row_bound: int | None = None,
 ) -> list[Written]:
     """Every table of a batch, parents first: sound rows new to the store, and failures.
 
@@ -77,7 +76,7 @@ def write_batch(
         spark = batch.landed.sparkSession
         stored = scan_stored(spark, stored_glob(base, name), schema)
         own = F.input_file_name().contains(f"/{name}/{first_id}-{last_id}.parquet/")
-        n = write_range(batch.succeeded(name, stored.filter(~own), row_bound), path)
+        n = write_range(batch.succeeded(name, stored.filter(~own)), path)
         out.append(Written(name, "succeeded", n, path))
         if append is not None and n:
             append(name, spark.read.schema(schema).parquet(path), n)

@@ -212,11 +212,10 @@ def test_rows_without_time_come_last(spark):
     assert [r["seq"] for r in D.newest_first(frame, "at", "seq").collect()] == [2, 1]
 
 
-@pytest.mark.parametrize("bound", [None, 10])
-def test_new_only(spark, bound):
+def test_new_only(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "id string, v int")
     stored = spark.createDataFrame([("b",), ("c",)], "id string")
-    fresh = D.new_only(batch, stored, row_bound=bound)
+    fresh = D.new_only(batch, stored)
     assert [tuple(r) for r in fresh.collect()] == [("a", 1)]
     assert D.new_only(fresh, batch).count() == 0
 

@@ -45,12 +45,8 @@ def test_the_parse_reads_only_what_the_table_needs(stored):
 def test_small_batches_leave_the_store_in_place(spark, tmp_path):
     path = str(tmp_path / "store")
     spark.range(10).selectExpr("cast(id as string) id", "id v").write.parquet(path)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        batch = spark.range(5).selectExpr("cast(id as string) id")
-        text = plan(D.new_only(batch, spark.read.parquet(path), row_bound=100))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    batch = spark.range(5).selectExpr("cast(id as string) id")
+    text = plan(D.new_only(batch, spark.read.parquet(path)))
     store = text[text.index("BroadcastHashJoin") :]
     assert "ReadSchema: struct<id:string>" in store and "LeftSemi" in store
 
