@@ -144,6 +144,25 @@ def test_benchmark_passages_are_found(spark, docs):
     assert lsa.clean(docs, benchmark).columns == docs.columns
 
 
+def test_an_item_of_a_third_of_all_rows_is_found(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("bcdfghklmnprstvw", k=4)) + rng.choice("aeiou")
+    noise = lambda n: " ".join(word() for _ in range(n))
+    items = [(0, noise(30)), (1, noise(30))]
+    rare = items[1][1].split()
+    rows = [(i, noise(60)) for i in range(80)]
+    # between single words of another item, which are rare and so weigh more than all of the frequent item
+    rows += [(100 + i, f"{noise(20)} {rare[i % 30]} {items[0][1]} {rare[-i % 30]} {noise(20)}") for i in range(39)]
+    near = items[0][1].split()
+    near[3], near[12], near[20] = word(), word(), word()
+    rows += [(200, noise(9) + " " + " ".join(near))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = {(i, 0) for i, _ in rows if i >= 100}
+    assert {(r.doc_id, r.item_id) for r in lsa.contaminated(frame, benchmark).collect()} == want
+    assert {r.doc_id for r in lsa.clean(frame, benchmark).collect()} == set(range(80))
+
+
 def test_edited_counts_match_encoding_anew():
     import public_tokenizers
 
