@@ -163,6 +163,21 @@ def test_an_item_of_a_third_of_all_rows_is_found(spark):
     assert {r.doc_id for r in lsa.clean(frame, benchmark).collect()} == set(range(80))
 
 
+def test_long_items_and_later_places(spark):
+    rng = random.Random(26)
+    word = lambda: "".join(rng.choices("bcdfghklmnprstvw", k=4)) + rng.choice("aeiou")
+    noise = lambda n: " ".join(word() for _ in range(n))
+    long, short = noise(130), noise(50)
+    words = short.split()
+    # a part of 0.6 without the answer, then one of 0.58 with it
+    twice = " ".join([noise(40), *words[:30], noise(200), *words[16:20], *words[25:50], noise(40)])
+    rows = [(1, " ".join([noise(40), *long.split()[:90], noise(40)])), (2, twice), (3, noise(300))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in lsa.contaminated(frame, benchmark).collect()}
+    assert got == {(1, 1), (2, 2)}
+
+
 def test_edited_counts_match_encoding_anew():
     import public_tokenizers
 
