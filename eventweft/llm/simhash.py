@@ -234,10 +234,15 @@ def near_duplicates(docs: DataFrame, bound: int = CELL) -> DataFrame:
 
 def one_of_each(docs: DataFrame, bound: int = CELL) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their component; of repeated rows any one."""
-    names = docs.columns
     _, known = classes(docs, bound)
+    return smallest_of_each(docs, fingerprint(F.col("text")), known)
+
+
+def smallest_of_each(docs: DataFrame, print_of: Column, known: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the component_id of their print in ``known`` (print, root, component_id)."""
+    names = docs.columns
     known = staged(known, "known")
-    mark = docs.select(F.struct(*names).alias("row"), fingerprint(F.col("text")).alias("print"))
+    mark = docs.select(F.struct(*names).alias("row"), print_of.alias("print"))
     kept = mark.join(known, "print").filter(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
     # several rows of one id in one component, which ids alone can't part
     groups = staged(kept.groupBy("root").count().filter("count > 1").select("root"), "repeats")

@@ -63,6 +63,40 @@ def test_near_duplicates_edges(docs):
     assert kept.columns == docs.columns and kept.count() == len({r.fingerprint for r in rows})
 
 
+def test_pipeline_keeps_one_of_near_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(36)
+    word = lambda: "".join(rng.choices("bcdfghklmnprstvw", k=4)) + rng.choice("aeiou")
+    texts = []
+    for size in (1, 4, 6, 12, 25, 60, 150, 400, 900):
+        for _ in range(3):
+            words = [word() for _ in range(size)]
+            texts += [" ".join(words)] * 2
+            for changes in {1, 2, size // 100, size // 60, size // 45, size // 30}:
+                other = list(words)
+                for _ in range(changes):
+                    at = rng.randrange(len(other))
+                    other[at : at + rng.randint(0, 1)] = [word()]
+                texts.append(" ".join(other))
+    line = [word() for _ in range(40)]
+    texts += [" ".join([*line, *(word() for _ in range(20))]) for _ in range(12)] + [None, "", " "]
+    rng.shuffle(texts)
+    sets = []
+    for t in texts:
+        words = (t or "").split()
+        sets.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    near = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b) > 0
+    label = list(range(len(texts)))
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if near(sets[i], sets[j])]
+    assert sum(sets[i] != sets[j] for i, j in pairs) > 50
+    while (again := [min(label[k] for k in (i, *(x for p in pairs if i in p for x in p))) for i in range(len(texts))]) != label:
+        label = again
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert got.columns == frame.columns and sorted(r.doc_id for r in got.collect()) == sorted(set(label))
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
