@@ -89,10 +89,16 @@ def path_nested(spark, sf_dir):
 @query(
     "malformed_json",
     f"""{with_parts(EVENTS)}
-    SELECT event_name, count(*) AS n_events, count_if(o_orderkey % 13 < 3) AS n_malformed FROM ev GROUP BY event_name""",
+    SELECT event_name, count(*) AS n_events, count_if(o_orderkey % 13 < 3 OR o_orderkey % 17 < 8) AS n_malformed FROM ev GROUP BY event_name""",
 )
 def malformed_json(spark, sf_dir):
-    events = S.working_events(damaged(order_events(spark, sf_dir)), M.ORDERS, ["customer"])
+    """Text cut off, and text that goes on after the document as members, documents, the end of an array
+    or a forged check, is no document."""
+    events = damaged(order_events(spark, sf_dir))
+    ends = (', "b":"2"', ', "order":{"customer":{"custKey":9}}', ',"_whole":{"a":"2"}', " trailing", '{"a":"2"}', ',{"a":"2"}', "],[1", ',{"_check":1}')
+    tail = F.get(F.array(*[F.lit(t) for t in ends]), (F.floor(F.col("id") / 10) % 17).cast("int"))
+    events = events.withColumn("raw", F.concat("raw", F.coalesce(tail, F.lit(""))))
+    events = S.working_events(events, M.ORDERS, ["customer"])
     raw_names = F.when(F.col("source_id") % 10 == 2, "orderModify").otherwise(F.col("event_name"))
     return events.groupBy(raw_names.alias("event_name")).agg(
         F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("doc").isNull()).alias("n_malformed")

@@ -17,8 +17,8 @@ TRUE_WORDS = ("true", "t", "yes", "y", "1", "on")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "off")
 CURRENCY_SIGNS = "$€£,"
 
-# What ``schema_of_variant`` calls a JSON number begins with one of these.
-_NUMBERS = r"^(BIGINT|DECIMAL|DOUBLE)"
+# Texts that are a JSON number, or a JSON text of the same signs.
+_NUMBER_LIKE = r"^-?[0-9.]+([eE][-+]?[0-9]+)?$"
 _LAST_EPOCH_SECOND = 253402300799  # the end of year 9999
 
 
@@ -143,20 +143,26 @@ def json_text_sql(leaf: str, kind: str) -> str:
 
     In a boolean column a JSON number is true unless zero, in a time column it counts seconds since
     1970, and in a number column a JSON boolean is 1 or 0. A JSON text stays as it is. The end must be
-    a VARIANT where ``kind_counts``.
+    a VARIANT where ``kind_counts``. What a value is matters for few texts; only for these is it asked.
     """
     text = f"try_cast({leaf} AS string)"
     if not kind_counts(kind):
         return text
-    found = f"schema_of_variant({leaf})"
     if kind == "boolean":
-        number = f"cast(try_variant_get({leaf}, '$', 'double') <> 0 AS string)"
-        return f"CASE WHEN {found} RLIKE '{_NUMBERS}' THEN {number} ELSE {text} END"
-    if kind == "timestamp":
+        doubtful, asked = f"t RLIKE '{_NUMBER_LIKE}' AND t NOT IN ('0', '1')", _is_number(leaf)
+        value = f"cast(try_variant_get({leaf}, '$', 'double') <> 0 AS string)"
+    elif kind == "timestamp":
+        doubtful, asked = f"t RLIKE '{_NUMBER_LIKE}'", _is_number(leaf)
         seconds = f"try_variant_get({leaf}, '$', 'decimal(20,6)')"
-        time = f"CASE WHEN abs({seconds}) <= {_LAST_EPOCH_SECOND} THEN cast(cast({seconds} AS timestamp) AS string) END"
-        return f"CASE WHEN {found} RLIKE '{_NUMBERS}' THEN {time} ELSE {text} END"
-    return f"CASE WHEN {found} = 'BOOLEAN' THEN cast(cast(try_variant_get({leaf}, '$', 'boolean') AS int) AS string) ELSE {text} END"
+        value = f"CASE WHEN abs({seconds}) <= {_LAST_EPOCH_SECOND} THEN cast(cast({seconds} AS timestamp) AS string) END"
+    else:
+        doubtful, asked = "t IN ('true', 'false')", f"schema_of_variant({leaf}) = 'BOOLEAN'"
+        value = "CASE t WHEN 'true' THEN '1' ELSE '0' END"
+    return f"get(transform(array({text}), t -> CASE WHEN {doubtful} AND {asked} THEN {value} ELSE t END), 0)"
+
+
+def _is_number(leaf: str) -> str:
+    return f"schema_of_variant({leaf}) <> 'STRING'"
 
 
 def from_text(clean: Column, kind: str) -> Column:

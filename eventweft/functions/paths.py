@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MISFIT, WHOLE, CHECK = "_misfit", "_whole", "_check"
+CHECK, HASH = "_check", "_hash"
+#: Where a value does not fit, the whole parse must give NULL.
+PARTIAL = "spark.sql.json.enablePartialResults"
 
 
 @dataclass(frozen=True)
@@ -81,31 +83,37 @@ def shape(paths: Iterable[str], kept: Iterable[str] = ()) -> T.StructType:
 def with_document(events: DataFrame, raw: str, kind: T.StructType, name: str = "doc") -> DataFrame:
     """Replace raw text by its document in the given shape; NULL where no object can be parsed.
 
-    Text after the document makes it malformed. A parser stops after the first value, so the text is
-    parsed inside an object that ends with its own hash: whatever follows the document breaks it.
+    A parser stops after the first value and takes the last of repeated keys, so neither the text alone
+    nor an object around it shows that the text is one document. It is parsed as the first of two elements
+    of an array, whose second holds the text's hash: text that ends the document and goes on, with members,
+    further documents or the end of the array, leaves no array of exactly these two.
     """
-    parsed = T.StructType([T.StructField(WHOLE, kind), T.StructField(CHECK, T.LongType()), T.StructField(MISFIT, T.StringType())])
+    if CHECK in kind.fieldNames():
+        raise ValueError(f"a document path can't begin with {CHECK}")
+    if events.sparkSession.conf.get(PARTIAL) != "false":
+        raise ValueError(f"{PARTIAL} must be false, or values that do not fit get lost: see session.prepare")
+    elements = T.ArrayType(T.StructType([*kind.fields, T.StructField(CHECK, T.LongType())]))
     others = [F.col(c) for c in events.columns if c != raw]
-    # Two steps, so that the parse is done once and then used twice.
-    fast = events.select(
-        *others,
-        F.col(raw),
-        F.from_json(F.expr(_enclosed_sql(f"`{raw}`")), parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MISFIT}).alias("_fast"),
-    )
-    fits = F.col(f"_fast.{MISFIT}").isNull() & (F.col(f"_fast.{CHECK}") == F.xxhash64(raw)) & F.col(f"_fast.{WHOLE}").isNotNull()
+    # Steps, so that the hash and the parse are done once and then used twice.
+    hashed = events.select(*others, F.col(raw), F.xxhash64(raw).alias(HASH))
+    fast = hashed.select(*others, F.col(raw), F.col(HASH), F.from_json(F.expr(_enclosed_sql(f"`{raw}`", HASH)), elements).alias("_fast"))
+    first = F.get("_fast", F.lit(0))
+    fits = (F.size("_fast") == 2) & (F.get("_fast", F.lit(1))[CHECK] == F.col(HASH)) & first.isNotNull()
+    whole = F.struct(*[first[f.name].alias(f.name) for f in kind.fields]) if kind.fields else F.struct()
     careful = F.expr(read_variant_sql(repaired_variant_sql(raw), kind))
-    return fast.select(*others, F.when(fits, F.col(f"_fast.{WHOLE}")).otherwise(careful).alias(name))
+    return fast.select(*others, F.when(fits, whole).otherwise(careful).alias(name))
 
 
-def _enclosed_sql(text: str) -> str:
-    return f"""concat('{{"{WHOLE}":', {text}, ',"{CHECK}":', xxhash64({text}), '}}')"""
+def _enclosed_sql(text: str, digest: str) -> str:
+    return f"""concat('[', {text}, ',{{"{CHECK}":', {digest}, '}}]')"""
 
 
 def strict_variant_sql(text: str) -> str:
     """VARIANT of a text that is one JSON value and nothing more, else NULL."""
-    ended = f"try_variant_get(v, '$.{CHECK}', 'bigint') = xxhash64({text})"
-    inside = f"CASE WHEN {ended} THEN try_variant_get(v, '$.{WHOLE}', 'variant') END"
-    return f"get(transform(array(try_parse_json({_enclosed_sql(text)})), v -> {inside}), 0)"
+    parsed = f"try_parse_json({_enclosed_sql('x.t', 'x.h')})"
+    ended = f"try_variant_get(v, '$[1].{CHECK}', 'bigint') = x.h"
+    inside = f"get(transform(array({parsed}), v -> CASE WHEN {ended} THEN try_variant_get(v, '$[0]', 'variant') END), 0)"
+    return f"get(transform(array(named_struct('t', {text}, 'h', xxhash64({text}))), x -> {inside}), 0)"
 
 
 # Texts that a careless export has wrapped in quotes or whose quotes it has doubled.

@@ -31,13 +31,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the run-time settings that results depend on; all can be changed in a live session.
 
     Timestamps in documents carry no zone once repaired, so the zone is fixed. A repeated key
-    inside one JSON object keeps its last value instead of voiding the document. Projections of
+    inside one JSON object keeps its last value instead of voiding the document. A value that does not
+    fit its place in a document's shape voids the quick parse, so that the careful one reads it. Projections of
     many columns generate methods larger than the JVM compiles; above its limit of 8000 bytes
     Spark then splits the projection instead of leaving it to the bytecode interpreter. Words
     compared without regard to case are plain ASCII, for which the JVM's case mapping suffices.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.json.enablePartialResults", "false")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.icu.caseMappings.enabled", "false")
     return spark

@@ -61,15 +61,16 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by their key, the distribution that the join with line items needs; making documents
-    costs CPU out of proportion to the bytes read, so it should not keep the scan's few partitions."""
-    return table(spark, sf_dir, "orders").repartition("o_orderkey")
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Making and reading documents costs CPU out of proportion to their bytes. The number of partitions
+    is named, which keeps adaptive execution from joining them by their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def make_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orderCreate`` for every order, ``orderModify`` for every tenth key, ``orderCancel`` for status F."""
-    whole = _orders(spark, sf_dir).join(_item_lists(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # spread by the key that the join with line items needs
+    whole = _spread(table(spark, sf_dir, "orders"), "o_orderkey").join(_item_lists(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     full = whole.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")
     kinds = F.filter(
@@ -208,7 +209,8 @@ def make_stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The nation is the hotel, every seventh without a currency; the customer is the guest.
     """
-    full = _orders(spark, sf_dir).join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    full = table(spark, sf_dir, "orders").join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    full = _spread(full, "o_orderkey")
     key, nation = F.col("o_orderkey"), F.col("n_nationkey")
     kinds = F.array(
         F.struct(F.lit(1).alias("n"), F.lit("reservationCreate").alias("name"), F.lit("reservation").alias("body")),

@@ -180,8 +180,27 @@ def test_nulls_in_a_key(spark):
 
 def test_text_after_the_document_makes_it_malformed(spark):
     texts = ['{"a":"1"}', ' {"a":"1"}\n', '{"a":"1"} trailing', '{"a":"1"}{"a":"2"}', '{"a":"1"},{"a":"2"}', '{"a":"1"}}', '{"a":"1"', "", None]
-    rows = spark.createDataFrame([(t,) for t in texts], "raw string")
-    doc = P.with_document(rows, "raw", P.shape(["a"]))
-    assert [r["doc"]["a"] if r["doc"] else None for r in doc.collect()] == ["1", "1"] + [None] * 7
-    mended = rows.select(X.repair_raw("raw").alias("m")).collect()
+    texts += ['{"a":"1"}, "b":"2"', '{"a":"1"}, "a":"9"', '{"a":"1"},"_whole":{"a":"2"}', '[{"a":"1"}]', '{"a":"1"}],[1', '{"a":"1"}]', '{"a":"1"},']
+    texts += ['{"a":"1"},{"_check":1}', '{"a":"1"},{"_check":1}],[{"a":"2"}', "5", "null", "[]", '{"a":"1"},null']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, raw string")
+    doc = P.with_document(rows, "raw", P.shape(["a"])).orderBy("i")
+    assert [r["doc"]["a"] if r["doc"] else None for r in doc.collect()] == ["1", "1"] + [None] * (len(texts) - 2)
+    mended = rows.orderBy("i").select(X.repair_raw("raw").alias("m")).collect()
     assert [r["m"] for r in mended] == texts
+
+
+def test_a_value_that_does_not_fit_voids_nothing_else(spark):
+    texts = ['{"a":"1","l":{"k":"2"}}', '{"a":"1","l":[{"k":"2"},5]}', '{"a":{"x":1},"l":[]}']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, raw string")
+    doc = P.with_document(rows, "raw", P.shape(["a", "l[].k"])).orderBy("i")
+    found = [(r["doc"]["a"], [x and x["k"] for x in r["doc"]["l"] or []]) for r in doc.collect()]
+    assert found == [("1", ["2"]), ("1", ["2", None]), ('{"x":1}', [])]
+
+
+def test_lossy_parsing_is_refused(spark):
+    spark.conf.set(P.PARTIAL, "true")
+    try:
+        with pytest.raises(ValueError, match="enablePartialResults"):
+            P.with_document(spark.createDataFrame([("{}",)], "raw string"), "raw", P.shape(["a"]))
+    finally:
+        spark.conf.set(P.PARTIAL, "false")
