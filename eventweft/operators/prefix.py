@@ -3,40 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE = 1024
+from eventweft.session import staged
 
 
-def running_total(rows: DataFrame, order: Sequence[str], value: str, name: str, ranges: int = 32) -> DataFrame:
+def ranged(rows: DataFrame, order: Sequence[str], name: str = "_range") -> DataFrame:
+    """The rows sorted in ranges, each with the number of its range, written to the shared folder.
+
+    Spark samples the rows for the cuts and joins small ranges by their bytes: their number follows the
+    data. Every row of a range comes before those of the next, equal rows share a range.
+    """
+    cut = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return staged(cut.withColumn(name, F.spark_partition_id()), "ranges")
+
+
+def running_total(rows: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all rows up to and with each row, in the given order.
 
-    The order must tell rows apart. Rows fall into ranges cut at sampled rows; sums of whole ranges
-    (a few dozen numbers) are added up first, then each range adds its own rows. Cuts come from a
-    fixed pseudo-random sample, so they balance the ranges and do not bear on the result.
+    The order must tell rows apart. Sums of whole ranges, one number for each, are added up first, then
+    each range adds its own rows.
     """
-    sample = rows.select(*order).orderBy(F.xxhash64(*order), *order).limit(SAMPLE).collect()
-    points = sorted(tuple(r) for r in sample)
-    step = max(1, len(points) // ranges)
-    cuts = points[step::step]
-    here = F.struct(*order)
-    types = [rows.schema[c].dataType for c in order]
-
-    def after(cut: tuple) -> Column:
-        edge = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, order)])
-        return (here >= edge).cast("int")
-
-    ranged = rows.withColumn("_range", reduce(lambda a, b: a + b, [after(c) for c in cuts], F.lit(0)))
-    whole = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    cut = ranged(rows, order)
+    whole = cut.groupBy("_range").agg(F.sum(value).alias("_sum"))
     ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most one row per range: bounded by the number of cuts, whatever the table holds.
+    # One row per range, at most as many as shuffle partitions.
     offsets = whole.select("_range", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_before") + F.sum(value).over(inside))
-        .drop("_range", "_before")
-    )
+    total = cut.withColumn("_inside", F.sum(value).over(inside)).join(F.broadcast(offsets), "_range")
+    return total.withColumn(name, F.col("_before") + F.col("_inside")).drop("_range", "_before", "_inside")

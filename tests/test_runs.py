@@ -95,12 +95,46 @@ def test_increments_walk_through_all_files(spark, base, tmp_path):
         assert [r["id"] for r in L.next_increment(spark, base, state, budget=8).events.collect()] == got
         assert (min(got), max(got)) == (step.first_id, step.last_id)
         seen += got
-        L.save_bookmark(spark, state, step.mark)
+        L.save_progress(spark, state, step)
     assert sorted(seen) == [*range(1, 21), *range(31, 36)]
     mark = L.read_bookmark(spark, state)
     assert mark == L.Bookmark("2025", "02", "01", "raw_data_31-60.csv", 35)
 
 
+def test_only_days_since_the_bookmark_are_listed_and_late_files_are_read(spark, base, tmp_path):
+    state, seen = str(tmp_path / "state"), []
+    write_file(base, dt.date(2024, 6, 1), 900, 900, [(900, event(900))])
+
+    def run(until):
+        while (step := L.next_increment(spark, base, state, budget=30, until=until)) is not None:
+            seen.extend(r["id"] for r in step.events.collect())
+            L.save_progress(spark, state, step)
+
+    run(dt.date(2025, 2, 2))
+    assert sorted(seen) == [*range(1, 21), *range(31, 36), 900]
+    # The bookmark is where the greatest id was; later runs list from a week before.
+    L.save_bookmark(spark, state, L.Bookmark("2025", "02", "01", "raw_data_31-60.csv", 901))
+    old = os.path.join(base, "year=2024")
+    os.chmod(old, 0)
+    write_file(base, DAY, 21, 25, [(i, event(i)) for i in range(21, 26)])  # late, in an old day, below the bookmark
+    write_file(base, dt.date(2025, 2, 3), 910, 912, [(i, event(i)) for i in range(910, 913)])
+    listed = L.manifest(spark, base, dt.date(2025, 1, 25), dt.date(2025, 2, 3))
+    assert sorted({r["year"] for r in listed.select("year").collect()}) == ["2025"]
+    seen.clear()
+    run(dt.date(2025, 2, 3))
+    os.chmod(old, 0o755)
+    assert sorted(seen) == [*range(21, 26), *range(910, 913)]
+    seen.clear()
+    run(dt.date(2025, 2, 3))
+    assert seen == []
+    assert L.next_increment(spark, base, state, until=dt.date(2025, 1, 1)) is None
+
+
+def test_day_globs_name_only_their_days(spark):
+    glob = L.day_globs(spark, "/base", dt.date(2024, 12, 31), dt.date(2025, 1, 1))
+    assert glob == "/base/{year=2024/month=12/day=31,year=2025/month=01/day=01}"
+
+
 def test_headers_come_from_the_mended_document(spark, base):
     write_file(base, DAY, 61, 61, [(61, json.dumps(event(61)).replace('"', '""'))])
     row = L.with_headers(L.scan_csv(spark, base + "/*/*/*/raw_data_61-61.csv")).select(
