@@ -23,12 +23,13 @@ def newest_first(rows: DataFrame, column: str, *ties: str) -> DataFrame:
     return rows.orderBy(F.col(column).desc_nulls_last(), *ties)
 
 
-def new_only(rows: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
+def new_only(rows: DataFrame, stored: DataFrame, key: str | Sequence[str] = "id") -> DataFrame:
     """Rows whose key is not stored yet.
 
     The stored side grows without end, so its keys are first cut down to those of the batch. Spark
     measures the batch's keys as it runs and broadcasts them if they are few: the store is then scanned
-    for one column and not shuffled. Nothing is broadcast on a caller's word.
+    for its key columns and not shuffled. Nothing is broadcast on a caller's word.
     """
-    known = stored.select(key).join(rows.select(key), key, "left_semi")
-    return rows.join(known, key, "left_anti")
+    names = [key] if isinstance(key, str) else list(key)
+    known = stored.select(*names).join(rows.select(*names), names, "left_semi")
+    return rows.join(known, names, "left_anti")

@@ -181,6 +181,37 @@ def test_batches_add_only_new_rows_and_repeats_add_none(spark, tmp_path):
     assert stored.select("id").distinct().count() == 8
 
 
+def test_tables_without_rows_leave_no_folder(spark, tmp_path):
+    base = str(tmp_path / "store")
+    out = sinks.write_batch(open_batch(landed(spark, range(1, 4), refs=[]), ORDERS, stage=True), base, DAY, 1, 3)
+    folders = {(d.parent.name, d.name) for d in (tmp_path / "store").glob("year=*/month=*/day=*/batch=*/status=*/table_name=*")}
+    assert folders == {(f"status={w.status}", f"table_name={w.table}") for w in out}
+    assert {w.table for w in out} == {"customer", "purchase"} and all(w.rows for w in out)
+    assert sinks.write_batch(open_batch(landed(spark, []), ORDERS), base, DAY, 4, 9) == []
+
+
+def test_jobs_of_a_write_do_not_follow_the_number_of_tables(spark, tmp_path):
+    tracker, ran = spark.sparkContext.statusTracker(), []
+    for n, part in enumerate((ORDERS.only("customer"), ORDERS)):
+        batch = open_batch(landed(spark, range(1, 40)), part, stage=True)
+        spark.sparkContext.setJobGroup(f"write-{n}", "")
+        sinks.write_batch(batch, str(tmp_path / f"store{n}"), DAY, 1, 39)
+        ran.append(len(tracker.getJobIdsForGroup(f"write-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(ORDERS.write_order) == 11 and ran[1] < ran[0] + 11
+
+
+def test_groups_of_tables_agree_in_types():
+    for model, most in ((ORDERS, 2), (HOSPITALITY, 4)):
+        groups = sinks.alike(model)
+        assert sorted(n for g in groups for n in g) == sorted(model.write_order) and len(groups) <= most
+        for names in groups:
+            kinds = {}
+            for name in names:
+                for f in model.table(name).schema():
+                    assert kinds.setdefault(f.name, f.dataType) == f.dataType
+
+
 def test_a_store_that_cannot_be_read_is_an_error(spark, tmp_path):
     schema = ORDERS.table("customer").schema()
     assert tables.scan_stored(spark, str(tmp_path / "none"), schema).count() == 0
