@@ -12,8 +12,8 @@ compares, the open queries are compared with all codes in blocks, which is as ex
 
 Defined results: answers are by (distance, id); a query finds itself and its copies like any other row;
 fewer than k rows give shorter answers; repeated
-rows count once; NULL ids, NULL vectors and vectors of another length than the
-longest are no rows of the index and, as queries, have no answer; other columns are not read.
+rows count once; NULL ids, NULL vectors and vectors of another length than most (of equally frequent
+lengths the longest) are no rows of the index and, as queries, have no answer; other columns are not read.
 """
 
 from __future__ import annotations
@@ -89,7 +89,9 @@ def nearest_codes(found: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES) -> DataFrame:
     """(query, rank, vec_id, distance) of the rows that pass ``chosen``, against all rows."""
     spark = vectors.sparkSession
-    dims = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    size = F.size("embedding")
+    common = vectors.filter(size > 0).groupBy(size.alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
+    dims = common["dims"] if common else 0
     nothing = spark.createDataFrame([], f"query {vectors.schema['vec_id'].dataType.simpleString()}, rank int, vec_id {vectors.schema['vec_id'].dataType.simpleString()}, distance int")
     if dims <= 0:
         return nothing
