@@ -264,3 +264,35 @@ def test_top_k_matches_all_distances(spark):
         want = {(q, n + 1, i, d) for q in (0, 100) for n, (d, i) in enumerate(sorted((int((bits[q] != b).sum()), i) for i, b in bits.items())[:5])}
         assert {(r.query, r["rank"], r.vec_id, r.distance) for r in got} == want
     assert hamming.top_k(frame.limit(0), F.lit(True)).count() == 0
+
+
+def test_near_copies_of_larger_texts(spark):
+    """Near copies, many copies of one text, and a template that unlike documents share: none of these is linked."""
+    from eventweft.llm import copies
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    template = [word() for _ in range(120)]
+    rows = [(i, " ".join(template + [word() for _ in range(40)]), "t") for i in range(120)]
+    keep = set(range(120))
+    for i in range(40):
+        own = [word() for _ in range(300)]
+        other = list(own)
+        for _ in range(i % 5 + 1):
+            other[rng.randrange(300)] = word()
+        rows += [(1000 + 2 * i, " ".join(own), "n"), (1001 + 2 * i, " ".join(other), "n")]
+        keep.add(1000 + 2 * i)
+    rows += [(5000 - i, " ".join(template), "c") for i in range(300)] + [(None, " ".join(template) + " end", "c")]
+    keep.add(4701)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, sketch string").repartition(6)
+    kept = copies.one_of_each(frame)
+    assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == keep
+    assert copies.one_of_each(frame.limit(0)).count() == 0
+
+
+def test_one_long_vector_leaves_the_others(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.random() - 0.5 for _ in range(64)]) for i in range(200)] + [(500, [0.5] * 65), (None, [0.5] * 64), (600, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = hamming.top_k(frame, F.col("vec_id") % 100 == 0, 10).collect()
+    assert len(got) == 20 and {r["query"] for r in got} == {0, 100}
