@@ -5,9 +5,16 @@ Fixed values: table, column, key and event names and document paths, as the even
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from eventweft.functions.text import abbreviate_name, normalise_code
-from eventweft.models.notation import entity, link, source
-from eventweft.spec import ForeignKey, Model, Reject
+from eventweft.spec import Column, Entity, ForeignKey, Link, Model, Reject, Source
+
+
+def below(places: Mapping[str, str], *columns: str) -> list[Source]:
+    """The same columns from rows of several event types; ``a_b`` lies at ``a.b`` below the row."""
+    return [Source(event, rows, {c: f"{rows}.{c.replace('_', '.')}" for c in columns}) for event, rows in places.items()]
+
 
 ALIASES = {
     "reservationModify": "reservationCreate",
@@ -26,544 +33,1280 @@ STATUS_LABELS = {
     "reserved": "Reserved",
 }
 
-# Where the body of each event type starts.
-STAYS = {
-    "reservationCancel": "cancellation",
-    "reservationCheckIn": "checkIn",
-    "reservationCheckOut": "checkOut",
-    "reservationRoomAssigned": "roomAssignment",
-    "reservationRoomChange": "roomChange",
-    "reservationECheckIn": "eCheckIn",
-    "reservationEmailConfirmation": "emailConfirmation",
-}
-GROUPS = {"groupCreate": "group", "groupCancel": "groupCancel.group", "groupCheckOut": "groupCheckOut.group"}
-RATES = ("appliedRateUpdate", "discountRateUpdate", "fixedRateUpdate", "bestAvailableRateUpdate")
-STOCK = ("inventoryBatch", "inventoryUpdate")
-FOLIOS = ("folioGuestCreate", "folioGroupCreate", "folioHouseAccountCreate")
-INVOICE = "invoiceCreate"
-
-BODIES = (
-    {"reservationCreate": "reservation"}
-    | STAYS
-    | GROUPS
-    | {e: e for e in (*RATES, *STOCK, "housekeepingStatus", *FOLIOS, INVOICE)}
-)
-
-_IMPORT = "import_source, import_batch_id"
-_WEEK = ", ".join(f"limitToDaysOfWeek_{d}" for d in ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"))
-_WEEK_KEY = _WEEK.replace(",", "")
-
-
-def _each(bodies, below: str, fields: str):
-    """The same fields below the same place in the body of several event types."""
-    return [source(e, f"{body}.{below}", fields) for e, body in bodies.items()]
-
-
-def _without(bodies, *events):
-    return {e: b for e, b in bodies.items() if e not in events}
-
-
-_PEOPLE = _without(STAYS, "reservationECheckIn")
-_CREATED = "reservation.reservationCustomers[]"
-_ITEMS = "reservation.reservationItems[]"
-
-HOTEL_FIELDS = "hotelId, hotelCode, propertyCode, timeOffsetFromUTC, propertyName, brandCode, currencyCode"
-HOTEL = entity(
+HOTEL = Entity(
     "hotel",
-    "hotelId!, hotelCode!, propertyCode!, timeOffsetFromUTC!, propertyName!, brandCode!, currencyCode!, propertyName_abbrev",
-    "hotelId hotelCode",
-    _each(BODIES, "hotel", HOTEL_FIELDS),
+    (
+        Column("hotelId", required=True), Column("hotelCode", required=True), Column("propertyCode", required=True),
+        Column("timeOffsetFromUTC", required=True), Column("propertyName", required=True),
+        Column("brandCode", required=True), Column("currencyCode", required=True), Column("propertyName_abbrev"),
+    ),
+    key=("hotelId", "hotelCode"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.hotel", "reservationCancel": "cancellation.hotel",
+                "reservationCheckIn": "checkIn.hotel", "reservationCheckOut": "checkOut.hotel",
+                "reservationRoomAssigned": "roomAssignment.hotel", "reservationRoomChange": "roomChange.hotel",
+                "reservationECheckIn": "eCheckIn.hotel", "reservationEmailConfirmation": "emailConfirmation.hotel",
+                "groupCreate": "group.hotel", "groupCancel": "groupCancel.group.hotel",
+                "groupCheckOut": "groupCheckOut.group.hotel", "appliedRateUpdate": "appliedRateUpdate.hotel",
+                "discountRateUpdate": "discountRateUpdate.hotel", "fixedRateUpdate": "fixedRateUpdate.hotel",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.hotel", "inventoryBatch": "inventoryBatch.hotel",
+                "inventoryUpdate": "inventoryUpdate.hotel", "housekeepingStatus": "housekeepingStatus.hotel",
+                "folioGuestCreate": "folioGuestCreate.hotel", "folioGroupCreate": "folioGroupCreate.hotel",
+                "folioHouseAccountCreate": "folioHouseAccountCreate.hotel", "invoiceCreate": "invoiceCreate.hotel",
+            },
+            "hotelId", "hotelCode", "propertyCode", "timeOffsetFromUTC", "propertyName", "brandCode", "currencyCode",
+        ),
+    ),
     rejects=(Reject("propertyName", "test"),),
     derived={"propertyName_abbrev": ("propertyName", abbreviate_name)},
 )
 
-_NUMBERS = "confirmationNumber, source"
-CONFIRMATION_NUMBER = entity(
+CONFIRMATION_NUMBER = Entity(
     "confirmationNumber",
-    f"confirmationNumber!, source!, {_IMPORT}",
-    "confirmationNumber source",
-    [
-        source("reservationCreate", "reservation.reservationConfirmationNumbers[]", _NUMBERS),
-        *_each(_without(STAYS, "reservationECheckIn"), "reservationConfirmationNumbers[]", _NUMBERS),
-        source("reservationECheckIn", "eCheckIn.confirmationNumbers[]", _NUMBERS),
-        source("reservationCheckOut", "checkOut.group.confirmationNumbers[]", _NUMBERS),
-        *_each(GROUPS, "confirmationNumbers[]", _NUMBERS),
-        source("housekeepingStatus", "housekeepingStatus.confirmationNumbers[]", _NUMBERS),
-    ],
-)
-
-_STATUS = "statusTimestamp, reservationStatus, operatorId, confirmationId, callerName"
-RESERVATION_STATUS = entity(
+    (
+        Column("confirmationNumber", required=True), Column("source", required=True), Column("import_source"),
+        Column("import_batch_id"),
+    ),
+    key=("confirmationNumber", "source"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationConfirmationNumbers[]",
+                "reservationCancel": "cancellation.reservationConfirmationNumbers[]",
+                "reservationCheckIn": "checkIn.reservationConfirmationNumbers[]",
+                "reservationCheckOut": "checkOut.reservationConfirmationNumbers[]",
+                "reservationRoomAssigned": "roomAssignment.reservationConfirmationNumbers[]",
+                "reservationRoomChange": "roomChange.reservationConfirmationNumbers[]",
+                "reservationEmailConfirmation": "emailConfirmation.reservationConfirmationNumbers[]",
+                "reservationECheckIn": "eCheckIn.confirmationNumbers[]",
+            },
+            "confirmationNumber", "source",
+        ),
+        *below(
+            {
+                "reservationCheckOut": "checkOut.group.confirmationNumbers[]",
+                "groupCreate": "group.confirmationNumbers[]",
+                "groupCancel": "groupCancel.group.confirmationNumbers[]",
+                "groupCheckOut": "groupCheckOut.group.confirmationNumbers[]",
+                "housekeepingStatus": "housekeepingStatus.confirmationNumbers[]",
+            },
+            "confirmationNumber", "source",
+        ),
+    ),
+)
+
+RESERVATION_STATUS = Entity(
     "reservationStatus",
-    f"statusTimestamp! time, reservationStatus!, operatorId, confirmationId whole, callerName, {_IMPORT}",
-    "statusTimestamp reservationStatus confirmationId",
-    [
-        source("reservationCreate", "reservation.reservationStatuses[]", _STATUS),
-        *_each(_without(STAYS, "reservationCancel", "reservationEmailConfirmation"), "reservationStatus", _STATUS),
-    ],
+    (
+        Column("statusTimestamp", "timestamp", True), Column("reservationStatus", required=True),
+        Column("operatorId"), Column("confirmationId", "int"), Column("callerName"), Column("import_source"),
+        Column("import_batch_id"),
+    ),
+    key=("statusTimestamp", "reservationStatus", "confirmationId"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationStatuses[]",
+                "reservationCheckIn": "checkIn.reservationStatus",
+                "reservationCheckOut": "checkOut.reservationStatus",
+                "reservationRoomAssigned": "roomAssignment.reservationStatus",
+                "reservationRoomChange": "roomChange.reservationStatus",
+                "reservationECheckIn": "eCheckIn.reservationStatus",
+            },
+            "statusTimestamp", "reservationStatus", "operatorId", "confirmationId", "callerName",
+        ),
+    ),
     time_column="statusTimestamp",
-    derived={"reservationStatus": ("reservationStatus", lambda c: normalise_code(c, STATUS_LABELS))},
+    derived={"reservationStatus": ("reservationStatus", lambda code: normalise_code(code, STATUS_LABELS))},
 )
 
-CUSTOMER = entity(
+CUSTOMER = Entity(
     "customer",
-    f"customerIsPrimary yesno, title, lastName!, firstName!, middleName, languagePreference, customerIsSharing yesno, "
-    f"customerHasTaxExemption yesno, customerIsVIP yesno, {_IMPORT}",
-    "lastName firstName customerIsPrimary customerIsSharing customerHasTaxExemption customerIsVIP",
-    [
-        source(
+    (
+        Column("customerIsPrimary", "boolean"), Column("title"), Column("lastName", required=True),
+        Column("firstName", required=True), Column("middleName"), Column("languagePreference"),
+        Column("customerIsSharing", "boolean"), Column("customerHasTaxExemption", "boolean"),
+        Column("customerIsVIP", "boolean"), Column("import_source"), Column("import_batch_id"),
+    ),
+    key=(
+        "lastName", "firstName", "customerIsPrimary", "customerIsSharing", "customerHasTaxExemption", "customerIsVIP",
+    ),
+    sources=(
+        Source(
             "reservationCreate",
-            _CREATED,
-            "customerIsPrimary, title=customer.title, lastName=customer.lastName, firstName=customer.firstName, "
-            "middleName=customer.middleName, languagePreference=customer.languagePreference, customerIsSharing, "
-            "customerHasTaxExemption, customerIsVIP",
+            "reservation.reservationCustomers[]",
+            {
+                "customerIsPrimary": "reservation.reservationCustomers[].customerIsPrimary",
+                "title": "reservation.reservationCustomers[].customer.title",
+                "lastName": "reservation.reservationCustomers[].customer.lastName",
+                "firstName": "reservation.reservationCustomers[].customer.firstName",
+                "middleName": "reservation.reservationCustomers[].customer.middleName",
+                "languagePreference": "reservation.reservationCustomers[].customer.languagePreference",
+                "customerIsSharing": "reservation.reservationCustomers[].customerIsSharing",
+                "customerHasTaxExemption": "reservation.reservationCustomers[].customerHasTaxExemption",
+                "customerIsVIP": "reservation.reservationCustomers[].customerIsVIP",
+            },
+        ),
+        *below(
+            {
+                "reservationCancel": "cancellation.customer", "reservationCheckIn": "checkIn.customer",
+                "reservationCheckOut": "checkOut.customer", "reservationRoomAssigned": "roomAssignment.customer",
+                "reservationRoomChange": "roomChange.customer",
+                "reservationEmailConfirmation": "emailConfirmation.customer",
+            },
+            "lastName", "firstName", "languagePreference",
+        ),
+        *below(
+            {
+                "folioGuestCreate": "folioGuestCreate.personName",
+            },
+            "lastName", "firstName",
         ),
-        *_each(_PEOPLE, "customer", "lastName, firstName, languagePreference"),
-        source("folioGuestCreate", "folioGuestCreate.personName", "lastName, firstName"),
-    ],
+    ),
 )
 
-_CONTACTS = (
-    {"reservationCreate": f"{_CREATED}.customer"} | {e: f"{b}.customer" for e, b in _PEOPLE.items()} | {"groupCreate": "group"}
+CONTACT = Entity(
+    "contact",
+    (
+        Column("contactIsPrimary", "boolean"), Column("postalAddress_addressLine1"),
+        Column("postalAddress_addressLine2"), Column("postalAddress_addressLine3"), Column("postalAddress_city"),
+        Column("postalAddress_state"), Column("postalAddress_postalCode"), Column("postalAddress_county"),
+        Column("postalAddress_country"), Column("telephoneNumber_type"), Column("telephoneNumber_number"),
+        Column("emailAddress"), Column("optedIn", "boolean"), Column("import_source"), Column("import_batch_id"),
+    ),
+    key=(
+        "emailAddress", "telephoneNumber_number", "postalAddress_postalCode", "contactIsPrimary",
+        "postalAddress_addressLine1", "postalAddress_addressLine2", "postalAddress_addressLine3",
+    ),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationCustomers[].customer.contacts[]",
+                "reservationCancel": "cancellation.customer.contacts[]",
+                "reservationCheckIn": "checkIn.customer.contacts[]",
+                "reservationCheckOut": "checkOut.customer.contacts[]",
+                "reservationRoomAssigned": "roomAssignment.customer.contacts[]",
+                "reservationRoomChange": "roomChange.customer.contacts[]",
+                "reservationEmailConfirmation": "emailConfirmation.customer.contacts[]",
+                "groupCreate": "group.contacts[]",
+            },
+            "contactIsPrimary", "postalAddress_addressLine1", "postalAddress_addressLine2",
+            "postalAddress_addressLine3", "postalAddress_city", "postalAddress_state", "postalAddress_postalCode",
+            "postalAddress_county", "postalAddress_country", "telephoneNumber_type", "telephoneNumber_number",
+            "emailAddress",
+        ),
+        Source(
+            "reservationEmailConfirmation",
+            "emailConfirmation.emailAddresses[]",
+            {
+                "emailAddress": "emailConfirmation.emailAddresses[]",
+            },
+        ),
+    ),
 )
-CONTACT_PURPOSE = entity(
-    "contactPurpose", "purpose!", "purpose", _each(_CONTACTS, "contacts[]", "purpose=contactPurposes[0]")
+
+CONTACT_PURPOSE = Entity(
+    "contactPurpose",
+    (
+        Column("purpose", required=True),
+    ),
+    key=("purpose",),
+    sources=(
+        Source(
+            "reservationCreate",
+            "reservation.reservationCustomers[].customer.contacts[]",
+            {
+                "purpose": "reservation.reservationCustomers[].customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationCancel",
+            "cancellation.customer.contacts[]",
+            {
+                "purpose": "cancellation.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationCheckIn",
+            "checkIn.customer.contacts[]",
+            {
+                "purpose": "checkIn.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationCheckOut",
+            "checkOut.customer.contacts[]",
+            {
+                "purpose": "checkOut.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationRoomAssigned",
+            "roomAssignment.customer.contacts[]",
+            {
+                "purpose": "roomAssignment.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationRoomChange",
+            "roomChange.customer.contacts[]",
+            {
+                "purpose": "roomChange.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "reservationEmailConfirmation",
+            "emailConfirmation.customer.contacts[]",
+            {
+                "purpose": "emailConfirmation.customer.contacts[].contactPurposes[0]",
+            },
+        ),
+        Source(
+            "groupCreate",
+            "group.contacts[]",
+            {
+                "purpose": "group.contacts[].contactPurposes[0]",
+            },
+        ),
+    ),
 )
 
-CONTACT = entity(
-    "contact",
-    "contactIsPrimary yesno, postalAddress_addressLine1, postalAddress_addressLine2, postalAddress_addressLine3, "
-    "postalAddress_city, postalAddress_state, postalAddress_postalCode, postalAddress_county, postalAddress_country, "
-    f"telephoneNumber_type, telephoneNumber_number, emailAddress, optedIn yesno, {_IMPORT}",
-    "emailAddress telephoneNumber_number postalAddress_postalCode contactIsPrimary postalAddress_addressLine1 "
-    "postalAddress_addressLine2 postalAddress_addressLine3",
-    [
-        *_each(
-            _CONTACTS,
-            "contacts[]",
-            "contactIsPrimary, postalAddress_addressLine1, postalAddress_addressLine2, postalAddress_addressLine3, "
-            "postalAddress_city, postalAddress_state, postalAddress_postalCode, postalAddress_county, "
-            "postalAddress_country, telephoneNumber_type, telephoneNumber_number, emailAddress",
-        ),
-        # Plain addresses besides those of the contacts: rows of their own.
-        source("reservationEmailConfirmation", "emailConfirmation.emailAddresses[]", "emailAddress=/emailConfirmation.emailAddresses[]"),
-    ],
-)
-
-_MEMBERSHIP = "loyaltyType, loyaltyNumber, loyaltyLevel"
-MEMBERSHIP = entity(
-    "loyaltyRewardsMembership",
-    _MEMBERSHIP,
-    "loyaltyNumber loyaltyType loyaltyLevel",
-    [
-        source("reservationCreate", f"{_CREATED}.loyaltyRewardsMemberships[]", _MEMBERSHIP),
-        source("groupCreate", "group.loyaltyRewardsMemberships[]", _MEMBERSHIP),
-    ],
+TRAVEL_AGENT = Entity(
+    "travelAgent",
+    (
+        Column("name"), Column("agentIataId"),
+    ),
+    key=("agentIataId", "name"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.associations[].travelAgent", "groupCreate": "group.travelagent",
+            },
+            "name", "agentIataId",
+        ),
+    ),
+)
+
+COMPANY = Entity(
+    "company",
+    (
+        Column("name"), Column("companyId"), Column("corporateId"), Column("import_source"),
+        Column("import_batch_id"),
+    ),
+    key=("companyId", "corporateId", "name"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.associations[].company",
+                "reservationCancel": "cancellation.company", "reservationCheckIn": "checkIn.company",
+                "reservationCheckOut": "checkOut.company", "groupCreate": "group.company",
+                "groupCancel": "groupCancel.group.company", "groupCheckOut": "groupCheckOut.group.company",
+                "folioGuestCreate": "folioGuestCreate.company", "folioGroupCreate": "folioGroupCreate.company",
+                "folioHouseAccountCreate": "folioHouseAccountCreate.company",
+                "invoiceCreate": "invoiceCreate.company",
+            },
+            "name", "companyId", "corporateId",
+        ),
+    ),
+)
+
+RESERVED_ROOM = Entity(
+    "reservedRoom",
+    (
+        Column("startDate", "date", True), Column("endDate", "date", True), Column("roomNumber", required=True),
+        Column("import_source"), Column("import_batch_id"),
+    ),
+    key=("startDate", "endDate", "roomNumber"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationItems[].reservedRooms[]",
+                "reservationCancel": "cancellation.reservedRoom", "reservationCheckIn": "checkIn.reservedRoom",
+                "reservationRoomAssigned": "roomAssignment.reservedRoom",
+                "reservationRoomChange": "roomChange.reservedRoom", "reservationECheckIn": "eCheckIn.reservedRoom",
+                "reservationCheckOut": "checkOut.checkedOutRoom",
+            },
+            "startDate", "endDate", "roomNumber",
+        ),
+    ),
 )
 
-RESERVATION_ITEM = entity(
+RESERVATION_ITEM = Entity(
     "reservationItem",
-    f"startDate! date, endDate! date, itemType, quantity whole, adultCount whole, childCount whole, {_IMPORT}",
-    "startDate endDate itemType quantity adultCount childCount",
-    [source("reservationCreate", _ITEMS, "startDate, endDate, itemType, quantity, adultCount, childCount")],
+    (
+        Column("startDate", "date", True), Column("endDate", "date", True), Column("itemType"),
+        Column("quantity", "int"), Column("adultCount", "int"), Column("childCount", "int"), Column("import_source"),
+        Column("import_batch_id"),
+    ),
+    key=("startDate", "endDate", "itemType", "quantity", "adultCount", "childCount"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationItems[]",
+            },
+            "startDate", "endDate", "itemType", "quantity", "adultCount", "childCount",
+        ),
+    ),
 )
 
-RESERVED_INVENTORY = entity(
+RESERVED_INVENTORY = Entity(
     "reservedInventory",
-    f"startDate! date, endDate! date, inventoryCode!, {_IMPORT}",
-    "startDate endDate inventoryCode",
-    [source("reservationCreate", f"{_ITEMS}.reservedInventories[]", "startDate, endDate, inventoryCode")],
+    (
+        Column("startDate", "date", True), Column("endDate", "date", True), Column("inventoryCode", required=True),
+        Column("import_source"), Column("import_batch_id"),
+    ),
+    key=("startDate", "endDate", "inventoryCode"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationItems[].reservedInventories[]",
+            },
+            "startDate", "endDate", "inventoryCode",
+        ),
+    ),
 )
 
-RESERVED_RATE = entity(
+RESERVED_RATE = Entity(
     "reservedRate",
-    "startDate! date, endDate! date, rateAmount money, ratePlanCode, ratePlanDescription, rateIsAwardEligible yesno, "
-    f"rateIsConfidential yesno, rateIsPackage yesno, packageNetRoomRateAmount money, rateIsCommissionable yesno, {_IMPORT}",
-    "startDate endDate ratePlanCode rateAmount rateIsAwardEligible rateIsConfidential rateIsPackage "
-    "packageNetRoomRateAmount rateIsCommissionable",
-    [
-        source(
-            "reservationCreate",
-            f"{_ITEMS}.reservedRates[]",
-            "startDate, endDate, rateAmount, ratePlanCode, ratePlanDescription, rateIsAwardEligible, "
-            "rateIsConfidential, rateIsPackage, packageNetRoomRateAmount, rateIsCommissionable",
-        )
-    ],
-)
-
-_ROOM = "startDate, endDate, roomNumber"
-RESERVED_ROOM = entity(
-    "reservedRoom",
-    f"startDate! date, endDate! date, roomNumber!, {_IMPORT}",
-    "startDate endDate roomNumber",
-    [
-        source("reservationCreate", f"{_ITEMS}.reservedRooms[]", _ROOM),
-        *_each(_without(STAYS, "reservationCheckOut", "reservationEmailConfirmation"), "reservedRoom", _ROOM),
-        source("reservationCheckOut", "checkOut.checkedOutRoom", _ROOM),
-    ],
+    (
+        Column("startDate", "date", True), Column("endDate", "date", True), Column("rateAmount", "decimal(12,2)"),
+        Column("ratePlanCode"), Column("ratePlanDescription"), Column("rateIsAwardEligible", "boolean"),
+        Column("rateIsConfidential", "boolean"), Column("rateIsPackage", "boolean"),
+        Column("packageNetRoomRateAmount", "decimal(12,2)"), Column("rateIsCommissionable", "boolean"),
+        Column("import_source"), Column("import_batch_id"),
+    ),
+    key=(
+        "startDate", "endDate", "ratePlanCode", "rateAmount", "rateIsAwardEligible", "rateIsConfidential",
+        "rateIsPackage", "packageNetRoomRateAmount", "rateIsCommissionable",
+    ),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationItems[].reservedRates[]",
+            },
+            "startDate", "endDate", "rateAmount", "ratePlanCode", "ratePlanDescription", "rateIsAwardEligible",
+            "rateIsConfidential", "rateIsPackage", "packageNetRoomRateAmount", "rateIsCommissionable",
+        ),
+    ),
 )
 
-SPECIAL_REQUEST = entity(
+SPECIAL_REQUEST = Entity(
     "specialRequest",
-    f"code, description, notes, {_IMPORT}",
-    "code description",
-    [source("reservationCreate", f"{_ITEMS}.specialRequests[]", "code, description, notes")],
+    (
+        Column("code"), Column("description"), Column("notes"), Column("import_source"), Column("import_batch_id"),
+    ),
+    key=("code", "description"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationItems[].specialRequests[]",
+            },
+            "code", "description", "notes",
+        ),
+    ),
 )
 
-_CARD = "cardIsVirtual, cardType, lastFourDigits"
-CREDIT_CARD = entity(
+CREDIT_CARD = Entity(
     "creditCard",
-    "cardIsVirtual yesno, cardType, lastFourDigits",
-    "cardType lastFourDigits cardIsVirtual",
-    [
-        # Two places of one event fill this table; both count.
-        source("reservationCreate", "reservation.guarantee.creditCard", _CARD),
-        source("reservationCreate", "reservation.paymentMethods[].creditCard", _CARD),
-        source("groupCreate", "group.groupGuarantee.groupPlannerGuarantee.creditCard", _CARD),
-        source("groupCreate", "group.groupGuarantee.guestGuarantee.creditCard", _CARD),
-    ],
-)
-
-GUARANTEE = entity(
-    "guarantee",
-    f"guaranteeType, depositDueAmount money, depositDueDate date, {_IMPORT}",
-    "guaranteeType depositDueAmount depositDueDate",
-    [source("reservationCreate", "reservation.guarantee", "guaranteeType, depositDueAmount, depositDueDate")],
+    (
+        Column("cardIsVirtual", "boolean"), Column("cardType"), Column("lastFourDigits"),
+    ),
+    key=("cardType", "lastFourDigits", "cardIsVirtual"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.guarantee.creditCard",
+            },
+            "cardIsVirtual", "cardType", "lastFourDigits",
+        ),
+        *below(
+            {
+                "reservationCreate": "reservation.paymentMethods[].creditCard",
+                "groupCreate": "group.groupGuarantee.groupPlannerGuarantee.creditCard",
+            },
+            "cardIsVirtual", "cardType", "lastFourDigits",
+        ),
+        *below(
+            {
+                "groupCreate": "group.groupGuarantee.guestGuarantee.creditCard",
+            },
+            "cardIsVirtual", "cardType", "lastFourDigits",
+        ),
+    ),
 )
 
-_PAYMENT = "folioId, folioName, paymentType"
-PAYMENT_METHOD = entity(
-    "paymentMethod",
-    _PAYMENT,
-    "folioId folioName paymentType",
-    [
-        source("reservationCreate", "reservation.paymentMethods[]", _PAYMENT),
-        source("groupCreate", "group.paymentMethods[]", _PAYMENT),
-    ],
+GUARANTEE = Entity(
+    "guarantee",
+    (
+        Column("guaranteeType"), Column("depositDueAmount", "decimal(12,2)"), Column("depositDueDate", "date"),
+        Column("import_source"), Column("import_batch_id"),
+    ),
+    key=("guaranteeType", "depositDueAmount", "depositDueDate"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.guarantee",
+            },
+            "guaranteeType", "depositDueAmount", "depositDueDate",
+        ),
+    ),
 )
 
-TRAVEL_AGENT = entity(
-    "travelAgent",
-    "name, agentIataId",
-    "agentIataId name",
-    [
-        source("reservationCreate", "reservation.associations[].travelAgent", "name, agentIataId"),
-        source("groupCreate", "group.travelagent", "name, agentIataId"),
-    ],
+PAYMENT_METHOD = Entity(
+    "paymentMethod",
+    (
+        Column("folioId"), Column("folioName"), Column("paymentType"),
+    ),
+    key=("folioId", "folioName", "paymentType"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.paymentMethods[]", "groupCreate": "group.paymentMethods[]",
+            },
+            "folioId", "folioName", "paymentType",
+        ),
+    ),
 )
 
-_COMPANY = "name, companyId, corporateId"
-_WITH_COMPANY = {e: STAYS[e] for e in ("reservationCancel", "reservationCheckIn", "reservationCheckOut")}
-COMPANY = entity(
-    "company",
-    f"{_COMPANY}, {_IMPORT}",
-    "companyId corporateId name",
-    [
-        source("reservationCreate", "reservation.associations[].company", _COMPANY),
-        *_each(_WITH_COMPANY | GROUPS | {e: e for e in (*FOLIOS, INVOICE)}, "company", _COMPANY),
-    ],
+MEMBERSHIP = Entity(
+    "loyaltyRewardsMembership",
+    (
+        Column("loyaltyType"), Column("loyaltyNumber"), Column("loyaltyLevel"),
+    ),
+    key=("loyaltyNumber", "loyaltyType", "loyaltyLevel"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.reservationCustomers[].loyaltyRewardsMemberships[]",
+                "groupCreate": "group.loyaltyRewardsMemberships[]",
+            },
+            "loyaltyType", "loyaltyNumber", "loyaltyLevel",
+        ),
+    ),
 )
 
-LINKED_RESERVATION = entity(
+LINKED_RESERVATION = Entity(
     "linkedReservation",
-    "confirmationNumber!, source!",
-    "confirmationNumber source",
-    [source("reservationCreate", "reservation.linkedReservations[]", _NUMBERS)],
+    (
+        Column("confirmationNumber", required=True), Column("source", required=True),
+    ),
+    key=("confirmationNumber", "source"),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.linkedReservations[]",
+            },
+            "confirmationNumber", "source",
+        ),
+    ),
 )
 
-_SUMMARY = "transactionType, totalTransactionTypeAmount"
-FOLIO_SUMMARY = entity(
+FOLIO_SUMMARY = Entity(
     "folioSummary",
-    "transactionType!, totalTransactionTypeAmount! money",
-    "transactionType totalTransactionTypeAmount",
-    [
-        source("reservationCheckOut", "checkOut.folioSummary[]", _SUMMARY),
-        source("groupCheckOut", "groupCheckOut.group.groupInfo.folioSummary[]", _SUMMARY),
-    ],
+    (
+        Column("transactionType", required=True), Column("totalTransactionTypeAmount", "decimal(12,2)", True),
+    ),
+    key=("transactionType", "totalTransactionTypeAmount"),
+    sources=(
+        *below(
+            {
+                "reservationCheckOut": "checkOut.folioSummary[]",
+                "groupCheckOut": "groupCheckOut.group.groupInfo.folioSummary[]",
+            },
+            "transactionType", "totalTransactionTypeAmount",
+        ),
+    ),
 )
 
-_ACCOUNT = "statusTimestamp, status, operatorId, confirmationNumber"
-ACCOUNT_STATUS = entity(
+FOLIO_ITEM = Entity(
+    "folioItem",
+    (
+        Column("transactionTimestamp", "timestamp"), Column("transactionBusinessDate", "date"),
+        Column("transactionCode"), Column("transactionDescription"), Column("transactionComments"),
+        Column("transactionType"), Column("folioId"), Column("transactionAmount", "decimal(12,2)"),
+        Column("taxItem", "boolean"), Column("isHotelViewOnly", "boolean"), Column("fromAccountTransfer_account"),
+        Column("fromAccountTransfer_accountType"), Column("toAccountTransfer_account"),
+        Column("toAccountTransfer_accountType"),
+    ),
+    key=(
+        "transactionTimestamp", "transactionBusinessDate", "transactionCode", "transactionType", "folioId",
+        "transactionAmount", "taxItem",
+    ),
+    sources=(
+        Source(
+            "folioGuestCreate",
+            "folioGuestCreate.folioTransactions[]",
+            {
+                "transactionCode": "folioGuestCreate.folioTransactions[].transactionCode",
+                "transactionDescription": "folioGuestCreate.folioTransactions[].transactionDescription",
+                "transactionComments": "folioGuestCreate.folioTransactions[].transactionComments",
+                "transactionAmount": "folioGuestCreate.folioTransactions[].transactionAmount",
+                "taxItem": "folioGuestCreate.folioTransactions[].taxItem",
+                "transactionType": "folioGuestCreate.folioTransactions[].transactionType",
+                "transactionBusinessDate": "folioGuestCreate.folioTransactions[].transactionBusinessDate",
+                "transactionTimestamp": "folioGuestCreate.folioTransactions[].transactionActualDate",
+                "isHotelViewOnly": "folioGuestCreate.folioTransactions[].isHotelViewOnly",
+                "folioId": "folioGuestCreate.folioTransactions[].folioId",
+                "fromAccountTransfer_accountType": "folioGuestCreate.folioTransactions[].fromAccountType",
+                "toAccountTransfer_account": "folioGuestCreate.folioTransactions[].toAccountNumber",
+                "toAccountTransfer_accountType": "folioGuestCreate.folioTransactions[].toAccountType",
+            },
+        ),
+        Source(
+            "folioGroupCreate",
+            "folioGroupCreate.folioTransactions[]",
+            {
+                "transactionCode": "folioGroupCreate.folioTransactions[].transactionCode",
+                "transactionDescription": "folioGroupCreate.folioTransactions[].transactionDescription",
+                "transactionComments": "folioGroupCreate.folioTransactions[].transactionComments",
+                "transactionAmount": "folioGroupCreate.folioTransactions[].transactionAmount",
+                "taxItem": "folioGroupCreate.folioTransactions[].taxItem",
+                "transactionType": "folioGroupCreate.folioTransactions[].transactionType",
+                "transactionBusinessDate": "folioGroupCreate.folioTransactions[].transactionBusinessDate",
+                "transactionTimestamp": "folioGroupCreate.folioTransactions[].transactionActualDate",
+                "isHotelViewOnly": "folioGroupCreate.folioTransactions[].isHotelViewOnly",
+                "folioId": "folioGroupCreate.folioTransactions[].folioId",
+                "fromAccountTransfer_accountType": "folioGroupCreate.folioTransactions[].fromAccountType",
+                "toAccountTransfer_account": "folioGroupCreate.folioTransactions[].toAccountNumber",
+                "toAccountTransfer_accountType": "folioGroupCreate.folioTransactions[].toAccountType",
+            },
+        ),
+        Source(
+            "folioHouseAccountCreate",
+            "folioHouseAccountCreate.folioTransactions[]",
+            {
+                "transactionCode": "folioHouseAccountCreate.folioTransactions[].transactionCode",
+                "transactionDescription": "folioHouseAccountCreate.folioTransactions[].transactionDescription",
+                "transactionComments": "folioHouseAccountCreate.folioTransactions[].transactionComments",
+                "transactionAmount": "folioHouseAccountCreate.folioTransactions[].transactionAmount",
+                "taxItem": "folioHouseAccountCreate.folioTransactions[].taxItem",
+                "transactionType": "folioHouseAccountCreate.folioTransactions[].transactionType",
+                "transactionBusinessDate": "folioHouseAccountCreate.folioTransactions[].transactionBusinessDate",
+                "transactionTimestamp": "folioHouseAccountCreate.folioTransactions[].transactionActualDate",
+                "isHotelViewOnly": "folioHouseAccountCreate.folioTransactions[].isHotelViewOnly",
+                "folioId": "folioHouseAccountCreate.folioTransactions[].folioId",
+                "fromAccountTransfer_accountType": "folioHouseAccountCreate.folioTransactions[].fromAccountType",
+                "toAccountTransfer_account": "folioHouseAccountCreate.folioTransactions[].toAccountNumber",
+                "toAccountTransfer_accountType": "folioHouseAccountCreate.folioTransactions[].toAccountType",
+            },
+        ),
+        *below(
+            {
+                "invoiceCreate": "invoiceCreate.invoiceManualTransactions[]",
+            },
+            "transactionCode", "transactionDescription", "transactionComments", "transactionAmount", "taxItem",
+            "transactionType",
+        ),
+        Source(
+            "invoiceCreate",
+            "invoiceCreate.invoiceUpdateTransactions[]",
+            {
+                "transactionCode": "invoiceCreate.invoiceUpdateTransactions[].transactionCode",
+                "transactionDescription": "invoiceCreate.invoiceUpdateTransactions[].transactionDescription",
+                "transactionComments": "invoiceCreate.invoiceUpdateTransactions[].transactionComments",
+                "transactionAmount": "invoiceCreate.invoiceUpdateTransactions[].transactionAmount",
+                "taxItem": "invoiceCreate.invoiceUpdateTransactions[].taxItem",
+                "transactionType": "invoiceCreate.invoiceUpdateTransactions[].transactionType",
+                "transactionBusinessDate": "invoiceCreate.invoiceUpdateTransactions[].invoiceUpdateDate",
+                "transactionTimestamp": "invoiceCreate.invoiceUpdateTransactions[].lastUpdateTimestamp",
+            },
+        ),
+    ),
+)
+
+ACCOUNT_STATUS = Entity(
     "accountStatus",
-    "linkTable, linkId, statusTimestamp! time, status!, operatorId!, confirmationNumber!, callerName",
-    "linkTable linkId statusTimestamp status operatorId confirmationNumber",
-    [
-        source("groupCreate", "group.accountStatuses[]", f"{_ACCOUNT}, callerName"),
-        *_each(_without(GROUPS, "groupCreate"), "accountStatuses[]", _ACCOUNT),
-    ],
+    (
+        Column("linkTable"), Column("linkId"), Column("statusTimestamp", "timestamp", True),
+        Column("status", required=True), Column("operatorId", required=True),
+        Column("confirmationNumber", required=True), Column("callerName"),
+    ),
+    key=("linkTable", "linkId", "statusTimestamp", "status", "operatorId", "confirmationNumber"),
+    sources=(
+        *below(
+            {
+                "groupCreate": "group.accountStatuses[]",
+            },
+            "statusTimestamp", "status", "operatorId", "confirmationNumber", "callerName",
+        ),
+        *below(
+            {
+                "groupCancel": "groupCancel.group.accountStatuses[]",
+                "groupCheckOut": "groupCheckOut.group.accountStatuses[]",
+            },
+            "statusTimestamp", "status", "operatorId", "confirmationNumber",
+        ),
+    ),
 )
 
-GROUP_BLOCK = entity(
+GROUP_BLOCK = Entity(
     "groupBlock",
-    "date date, inventoryCode, quantity whole, pickupQuantity whole",
-    "date inventoryCode quantity",
-    [source("groupCreate", "group.groupBlocks[]", "date, inventoryCode, quantity, pickupQuantity")],
+    (
+        Column("date", "date"), Column("inventoryCode"), Column("quantity", "int"), Column("pickupQuantity", "int"),
+    ),
+    key=("date", "inventoryCode", "quantity"),
+    sources=(
+        *below(
+            {
+                "groupCreate": "group.groupBlocks[]",
+            },
+            "date", "inventoryCode", "quantity", "pickupQuantity",
+        ),
+    ),
 )
 
-GROUP_RATE = entity(
+GROUP_RATE = Entity(
     "groupRate",
-    "startDate date, endDate date, inventoryType, onePersonRate money, twoPersonRate money, extrapersonRate money",
-    "startDate endDate inventoryType onePersonRate twoPersonRate extrapersonRate",
-    [
-        source(
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryType"),
+        Column("onePersonRate", "decimal(12,2)"), Column("twoPersonRate", "decimal(12,2)"),
+        Column("extrapersonRate", "decimal(12,2)"),
+    ),
+    key=("startDate", "endDate", "inventoryType", "onePersonRate", "twoPersonRate", "extrapersonRate"),
+    sources=(
+        Source(
             "groupCreate",
             "group.groupRates[]",
-            "startDate, endDate, inventoryType, onePersonRate, twoPersonRate, extrapersonRate=extraPersonRate",
-        )
-    ],
+            {
+                "startDate": "group.groupRates[].startDate", "endDate": "group.groupRates[].endDate",
+                "inventoryType": "group.groupRates[].inventoryType",
+                "onePersonRate": "group.groupRates[].onePersonRate",
+                "twoPersonRate": "group.groupRates[].twoPersonRate",
+                "extrapersonRate": "group.groupRates[].extraPersonRate",
+            },
+        ),
+    ),
 )
 
-# Columns of the group table by their type; the paths follow the names.
-_GROUP_STAY = "groupStayInfo_arrivalDate, groupStayInfo_departureDate"
-_GROUP_TIMES = "groupStayInfo_expectedArrivalTime, groupStayInfo_expectedDepartureTime"
-_GROUP_UPDATED = "groupInfo_groupLastUpdateTimestamp, groupInfo_groupLastUpdateOperatorId, groupInfo_isGroupWithCompany"
-_GROUP_TEXT = (
-    "hotelPolicy_guaranteePolicy, hotelPolicy_cancellationPolicy, groupInfo_groupChargeRouting, "
-    "groupInfo_languagePreference, groupInfo_salesManagerName, groupInfo_groupMarketCode, groupInfo_groupTrackingCode, "
-    "groupInfo_groupRollingCutoffNumberOfDays, groupInfo_groupNonRoomPackageName, groupContact_lastName, "
-    "groupContact_firstName, groupGuarantee_groupPlannerGuarantee_guaranteeType, "
-    "groupGuarantee_guestGuarantee_guaranteeType, note_noteType, note_noteText"
+CLEANING_SCHEDULE = Entity(
+    "cleaningSchedule",
+    (
+        Column("startDate", "date", True), Column("endDate", "date", True), Column("cleaningType", required=True),
+    ),
+    key=("startDate", "endDate", "cleaningType"),
+    sources=(),
 )
-_GROUP_DATES = (
-    "groupInfo_groupContractDueDate, groupInfo_groupRoomingListDueDate, groupInfo_groupContractReceivedDate, "
-    "groupInfo_groupFixedCutoffDate, groupGuarantee_groupPlannerGuarantee_depositDueDate, "
-    "groupGuarantee_guestGuarantee_depositDueDate"
+
+RATE_PLAN_CODE = Entity(
+    "ratePlanCode",
+    (
+        Column("ratePlanCode"), Column("isTaxInclusive", "boolean"),
+    ),
+    key=("ratePlanCode", "isTaxInclusive"),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.ratePlanCodes[]",
+                "discountRateUpdate": "discountRateUpdate.ratePlanCodes[]",
+                "fixedRateUpdate": "fixedRateUpdate.ratePlanCodes[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.ratePlanCodes[]",
+            },
+            "ratePlanCode", "isTaxInclusive",
+        ),
+    ),
+)
+
+AMOUNT_OFF_RATE = Entity(
+    "amountOffRate",
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryCode"), Column("baseRatePlan"),
+        Column("losMin", "int"), Column("losMax", "int"), Column("onePersonRate", "decimal(12,2)"),
+        Column("twoPersonRate", "decimal(12,2)"), Column("onePersonAmountOff", "decimal(12,2)"),
+        Column("twoPersonAmountOff", "decimal(12,2)"), Column("baseOnePersonRate", "decimal(12,2)"),
+        Column("baseTwoPersonRate", "decimal(12,2)"), Column("limitToDaysOfWeek_sunday", "boolean"),
+        Column("limitToDaysOfWeek_monday", "boolean"), Column("limitToDaysOfWeek_tuesday", "boolean"),
+        Column("limitToDaysOfWeek_wednesday", "boolean"), Column("limitToDaysOfWeek_thursday", "boolean"),
+        Column("limitToDaysOfWeek_friday", "boolean"), Column("limitToDaysOfWeek_saturday", "boolean"),
+    ),
+    key=(
+        "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+        "onePersonAmountOff", "twoPersonAmountOff", "baseOnePersonRate", "baseTwoPersonRate",
+        "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+        "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+        "limitToDaysOfWeek_saturday",
+    ),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.amountOffRates[]",
+                "discountRateUpdate": "discountRateUpdate.amountOffRates[]",
+                "fixedRateUpdate": "fixedRateUpdate.amountOffRates[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.amountOffRates[]",
+            },
+            "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate",
+            "twoPersonRate", "onePersonAmountOff", "twoPersonAmountOff", "baseOnePersonRate", "baseTwoPersonRate",
+            "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+            "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+            "limitToDaysOfWeek_saturday",
+        ),
+    ),
 )
-_GROUP_FLAGS = (
-    "groupInfo_isGroupFolioActive, groupInfo_isCommissionable, groupInfo_isGroupRateSupressed, "
-    "groupInfo_isGroupTaxExempt, groupInfo_isGroupWithRecurringCharges, groupInfo_isGroupBlockAutoDrop, "
-    "groupInfo_isRateAwardEligible, groupInfo_isElastic"
+
+PERCENT_OFF_RATE = Entity(
+    "percentOffRate",
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryCode"), Column("baseRatePlan"),
+        Column("losMin", "int"), Column("losMax", "int"), Column("onePersonRate", "decimal(12,2)"),
+        Column("twoPersonRate", "decimal(12,2)"), Column("onePersonPercentOff", "decimal(5,2)"),
+        Column("twoPersonPercentOff", "decimal(5,2)"), Column("baseOnePersonRate", "decimal(12,2)"),
+        Column("baseTwoPersonRate", "decimal(12,2)"), Column("limitToDaysOfWeek_sunday", "boolean"),
+        Column("limitToDaysOfWeek_monday", "boolean"), Column("limitToDaysOfWeek_tuesday", "boolean"),
+        Column("limitToDaysOfWeek_wednesday", "boolean"), Column("limitToDaysOfWeek_thursday", "boolean"),
+        Column("limitToDaysOfWeek_friday", "boolean"), Column("limitToDaysOfWeek_saturday", "boolean"),
+    ),
+    key=(
+        "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+        "onePersonPercentOff", "twoPersonPercentOff", "baseOnePersonRate", "baseTwoPersonRate",
+        "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+        "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+        "limitToDaysOfWeek_saturday",
+    ),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.percentOffRates[]",
+                "discountRateUpdate": "discountRateUpdate.percentOffRates[]",
+                "fixedRateUpdate": "fixedRateUpdate.percentOffRates[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.percentOffRates[]",
+            },
+            "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate",
+            "twoPersonRate", "onePersonPercentOff", "twoPersonPercentOff", "baseOnePersonRate", "baseTwoPersonRate",
+            "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+            "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+            "limitToDaysOfWeek_saturday",
+        ),
+    ),
+)
+
+AMOUNT_ABOVE_RATE = Entity(
+    "amountAboveRate",
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryCode"), Column("baseRatePlan"),
+        Column("losMin", "int"), Column("losMax", "int"), Column("onePersonRate", "decimal(12,2)"),
+        Column("twoPersonRate", "decimal(12,2)"), Column("onePersonAmountAbove", "decimal(12,2)"),
+        Column("twoPersonAmountAbove", "decimal(12,2)"), Column("baseOnePersonRate", "decimal(12,2)"),
+        Column("baseTwoPersonRate", "decimal(12,2)"), Column("limitToDaysOfWeek_sunday", "boolean"),
+        Column("limitToDaysOfWeek_monday", "boolean"), Column("limitToDaysOfWeek_tuesday", "boolean"),
+        Column("limitToDaysOfWeek_wednesday", "boolean"), Column("limitToDaysOfWeek_thursday", "boolean"),
+        Column("limitToDaysOfWeek_friday", "boolean"), Column("limitToDaysOfWeek_saturday", "boolean"),
+    ),
+    key=(
+        "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+        "onePersonAmountAbove", "twoPersonAmountAbove", "baseOnePersonRate", "baseTwoPersonRate",
+        "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+        "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+        "limitToDaysOfWeek_saturday",
+    ),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.amountAboveRates[]",
+                "discountRateUpdate": "discountRateUpdate.amountAboveRates[]",
+                "fixedRateUpdate": "fixedRateUpdate.amountAboveRates[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.amountAboveRates[]",
+            },
+            "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate",
+            "twoPersonRate", "onePersonAmountAbove", "twoPersonAmountAbove", "baseOnePersonRate", "baseTwoPersonRate",
+            "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+            "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+            "limitToDaysOfWeek_saturday",
+        ),
+    ),
 )
-_GROUP_MONEY = "groupGuarantee_groupPlannerGuarantee_depositDueAmount, groupGuarantee_guestGuarantee_depositDueAmount"
 
+PERCENT_ABOVE_RATE = Entity(
+    "percentAboveRate",
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryCode"), Column("baseRatePlan"),
+        Column("losMin", "int"), Column("losMax", "int"), Column("onePersonRate", "decimal(12,2)"),
+        Column("twoPersonRate", "decimal(12,2)"), Column("onePersonPercentAbove", "decimal(5,2)"),
+        Column("twoPersonPercentAbove", "decimal(5,2)"), Column("baseOnePersonRate", "decimal(12,2)"),
+        Column("baseTwoPersonRate", "decimal(12,2)"), Column("limitToDaysOfWeek_sunday", "boolean"),
+        Column("limitToDaysOfWeek_monday", "boolean"), Column("limitToDaysOfWeek_tuesday", "boolean"),
+        Column("limitToDaysOfWeek_wednesday", "boolean"), Column("limitToDaysOfWeek_thursday", "boolean"),
+        Column("limitToDaysOfWeek_friday", "boolean"), Column("limitToDaysOfWeek_saturday", "boolean"),
+    ),
+    key=(
+        "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+        "onePersonPercentAbove", "twoPersonPercentAbove", "baseOnePersonRate", "baseTwoPersonRate",
+        "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+        "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+        "limitToDaysOfWeek_saturday",
+    ),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.percentAboveRates[]",
+                "discountRateUpdate": "discountRateUpdate.percentAboveRates[]",
+                "fixedRateUpdate": "fixedRateUpdate.percentAboveRates[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.percentAboveRates[]",
+            },
+            "startDate", "endDate", "inventoryCode", "baseRatePlan", "losMin", "losMax", "onePersonRate",
+            "twoPersonRate", "onePersonPercentAbove", "twoPersonPercentAbove", "baseOnePersonRate",
+            "baseTwoPersonRate", "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+            "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+            "limitToDaysOfWeek_saturday",
+        ),
+    ),
+)
 
-def _all(names: str, kind: str) -> str:
-    return ", ".join(f"{n.strip()} {kind}" for n in names.split(","))
+AMOUNT_FIXED_RATE = Entity(
+    "amountFixedRate",
+    (
+        Column("startDate", "date"), Column("endDate", "date"), Column("inventoryCode"), Column("losMin", "int"),
+        Column("losMax", "int"), Column("onePersonRate", "decimal(12,2)"), Column("twoPersonRate", "decimal(12,2)"),
+        Column("limitToDaysOfWeek_sunday", "boolean"), Column("limitToDaysOfWeek_monday", "boolean"),
+        Column("limitToDaysOfWeek_tuesday", "boolean"), Column("limitToDaysOfWeek_wednesday", "boolean"),
+        Column("limitToDaysOfWeek_thursday", "boolean"), Column("limitToDaysOfWeek_friday", "boolean"),
+        Column("limitToDaysOfWeek_saturday", "boolean"),
+    ),
+    key=(
+        "startDate", "endDate", "inventoryCode", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+        "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+        "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+        "limitToDaysOfWeek_saturday",
+    ),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.amountFixedRates[]",
+                "discountRateUpdate": "discountRateUpdate.amountFixedRates[]",
+                "fixedRateUpdate": "fixedRateUpdate.amountFixedRates[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.amountFixedRates[]",
+            },
+            "startDate", "endDate", "inventoryCode", "losMin", "losMax", "onePersonRate", "twoPersonRate",
+            "limitToDaysOfWeek_sunday", "limitToDaysOfWeek_monday", "limitToDaysOfWeek_tuesday",
+            "limitToDaysOfWeek_wednesday", "limitToDaysOfWeek_thursday", "limitToDaysOfWeek_friday",
+            "limitToDaysOfWeek_saturday",
+        ),
+    ),
+)
 
+EXTRA_CHARGE = Entity(
+    "extraCharge",
+    (
+        Column("rate_id"), Column("startDate", "date"), Column("endDate", "date"), Column("extraChargeType"),
+        Column("rateAmount", "decimal(12,2)"),
+    ),
+    key=("rate_id", "startDate", "endDate", "extraChargeType", "onePersonRate", "twoPersonRate"),
+    sources=(
+        *below(
+            {
+                "appliedRateUpdate": "appliedRateUpdate.extraCharges[]",
+                "discountRateUpdate": "discountRateUpdate.extraCharges[]",
+                "fixedRateUpdate": "fixedRateUpdate.extraCharges[]",
+                "bestAvailableRateUpdate": "bestAvailableRateUpdate.extraCharges[]",
+            },
+            "startDate", "endDate", "extraChargeType", "rateAmount",
+        ),
+    ),
+)
 
-GROUP = entity(
+GROUP = Entity(
     "group",
-    ", ".join(
-        (
-            "eventInfo_name, eventInfo_version, groupId, name, hotel_id, company_id, travelagent_id, cancelReason",
-            _all(_GROUP_STAY, "date"),
-            _GROUP_TIMES,
-            "groupInfo_groupLastUpdateTimestamp time, groupInfo_groupLastUpdateOperatorId, groupInfo_isGroupWithCompany yesno",
-            _GROUP_TEXT,
-            _all(_GROUP_DATES, "date"),
-            _all(_GROUP_FLAGS, "yesno"),
-            _all(_GROUP_MONEY, "money"),
-        )
-    ),
-    "groupId hotel_id name eventInfo_name groupInfo_groupLastUpdateTimestamp groupInfo_isGroupBlockAutoDrop "
-    "groupInfo_isRateAwardEligible groupInfo_isGroupWithCompany groupInfo_isElastic groupContact_lastName "
-    "groupContact_firstName cancelReason",
-    [
-        source("reservationCreate", "reservation.associations[].group", "groupId, name"),
-        source("reservationCheckOut", "checkOut.group", "groupId, name"),
-        source(
+    (
+        Column("eventInfo_name"), Column("eventInfo_version"), Column("groupId"), Column("name"), Column("hotel_id"),
+        Column("company_id"), Column("travelagent_id"), Column("cancelReason"),
+        Column("groupStayInfo_arrivalDate", "date"), Column("groupStayInfo_departureDate", "date"),
+        Column("groupStayInfo_expectedArrivalTime"), Column("groupStayInfo_expectedDepartureTime"),
+        Column("groupInfo_groupLastUpdateTimestamp", "timestamp"), Column("groupInfo_groupLastUpdateOperatorId"),
+        Column("groupInfo_isGroupWithCompany", "boolean"), Column("hotelPolicy_guaranteePolicy"),
+        Column("hotelPolicy_cancellationPolicy"), Column("groupInfo_groupChargeRouting"),
+        Column("groupInfo_languagePreference"), Column("groupInfo_salesManagerName"),
+        Column("groupInfo_groupMarketCode"), Column("groupInfo_groupTrackingCode"),
+        Column("groupInfo_groupRollingCutoffNumberOfDays"), Column("groupInfo_groupNonRoomPackageName"),
+        Column("groupContact_lastName"), Column("groupContact_firstName"),
+        Column("groupGuarantee_groupPlannerGuarantee_guaranteeType"),
+        Column("groupGuarantee_guestGuarantee_guaranteeType"), Column("note_noteType"), Column("note_noteText"),
+        Column("groupInfo_groupContractDueDate", "date"), Column("groupInfo_groupRoomingListDueDate", "date"),
+        Column("groupInfo_groupContractReceivedDate", "date"), Column("groupInfo_groupFixedCutoffDate", "date"),
+        Column("groupGuarantee_groupPlannerGuarantee_depositDueDate", "date"),
+        Column("groupGuarantee_guestGuarantee_depositDueDate", "date"),
+        Column("groupInfo_isGroupFolioActive", "boolean"), Column("groupInfo_isCommissionable", "boolean"),
+        Column("groupInfo_isGroupRateSupressed", "boolean"), Column("groupInfo_isGroupTaxExempt", "boolean"),
+        Column("groupInfo_isGroupWithRecurringCharges", "boolean"),
+        Column("groupInfo_isGroupBlockAutoDrop", "boolean"), Column("groupInfo_isRateAwardEligible", "boolean"),
+        Column("groupInfo_isElastic", "boolean"),
+        Column("groupGuarantee_groupPlannerGuarantee_depositDueAmount", "decimal(12,2)"),
+        Column("groupGuarantee_guestGuarantee_depositDueAmount", "decimal(12,2)"),
+    ),
+    key=(
+        "groupId", "hotel_id", "name", "eventInfo_name", "groupInfo_groupLastUpdateTimestamp",
+        "groupInfo_isGroupBlockAutoDrop", "groupInfo_isRateAwardEligible", "groupInfo_isGroupWithCompany",
+        "groupInfo_isElastic", "groupContact_lastName", "groupContact_firstName", "cancelReason",
+    ),
+    sources=(
+        *below(
+            {
+                "reservationCreate": "reservation.associations[].group", "reservationCheckOut": "checkOut.group",
+            },
+            "groupId", "name",
+        ),
+        Source(
             "groupCreate",
             "",
-            f"eventInfo_name, eventInfo_version, groupId, name, {_GROUP_STAY}, {_GROUP_TIMES}, {_GROUP_UPDATED}, "
-            f"{_GROUP_TEXT}, {_GROUP_DATES}, {_GROUP_FLAGS}, {_GROUP_MONEY}",
-            below="group",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "groupId": "group.groupId", "name": "group.name",
+                "groupStayInfo_arrivalDate": "group.groupStayInfo.arrivalDate",
+                "groupStayInfo_departureDate": "group.groupStayInfo.departureDate",
+                "groupStayInfo_expectedArrivalTime": "group.groupStayInfo.expectedArrivalTime",
+                "groupStayInfo_expectedDepartureTime": "group.groupStayInfo.expectedDepartureTime",
+                "groupInfo_groupLastUpdateTimestamp": "group.groupInfo.groupLastUpdateTimestamp",
+                "groupInfo_groupLastUpdateOperatorId": "group.groupInfo.groupLastUpdateOperatorId",
+                "groupInfo_isGroupWithCompany": "group.groupInfo.isGroupWithCompany",
+                "hotelPolicy_guaranteePolicy": "group.hotelPolicy.guaranteePolicy",
+                "hotelPolicy_cancellationPolicy": "group.hotelPolicy.cancellationPolicy",
+                "groupInfo_groupChargeRouting": "group.groupInfo.groupChargeRouting",
+                "groupInfo_languagePreference": "group.groupInfo.languagePreference",
+                "groupInfo_salesManagerName": "group.groupInfo.salesManagerName",
+                "groupInfo_groupMarketCode": "group.groupInfo.groupMarketCode",
+                "groupInfo_groupTrackingCode": "group.groupInfo.groupTrackingCode",
+                "groupInfo_groupRollingCutoffNumberOfDays": "group.groupInfo.groupRollingCutoffNumberOfDays",
+                "groupInfo_groupNonRoomPackageName": "group.groupInfo.groupNonRoomPackageName",
+                "groupContact_lastName": "group.groupContact.lastName",
+                "groupContact_firstName": "group.groupContact.firstName",
+                "groupGuarantee_groupPlannerGuarantee_guaranteeType": "group.groupGuarantee.groupPlannerGuarantee.guaranteeType",
+                "groupGuarantee_guestGuarantee_guaranteeType": "group.groupGuarantee.guestGuarantee.guaranteeType",
+                "note_noteType": "group.note.noteType", "note_noteText": "group.note.noteText",
+                "groupInfo_groupContractDueDate": "group.groupInfo.groupContractDueDate",
+                "groupInfo_groupRoomingListDueDate": "group.groupInfo.groupRoomingListDueDate",
+                "groupInfo_groupContractReceivedDate": "group.groupInfo.groupContractReceivedDate",
+                "groupInfo_groupFixedCutoffDate": "group.groupInfo.groupFixedCutoffDate",
+                "groupGuarantee_groupPlannerGuarantee_depositDueDate": "group.groupGuarantee.groupPlannerGuarantee.depositDueDate",
+                "groupGuarantee_guestGuarantee_depositDueDate": "group.groupGuarantee.guestGuarantee.depositDueDate",
+                "groupInfo_isGroupFolioActive": "group.groupInfo.isGroupFolioActive",
+                "groupInfo_isCommissionable": "group.groupInfo.isCommissionable",
+                "groupInfo_isGroupRateSupressed": "group.groupInfo.isGroupRateSupressed",
+                "groupInfo_isGroupTaxExempt": "group.groupInfo.isGroupTaxExempt",
+                "groupInfo_isGroupWithRecurringCharges": "group.groupInfo.isGroupWithRecurringCharges",
+                "groupInfo_isGroupBlockAutoDrop": "group.groupInfo.isGroupBlockAutoDrop",
+                "groupInfo_isRateAwardEligible": "group.groupInfo.isRateAwardEligible",
+                "groupInfo_isElastic": "group.groupInfo.isElastic",
+                "groupGuarantee_groupPlannerGuarantee_depositDueAmount": "group.groupGuarantee.groupPlannerGuarantee.depositDueAmount",
+                "groupGuarantee_guestGuarantee_depositDueAmount": "group.groupGuarantee.guestGuarantee.depositDueAmount",
+            },
+        ),
+        *below(
+            {
+                "groupCancel": "groupCancel.group",
+            },
+            "groupId", "name", "groupStayInfo_arrivalDate", "groupStayInfo_departureDate",
+            "groupStayInfo_expectedArrivalTime", "groupStayInfo_expectedDepartureTime",
+            "groupInfo_groupLastUpdateTimestamp", "groupInfo_groupLastUpdateOperatorId",
+            "groupInfo_isGroupWithCompany", "cancelReason",
         ),
-        source("groupCancel", GROUPS["groupCancel"], f"groupId, name, {_GROUP_STAY}, {_GROUP_TIMES}, {_GROUP_UPDATED}, cancelReason"),
-        source("groupCheckOut", GROUPS["groupCheckOut"], f"groupId, name, {_GROUP_STAY}, {_GROUP_TIMES}, {_GROUP_UPDATED}"),
-        source(
+        *below(
+            {
+                "groupCheckOut": "groupCheckOut.group",
+            },
+            "groupId", "name", "groupStayInfo_arrivalDate", "groupStayInfo_departureDate",
+            "groupStayInfo_expectedArrivalTime", "groupStayInfo_expectedDepartureTime",
+            "groupInfo_groupLastUpdateTimestamp", "groupInfo_groupLastUpdateOperatorId",
+            "groupInfo_isGroupWithCompany",
+        ),
+        Source(
             "folioGroupCreate",
             "folioGroupCreate",
-            "groupStayInfo_arrivalDate=arrivalDate, groupStayInfo_departureDate=departureDate",
+            {
+                "groupStayInfo_arrivalDate": "folioGroupCreate.arrivalDate",
+                "groupStayInfo_departureDate": "folioGroupCreate.departureDate",
+            },
         ),
-    ],
+    ),
 )
 
-RATE = entity(
-    "rate",
-    "hotel_id!, rate_update_type!, timestamp! time, recap yesno, recapType, isTaxInclusive yesno",
-    "hotel_id rate_update_type timestamp recap recapType isTaxInclusive",
-    [
-        source(
-            e,
+HOUSEKEEPING = Entity(
+    "housekeepingStatus",
+    (
+        Column("eventInfo_name"), Column("eventInfo_version", required=True), Column("hotel_id", required=True),
+        Column("roomNumber", required=True), Column("currentRoomCondition", required=True),
+        Column("previousRoomCondition", required=True), Column("roomStatusUpdateTimestamp", "timestamp", True),
+        Column("roomStatusUpdateOperatorId", required=True), Column("checkInReady", "boolean"),
+    ),
+    key=(
+        "hotel_id", "roomNumber", "roomStatusUpdateTimestamp", "roomStatusUpdateOperatorId", "currentRoomCondition",
+        "previousRoomCondition", "checkInReady",
+    ),
+    sources=(
+        *below(
+            {
+                "reservationECheckIn": "eCheckIn",
+            },
+            "checkInReady",
+        ),
+        Source(
+            "housekeepingStatus",
             "",
-            "recap=/recap, timestamp=/messageHeader.timestamp, rate_update_type=/eventInfo.name"
-            + (", isTaxInclusive" if e == "bestAvailableRateUpdate" else ""),
-            below=e,
-        )
-        for e in RATES
-    ],
-)
-
-RATE_PLAN_CODE = entity(
-    "ratePlanCode",
-    "ratePlanCode, isTaxInclusive yesno",
-    "ratePlanCode isTaxInclusive",
-    _each({e: e for e in RATES}, "ratePlanCodes[]", "ratePlanCode, isTaxInclusive"),
-)
-
-
-def _rate_list(name: str, adjusted: str | None, kind: str = "money"):
-    """Rates off or above a base plan, or fixed; all limited by date, length of stay and weekday."""
-    dates, stay, people = "startDate, endDate, inventoryCode", "losMin, losMax", "onePersonRate, twoPersonRate"
-    base = "baseOnePersonRate, baseTwoPersonRate" if adjusted else ""
-    change = f"onePerson{adjusted}, twoPerson{adjusted}" if adjusted else ""
-    column_parts = [
-        "startDate date, endDate date, inventoryCode",
-        "baseRatePlan" if adjusted else "",
-        _all(stay, "whole"),
-        _all(people, "money"),
-        _all(change, kind) if adjusted else "",
-        _all(base, "money") if adjusted else "",
-        _all(_WEEK, "yesno"),
-    ]
-    fields = [dates, "baseRatePlan" if adjusted else "", stay, people, change, base, _WEEK]
-    listed = ", ".join(filter(None, fields))
-    return entity(
-        name,
-        ", ".join(filter(None, column_parts)),
-        listed.replace(",", ""),
-        _each({e: e for e in RATES}, f"{name}s[]", listed),
-    )
-
-
-RATE_LISTS = (
-    _rate_list("amountOffRate", "AmountOff"),
-    _rate_list("percentOffRate", "PercentOff", "percent"),
-    _rate_list("amountAboveRate", "AmountAbove"),
-    _rate_list("percentAboveRate", "PercentAbove", "percent"),
-    _rate_list("amountFixedRate", None),
-)
-
-EXTRA_CHARGE = entity(
-    "extraCharge",
-    "rate_id, startDate date, endDate date, extraChargeType, rateAmount money",
-    "rate_id startDate endDate extraChargeType onePersonRate twoPersonRate",
-    _each({e: e for e in RATES}, "extraCharges[]", "startDate, endDate, extraChargeType, rateAmount"),
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "roomNumber": "housekeepingStatus.roomNumber",
+                "currentRoomCondition": "housekeepingStatus.currentRoomCondition",
+                "previousRoomCondition": "housekeepingStatus.previousRoomCondition",
+                "roomStatusUpdateTimestamp": "housekeepingStatus.roomStatusUpdateTimestamp",
+                "roomStatusUpdateOperatorId": "housekeepingStatus.roomStatusUpdateOperatorId",
+                "checkInReady": "housekeepingStatus.checkInReady",
+            },
+        ),
+    ),
 )
 
-_COUNTS = "availableCount, outOfOrderCount, physicalCount, soldCount, groupBlockCount, groupPickUpCount, overbookingLimit"
-INVENTORY_BATCH = entity(
+INVENTORY_BATCH = Entity(
     "inventoryBatch",
-    "hotel_id!, startDate! date, endDate! date, inventoryCode!, itemType!, availableCount! whole, outOfOrderCount! whole, "
-    "physicalCount! whole, soldCount! whole, groupBlockCount whole, groupPickUpCount! whole, overbookingLimit! whole",
-    "hotel_id startDate endDate inventoryCode itemType " + _COUNTS.replace(",", ""),
-    [source("inventoryBatch", "inventoryBatch.inventories[]", f"startDate, endDate, inventoryCode, itemType, {_COUNTS}")],
-)
-
-INVENTORY_COUNTS = tuple(
-    entity(
-        f"inventory{what}Count",
-        "hotel_id!, startDate! date, endDate! date, inventoryCode!, itemType!, quantity! whole",
-        "hotel_id startDate endDate inventoryCode itemType quantity",
-        [source("inventoryUpdate", f"inventoryUpdate.inventory{what}Counts[]", "startDate, endDate, inventoryCode, itemType, quantity")],
-    )
-    for what in ("Available", "OutOfOrder", "Physical")
+    (
+        Column("hotel_id", required=True), Column("startDate", "date", True), Column("endDate", "date", True),
+        Column("inventoryCode", required=True), Column("itemType", required=True),
+        Column("availableCount", "int", True), Column("outOfOrderCount", "int", True),
+        Column("physicalCount", "int", True), Column("soldCount", "int", True), Column("groupBlockCount", "int"),
+        Column("groupPickUpCount", "int", True), Column("overbookingLimit", "int", True),
+    ),
+    key=(
+        "hotel_id", "startDate", "endDate", "inventoryCode", "itemType", "availableCount", "outOfOrderCount",
+        "physicalCount", "soldCount", "groupBlockCount", "groupPickUpCount", "overbookingLimit",
+    ),
+    sources=(
+        *below(
+            {
+                "inventoryBatch": "inventoryBatch.inventories[]",
+            },
+            "startDate", "endDate", "inventoryCode", "itemType", "availableCount", "outOfOrderCount", "physicalCount",
+            "soldCount", "groupBlockCount", "groupPickUpCount", "overbookingLimit",
+        ),
+    ),
 )
 
-HOUSEKEEPING = entity(
-    "housekeepingStatus",
-    "eventInfo_name, eventInfo_version!, hotel_id!, roomNumber!, currentRoomCondition!, previousRoomCondition!, "
-    "roomStatusUpdateTimestamp! time, roomStatusUpdateOperatorId!, checkInReady yesno",
-    "hotel_id roomNumber roomStatusUpdateTimestamp roomStatusUpdateOperatorId currentRoomCondition previousRoomCondition checkInReady",
-    [
-        source("reservationECheckIn", "eCheckIn", "checkInReady"),
-        source(
-            "housekeepingStatus",
-            "",
-            "eventInfo_name, eventInfo_version, roomNumber, currentRoomCondition, previousRoomCondition, "
-            "roomStatusUpdateTimestamp, roomStatusUpdateOperatorId, checkInReady",
-            below="housekeepingStatus",
+INVENTORY_AVAILABLE_COUNT = Entity(
+    "inventoryAvailableCount",
+    (
+        Column("hotel_id", required=True), Column("startDate", "date", True), Column("endDate", "date", True),
+        Column("inventoryCode", required=True), Column("itemType", required=True), Column("quantity", "int", True),
+    ),
+    key=("hotel_id", "startDate", "endDate", "inventoryCode", "itemType", "quantity"),
+    sources=(
+        *below(
+            {
+                "inventoryUpdate": "inventoryUpdate.inventoryAvailableCounts[]",
+            },
+            "startDate", "endDate", "inventoryCode", "itemType", "quantity",
         ),
-    ],
+    ),
 )
 
-_ENTRY = "transactionCode, transactionDescription, transactionComments, transactionAmount, taxItem, transactionType"
-FOLIO_ITEM = entity(
-    "folioItem",
-    "transactionTimestamp time, transactionBusinessDate date, transactionCode, transactionDescription, transactionComments, "
-    "transactionType, folioId, transactionAmount money, taxItem yesno, isHotelViewOnly yesno, fromAccountTransfer_account, "
-    "fromAccountTransfer_accountType, toAccountTransfer_account, toAccountTransfer_accountType",
-    "transactionTimestamp transactionBusinessDate transactionCode transactionType folioId transactionAmount taxItem",
-    [
-        *_each(
-            {e: e for e in FOLIOS},
-            "folioTransactions[]",
-            f"{_ENTRY}, transactionBusinessDate, transactionTimestamp=transactionActualDate, isHotelViewOnly, folioId, "
-            "fromAccountTransfer_accountType=fromAccountType, toAccountTransfer_account=toAccountNumber, "
-            "toAccountTransfer_accountType=toAccountType",
-        ),
-        source(INVOICE, f"{INVOICE}.invoiceManualTransactions[]", _ENTRY),
-        source(
-            INVOICE,
-            f"{INVOICE}.invoiceUpdateTransactions[]",
-            f"{_ENTRY}, transactionBusinessDate=invoiceUpdateDate, transactionTimestamp=lastUpdateTimestamp",
+INVENTORY_OUT_OF_ORDER_COUNT = Entity(
+    "inventoryOutOfOrderCount",
+    (
+        Column("hotel_id", required=True), Column("startDate", "date", True), Column("endDate", "date", True),
+        Column("inventoryCode", required=True), Column("itemType", required=True), Column("quantity", "int", True),
+    ),
+    key=("hotel_id", "startDate", "endDate", "inventoryCode", "itemType", "quantity"),
+    sources=(
+        *below(
+            {
+                "inventoryUpdate": "inventoryUpdate.inventoryOutOfOrderCounts[]",
+            },
+            "startDate", "endDate", "inventoryCode", "itemType", "quantity",
         ),
-    ],
+    ),
 )
 
-CLEANING_SCHEDULE = entity(
-    "cleaningSchedule", "startDate! date, endDate! date, cleaningType!", "startDate endDate cleaningType", []
+INVENTORY_PHYSICAL_COUNT = Entity(
+    "inventoryPhysicalCount",
+    (
+        Column("hotel_id", required=True), Column("startDate", "date", True), Column("endDate", "date", True),
+        Column("inventoryCode", required=True), Column("itemType", required=True), Column("quantity", "int", True),
+    ),
+    key=("hotel_id", "startDate", "endDate", "inventoryCode", "itemType", "quantity"),
+    sources=(
+        *below(
+            {
+                "inventoryUpdate": "inventoryUpdate.inventoryPhysicalCounts[]",
+            },
+            "startDate", "endDate", "inventoryCode", "itemType", "quantity",
+        ),
+    ),
 )
 
-_UPDATED = "reservationLastUpdateTimestamp, reservationLastUpdateOperatorId"
-_STAY = "eventInfo_name, eventInfo_version, arrivalDate, departureDate"
-_POLICY = "hotelPolicy_guaranteePolicy, hotelPolicy_cancellationPolicy"
-_CANCELLED = ", ".join(
-    f"cancellationStatus_{n}" for n in ("statusTimestamp", "reservationStatus", "operatorId", "confirmationId", "callerName")
-)
-_COSTS = ", ".join(
-    f"costSummary_{n}"
-    for n in ("averageNightlyReservedRateAmountBeforeTax", "totalTaxAmount", "totalOtherRevenueAmountBeforeTax")
+RATE = Entity(
+    "rate",
+    (
+        Column("hotel_id", required=True), Column("rate_update_type", required=True),
+        Column("timestamp", "timestamp", True), Column("recap", "boolean"), Column("recapType"),
+        Column("isTaxInclusive", "boolean"),
+    ),
+    key=("hotel_id", "rate_update_type", "timestamp", "recap", "recapType", "isTaxInclusive"),
+    sources=(
+        Source(
+            "appliedRateUpdate",
+            "",
+            {
+                "recap": "recap", "timestamp": "messageHeader.timestamp", "rate_update_type": "eventInfo.name",
+            },
+        ),
+        Source(
+            "discountRateUpdate",
+            "",
+            {
+                "recap": "recap", "timestamp": "messageHeader.timestamp", "rate_update_type": "eventInfo.name",
+            },
+        ),
+        Source(
+            "fixedRateUpdate",
+            "",
+            {
+                "recap": "recap", "timestamp": "messageHeader.timestamp", "rate_update_type": "eventInfo.name",
+            },
+        ),
+        Source(
+            "bestAvailableRateUpdate",
+            "",
+            {
+                "recap": "recap", "timestamp": "messageHeader.timestamp", "rate_update_type": "eventInfo.name",
+                "isTaxInclusive": "bestAvailableRateUpdate.isTaxInclusive",
+            },
+        ),
+    ),
 )
 
-
-def _stay(event: str, fields: str):
-    return source(event, "", fields, below=STAYS[event])
-
-
-RESERVATION = entity(
+RESERVATION = Entity(
     "reservation",
-    "eventInfo_name, eventInfo_version, hotels_id!, reservationId, arrivalDate date, departureDate date, "
-    f"{_POLICY}, marketSegment, reservedRoom, associations_travelAgent_id, associations_groups_id, associations_company_id, "
-    "sourceOfBusiness_local yesno, sourceOfBusiness_callerName, sourceOfBusiness_externalSource_sourceId whole, "
-    "sourceOfBusiness_externalSource_sourceDescription, sourceOfBusiness_localSource_walkIn yesno, "
-    f"{_all(_COSTS, 'money')}, roomCondition, reservationLastUpdateTimestamp time, reservationLastUpdateOperatorId, "
-    "cancellationStatus_statusTimestamp time, cancellationStatus_reservationStatus, cancellationStatus_operatorId, "
-    "cancellationStatus_confirmationId, cancellationStatus_callerName, checkedOutRoom_id, checkOut_group_id, "
-    f"eCheckIn_guestLastName, eCheckIn_eCheckInProcessed yesno, {_IMPORT}",
-    "reservationId hotels_id eventInfo_name arrivalDate departureDate reservationLastUpdateTimestamp reservedRoom "
-    "associations_company_id checkOut_group_id associations_travelAgent_id associations_groups_id "
-    f"{_COSTS.replace(',', '')} cancellationStatus_statusTimestamp checkedOutRoom_id",
-    [
-        source(
+    (
+        Column("eventInfo_name"), Column("eventInfo_version"), Column("hotels_id", required=True),
+        Column("reservationId"), Column("arrivalDate", "date"), Column("departureDate", "date"),
+        Column("hotelPolicy_guaranteePolicy"), Column("hotelPolicy_cancellationPolicy"), Column("marketSegment"),
+        Column("reservedRoom"), Column("associations_travelAgent_id"), Column("associations_groups_id"),
+        Column("associations_company_id"), Column("sourceOfBusiness_local", "boolean"),
+        Column("sourceOfBusiness_callerName"), Column("sourceOfBusiness_externalSource_sourceId", "int"),
+        Column("sourceOfBusiness_externalSource_sourceDescription"),
+        Column("sourceOfBusiness_localSource_walkIn", "boolean"),
+        Column("costSummary_averageNightlyReservedRateAmountBeforeTax", "decimal(12,2)"),
+        Column("costSummary_totalTaxAmount", "decimal(12,2)"),
+        Column("costSummary_totalOtherRevenueAmountBeforeTax", "decimal(12,2)"), Column("roomCondition"),
+        Column("reservationLastUpdateTimestamp", "timestamp"), Column("reservationLastUpdateOperatorId"),
+        Column("cancellationStatus_statusTimestamp", "timestamp"), Column("cancellationStatus_reservationStatus"),
+        Column("cancellationStatus_operatorId"), Column("cancellationStatus_confirmationId"),
+        Column("cancellationStatus_callerName"), Column("checkedOutRoom_id"), Column("checkOut_group_id"),
+        Column("eCheckIn_guestLastName"), Column("eCheckIn_eCheckInProcessed", "boolean"), Column("import_source"),
+        Column("import_batch_id"),
+    ),
+    key=(
+        "reservationId", "hotels_id", "eventInfo_name", "arrivalDate", "departureDate",
+        "reservationLastUpdateTimestamp", "reservedRoom", "associations_company_id", "checkOut_group_id",
+        "associations_travelAgent_id", "associations_groups_id",
+        "costSummary_averageNightlyReservedRateAmountBeforeTax", "costSummary_totalTaxAmount",
+        "costSummary_totalOtherRevenueAmountBeforeTax", "cancellationStatus_statusTimestamp", "checkedOutRoom_id",
+    ),
+    sources=(
+        Source(
             "reservationCreate",
             "",
-            f"{_STAY}, reservationId, {_POLICY}, marketSegment, sourceOfBusiness_local, sourceOfBusiness_callerName, "
-            "sourceOfBusiness_externalSource_sourceId, sourceOfBusiness_externalSource_sourceDescription, "
-            f"sourceOfBusiness_localSource_walkIn, {_COSTS}, {_UPDATED}",
-            below="reservation",
-        ),
-        _stay("reservationCancel", f"eventInfo_name, eventInfo_version, {_CANCELLED}, {_POLICY}"),
-        _stay("reservationCheckIn", _STAY),
-        _stay("reservationCheckOut", _STAY),
-        _stay("reservationRoomAssigned", f"{_STAY}, roomCondition, {_UPDATED}"),
-        _stay("reservationRoomChange", f"{_STAY}, {_UPDATED}"),
-        _stay(
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "arrivalDate": "reservation.arrivalDate", "departureDate": "reservation.departureDate",
+                "reservationId": "reservation.reservationId",
+                "hotelPolicy_guaranteePolicy": "reservation.hotelPolicy.guaranteePolicy",
+                "hotelPolicy_cancellationPolicy": "reservation.hotelPolicy.cancellationPolicy",
+                "marketSegment": "reservation.marketSegment",
+                "sourceOfBusiness_local": "reservation.sourceOfBusiness.local",
+                "sourceOfBusiness_callerName": "reservation.sourceOfBusiness.callerName",
+                "sourceOfBusiness_externalSource_sourceId": "reservation.sourceOfBusiness.externalSource.sourceId",
+                "sourceOfBusiness_externalSource_sourceDescription": "reservation.sourceOfBusiness.externalSource.sourceDescription",
+                "sourceOfBusiness_localSource_walkIn": "reservation.sourceOfBusiness.localSource.walkIn",
+                "costSummary_averageNightlyReservedRateAmountBeforeTax": "reservation.costSummary.averageNightlyReservedRateAmountBeforeTax",
+                "costSummary_totalTaxAmount": "reservation.costSummary.totalTaxAmount",
+                "costSummary_totalOtherRevenueAmountBeforeTax": "reservation.costSummary.totalOtherRevenueAmountBeforeTax",
+                "reservationLastUpdateTimestamp": "reservation.reservationLastUpdateTimestamp",
+                "reservationLastUpdateOperatorId": "reservation.reservationLastUpdateOperatorId",
+            },
+        ),
+        Source(
+            "reservationCancel",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "cancellationStatus_statusTimestamp": "cancellation.cancellationStatus.statusTimestamp",
+                "cancellationStatus_reservationStatus": "cancellation.cancellationStatus.reservationStatus",
+                "cancellationStatus_operatorId": "cancellation.cancellationStatus.operatorId",
+                "cancellationStatus_confirmationId": "cancellation.cancellationStatus.confirmationId",
+                "cancellationStatus_callerName": "cancellation.cancellationStatus.callerName",
+                "hotelPolicy_guaranteePolicy": "cancellation.hotelPolicy.guaranteePolicy",
+                "hotelPolicy_cancellationPolicy": "cancellation.hotelPolicy.cancellationPolicy",
+            },
+        ),
+        Source(
+            "reservationCheckIn",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "arrivalDate": "checkIn.arrivalDate", "departureDate": "checkIn.departureDate",
+            },
+        ),
+        Source(
+            "reservationCheckOut",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "arrivalDate": "checkOut.arrivalDate", "departureDate": "checkOut.departureDate",
+            },
+        ),
+        Source(
+            "reservationRoomAssigned",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "arrivalDate": "roomAssignment.arrivalDate", "departureDate": "roomAssignment.departureDate",
+                "roomCondition": "roomAssignment.roomCondition",
+                "reservationLastUpdateTimestamp": "roomAssignment.reservationLastUpdateTimestamp",
+                "reservationLastUpdateOperatorId": "roomAssignment.reservationLastUpdateOperatorId",
+            },
+        ),
+        Source(
+            "reservationRoomChange",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "arrivalDate": "roomChange.arrivalDate", "departureDate": "roomChange.departureDate",
+                "reservationLastUpdateTimestamp": "roomChange.reservationLastUpdateTimestamp",
+                "reservationLastUpdateOperatorId": "roomChange.reservationLastUpdateOperatorId",
+            },
+        ),
+        Source(
             "reservationECheckIn",
-            "eventInfo_name, eventInfo_version, eCheckIn_guestLastName=guestLastName, "
-            "eCheckIn_eCheckInProcessed=eCheckInProcessed, roomCondition",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "eCheckIn_guestLastName": "eCheckIn.guestLastName",
+                "eCheckIn_eCheckInProcessed": "eCheckIn.eCheckInProcessed", "roomCondition": "eCheckIn.roomCondition",
+            },
+        ),
+        Source(
+            "reservationEmailConfirmation",
+            "",
+            {
+                "eventInfo_name": "eventInfo.name", "eventInfo_version": "eventInfo.version",
+                "reservationLastUpdateTimestamp": "emailConfirmation.reservationLastUpdateTimestamp",
+                "reservationLastUpdateOperatorId": "emailConfirmation.reservationLastUpdateOperatorId",
+            },
         ),
-        _stay("reservationEmailConfirmation", f"eventInfo_name, eventInfo_version, {_UPDATED}"),
-        source("folioGuestCreate", "folioGuestCreate", "arrivalDate, departureDate, reservedRoom=roomNumber"),
-    ],
+        Source(
+            "folioGuestCreate",
+            "folioGuestCreate",
+            {
+                "arrivalDate": "folioGuestCreate.arrivalDate", "departureDate": "folioGuestCreate.departureDate",
+                "reservedRoom": "folioGuestCreate.roomNumber",
+            },
+        ),
+    ),
 )
 
 ENTITIES = (
     HOTEL, CONFIRMATION_NUMBER, RESERVATION_STATUS, CUSTOMER, CONTACT, CONTACT_PURPOSE, TRAVEL_AGENT, COMPANY,
     RESERVED_ROOM, RESERVATION_ITEM, RESERVED_INVENTORY, RESERVED_RATE, SPECIAL_REQUEST, CREDIT_CARD, GUARANTEE,
-    PAYMENT_METHOD, MEMBERSHIP, LINKED_RESERVATION, FOLIO_SUMMARY, FOLIO_ITEM, ACCOUNT_STATUS, GROUP_BLOCK, GROUP_RATE,
-    CLEANING_SCHEDULE, RATE_PLAN_CODE, *RATE_LISTS, EXTRA_CHARGE, GROUP, HOUSEKEEPING, INVENTORY_BATCH, *INVENTORY_COUNTS,
-    RATE, RESERVATION,
+    PAYMENT_METHOD, MEMBERSHIP, LINKED_RESERVATION, FOLIO_SUMMARY, FOLIO_ITEM, ACCOUNT_STATUS, GROUP_BLOCK,
+    GROUP_RATE, CLEANING_SCHEDULE, RATE_PLAN_CODE, AMOUNT_OFF_RATE, PERCENT_OFF_RATE, AMOUNT_ABOVE_RATE,
+    PERCENT_ABOVE_RATE, AMOUNT_FIXED_RATE, EXTRA_CHARGE, GROUP, HOUSEKEEPING, INVENTORY_BATCH,
+    INVENTORY_AVAILABLE_COUNT, INVENTORY_OUT_OF_ORDER_COUNT, INVENTORY_PHYSICAL_COUNT, RATE, RESERVATION,
 )
 
 FOREIGN_KEYS = (
@@ -574,70 +1317,53 @@ FOREIGN_KEYS = (
     ForeignKey("reservation", "reservedRoom", "reservedRoom"),
     ForeignKey("reservation", "travelAgent", "associations_travelAgent_id"),
     ForeignKey("reservation", "company", "associations_company_id"),
-    *(
-        ForeignKey(child, "hotel", "hotel_id")
-        for child in ("rate", "inventoryBatch", *(e.name for e in INVENTORY_COUNTS), "housekeepingStatus")
-    ),
+    ForeignKey("rate", "hotel", "hotel_id"),
+    ForeignKey("inventoryBatch", "hotel", "hotel_id"),
+    ForeignKey("inventoryAvailableCount", "hotel", "hotel_id"),
+    ForeignKey("inventoryOutOfOrderCount", "hotel", "hotel_id"),
+    ForeignKey("inventoryPhysicalCount", "hotel", "hotel_id"),
+    ForeignKey("housekeepingStatus", "hotel", "hotel_id"),
 )
 
-_R, _G, _I = ("reservation", "reservation_id"), ("group", "group_id"), ("reservationItem", "reservation_item_id")
-
-
-def _links(left: tuple[str, str], *rights: tuple[str, ...]):
-    return [link(left[0], r[0], left[1], r[1], *r[2:]) for r in rights]
-
-
 LINKS = (
-    *_links(
-        _R,
-        ("confirmationNumber", "confirmation_number_id"),
-        ("reservationStatus", "status_id", "reservationStatusLink"),
-        ("customer", "customer_id"),
-        ("contact", "email_address_id", "reservationEmailAddressLink"),
-        ("reservationItem", "reservation_item_id", "reservationItemLink"),
-        ("guarantee", "guarantee_id"),
-        ("paymentMethod", "payment_method_id"),
-        ("linkedReservation", "linked_reservation_id"),
-        ("folioSummary", "folio_summary_id"),
-        ("cleaningSchedule", "cleaning_schedule_id"),
-    ),
-    *_links(
-        _G,
-        ("confirmationNumber", "confirmation_number_id"),
-        ("contact", "contact_id"),
-        ("folioSummary", "folio_summary_id"),
-        ("accountStatus", "account_status_id"),
-        ("groupBlock", "group_block_id"),
-        ("groupRate", "group_rate_id"),
-        ("creditCard", "credit_card_id", "groupPlannerCreditCardLink"),
-        ("creditCard", "credit_card_id", "groupGuestCreditCardLink"),
-        ("paymentMethod", "payment_method_id"),
-        ("loyaltyRewardsMembership", "loyalty_rewards_membership_id"),
-        ("folioItem", "folio_item_id"),
-    ),
-    *_links(
-        _I,
-        ("reservedInventory", "reserved_inventory_id"),
-        ("reservedRate", "reserved_rate_id"),
-        ("reservedRoom", "reserved_room_id"),
-        ("specialRequest", "special_request_id"),
-    ),
-    *_links(
-        ("rate", "rate_id"),
-        ("ratePlanCode", "rate_plan_code_id"),
-        ("amountOffRate", "amount_off_rate_id"),
-        ("percentOffRate", "percent_off_rate_id"),
-        ("amountAboveRate", "amount_above_rate_id"),
-        ("percentAboveRate", "percent_above_rate_id"),
-        ("amountFixedRate", "amount_fixed_rate_id"),
-        ("extraCharge", "extra_charge_id"),
-    ),
-    link("customer", "loyaltyRewardsMembership", "customer_id", "loyalty_rewards_membership_id"),
-    link("customer", "contact", "customer_id", "contact_id"),
-    link("contact", "contactPurpose", "contact_id", "contact_purpose_id"),
-    link("guarantee", "creditCard", "guarantee_id", "credit_card_id"),
-    link("paymentMethod", "creditCard", "payment_method_id", "credit_card_id"),
-    link("housekeepingStatus", "confirmationNumber", "house_keeping_status_id", "confirmation_number_id"),
+    Link("reservationConfirmationNumberLink", "reservation", "confirmationNumber", "reservation_id", "confirmation_number_id"),
+    Link("reservationStatusLink", "reservation", "reservationStatus", "reservation_id", "status_id"),
+    Link("reservationCustomerLink", "reservation", "customer", "reservation_id", "customer_id"),
+    Link("reservationEmailAddressLink", "reservation", "contact", "reservation_id", "email_address_id"),
+    Link("reservationItemLink", "reservation", "reservationItem", "reservation_id", "reservation_item_id"),
+    Link("reservationGuaranteeLink", "reservation", "guarantee", "reservation_id", "guarantee_id"),
+    Link("reservationPaymentMethodLink", "reservation", "paymentMethod", "reservation_id", "payment_method_id"),
+    Link("reservationLinkedReservationLink", "reservation", "linkedReservation", "reservation_id", "linked_reservation_id"),
+    Link("reservationFolioSummaryLink", "reservation", "folioSummary", "reservation_id", "folio_summary_id"),
+    Link("reservationCleaningScheduleLink", "reservation", "cleaningSchedule", "reservation_id", "cleaning_schedule_id"),
+    Link("groupConfirmationNumberLink", "group", "confirmationNumber", "group_id", "confirmation_number_id"),
+    Link("groupContactLink", "group", "contact", "group_id", "contact_id"),
+    Link("groupFolioSummaryLink", "group", "folioSummary", "group_id", "folio_summary_id"),
+    Link("groupAccountStatusLink", "group", "accountStatus", "group_id", "account_status_id"),
+    Link("groupGroupBlockLink", "group", "groupBlock", "group_id", "group_block_id"),
+    Link("groupGroupRateLink", "group", "groupRate", "group_id", "group_rate_id"),
+    Link("groupPlannerCreditCardLink", "group", "creditCard", "group_id", "credit_card_id"),
+    Link("groupGuestCreditCardLink", "group", "creditCard", "group_id", "credit_card_id"),
+    Link("groupPaymentMethodLink", "group", "paymentMethod", "group_id", "payment_method_id"),
+    Link("groupLoyaltyRewardsMembershipLink", "group", "loyaltyRewardsMembership", "group_id", "loyalty_rewards_membership_id"),
+    Link("groupFolioItemLink", "group", "folioItem", "group_id", "folio_item_id"),
+    Link("reservationItemReservedInventoryLink", "reservationItem", "reservedInventory", "reservation_item_id", "reserved_inventory_id"),
+    Link("reservationItemReservedRateLink", "reservationItem", "reservedRate", "reservation_item_id", "reserved_rate_id"),
+    Link("reservationItemReservedRoomLink", "reservationItem", "reservedRoom", "reservation_item_id", "reserved_room_id"),
+    Link("reservationItemSpecialRequestLink", "reservationItem", "specialRequest", "reservation_item_id", "special_request_id"),
+    Link("rateRatePlanCodeLink", "rate", "ratePlanCode", "rate_id", "rate_plan_code_id"),
+    Link("rateAmountOffRateLink", "rate", "amountOffRate", "rate_id", "amount_off_rate_id"),
+    Link("ratePercentOffRateLink", "rate", "percentOffRate", "rate_id", "percent_off_rate_id"),
+    Link("rateAmountAboveRateLink", "rate", "amountAboveRate", "rate_id", "amount_above_rate_id"),
+    Link("ratePercentAboveRateLink", "rate", "percentAboveRate", "rate_id", "percent_above_rate_id"),
+    Link("rateAmountFixedRateLink", "rate", "amountFixedRate", "rate_id", "amount_fixed_rate_id"),
+    Link("rateExtraChargeLink", "rate", "extraCharge", "rate_id", "extra_charge_id"),
+    Link("customerLoyaltyRewardsMembershipLink", "customer", "loyaltyRewardsMembership", "customer_id", "loyalty_rewards_membership_id"),
+    Link("customerContactLink", "customer", "contact", "customer_id", "contact_id"),
+    Link("contactContactPurposeLink", "contact", "contactPurpose", "contact_id", "contact_purpose_id"),
+    Link("guaranteeCreditCardLink", "guarantee", "creditCard", "guarantee_id", "credit_card_id"),
+    Link("paymentMethodCreditCardLink", "paymentMethod", "creditCard", "payment_method_id", "credit_card_id"),
+    Link("housekeepingStatusConfirmationNumberLink", "housekeepingStatus", "confirmationNumber", "house_keeping_status_id", "confirmation_number_id"),
 )
 
 HOSPITALITY = Model(ENTITIES, FOREIGN_KEYS, LINKS, ALIASES)
