@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventweft.checks import extracting, identity, landing, modelling, quality, relating, scalars, stays
+from eventweft.checks import extracting, families, identity, landing, modelling, quality, relating, scalars, stays
 from eventweft.checks.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "extracting", "identity", "landing", "modelling", "quality", "relating", "scalars", "stays"]
+__all__ = ["ORACLES", "QUERIES", "extracting", "families", "identity", "landing", "modelling", "quality", "relating", "scalars", "stays"]
