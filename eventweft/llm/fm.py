@@ -5,7 +5,10 @@ its words and their beginnings (which words of one stem share), each counted as
 factors let pairs of terms weigh more than their sum, as an insult beside a mention of a group does.
 A long text is scored in passages of ``PASSAGE`` words and keeps the score of its worst passage, so one
 insult is not thinned out by what surrounds it. The fit reads at most ``ROWS`` labelled rows, chosen by
-the hash of the id, half of them of each class if there are enough.
+the hash of the id, half of them of each class if there are enough. Linear weights start from the log odds of clear
+terms, factors from small random values; both then move together, each at a rate of its own. Rates and number of
+epochs are those of ``RATES`` and up to ``EPOCHS`` with the least loss on every fifth row, left out for that; the
+model is then fitted on all rows. The factors are never switched off.
 
 Defined results: NULL text reads as empty and is scored by the base; labels other than 0 and 1 are
 passed over; without labelled rows or with one class only every text gets the smoothed share of class
@@ -34,6 +37,12 @@ PASSAGE = 64
 STEMS = (4, 5)
 FOLDS = 4
 CUT = 0.3
+#: Rates of linear weights and of factors that the left-out rows choose from.
+RATES = ((0.02, 0.02), (0.1, 0.1))
+EPOCHS = 8
+RIDGE = 1e-3
+#: Spread of the factors at the start.
+SPREAD = 0.01
 STORE = 300_000
 
 _WORD = re.compile(r"\w+")
@@ -110,65 +119,95 @@ class FmModel:
         return self.base + first + 0.5 * square
 
 
-def fit_terms(terms: np.ndarray, passage: np.ndarray, text: np.ndarray, y: np.ndarray, epochs: int = 6, rate: float = 0.02, ridge: float = 1e-3) -> FmModel:
-    """Weights from the terms of passages. ``passage`` gives each term's passage, ``text`` each passage's
-    text, ``y`` each text's class. Linear weights start from the log odds of terms whose counts differ
-    clearly; then AdaGrad on the worst passage of each text, picked anew in every epoch, with equal
-    weight of both classes."""
-    size = 1 << BITS
-    share = (y.sum() + 1) / (len(y) + 2)
-    rng = np.random.default_rng(11)
-    model = FmModel(0.0, np.zeros(size), np.zeros((size, FACTORS)))
-    if len(y) == 0 or y.min() == y.max():
-        model.base = float(np.log(share / (1 - share)))
-        return model
-    # a term counts once per text
-    key = np.unique(text[passage].astype(np.int64) << BITS | terms)
-    of, term = key >> BITS, key & (size - 1)
-    ones = np.bincount(term, weights=y[of], minlength=size)
-    zeros = np.bincount(term, minlength=size) - ones
-    common = ones + zeros >= min(5, max(2, len(y) // 100))
-    p1, p0 = (ones + 0.5) / (y.sum() + 1), (zeros + 0.5) / ((1 - y).sum() + 1)
-    spread = np.sqrt(1 / (ones + 0.5) + 1 / (zeros + 0.5))
-    odds = np.log(p1 / p0)
-    clear = common & (np.abs(odds) > 3 * spread)
-    model.linear[clear] = np.sign(odds[clear]) * (np.abs(odds[clear]) - 2 * spread[clear])
-    model.factor[common] = rng.normal(0, 0.01, (int(common.sum()), FACTORS))
-    keep = common[terms]
-    terms, passage = terms[keep], passage[keep]
-    begin = np.searchsorted(passage, np.arange(len(text) + 1))
-    first = np.searchsorted(text, np.arange(len(y)))
-    model.base = -2.0
-    seen_w, seen_v, seen_b = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2), 1e-2
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    for _ in range(epochs):
-        margin = model.margins(terms, passage, len(text))
-        best = np.maximum.reduceat(margin, first)
-        hit = margin == best[text]
-        worst = np.flatnonzero(hit)[np.searchsorted(text[hit], np.arange(len(y)))]
-        order = rng.permutation(len(y))
+class _Fit:
+    """One run of training over the rows in ``use``: AdaGrad on the worst passage of each text, picked anew in
+    every epoch, with equal weight of both classes."""
+
+    def __init__(self, terms: np.ndarray, passage: np.ndarray, text: np.ndarray, y: np.ndarray, use: np.ndarray, rates: tuple[float, float]) -> None:
+        size = 1 << BITS
+        self.y, self.text, self.rates, self.rng = y, text, rates, np.random.default_rng(11)
+        self.rows = np.flatnonzero(use)
+        # a term counts once per text
+        key = np.unique(text[passage].astype(np.int64) << BITS | terms)
+        of, term = key >> BITS, key & (size - 1)
+        of, term = of[use[of]], term[use[of]]
+        known = y[use]
+        ones = np.bincount(term, weights=y[of], minlength=size)
+        zeros = np.bincount(term, minlength=size) - ones
+        common = ones + zeros >= min(5, max(2, len(known) // 100))
+        p1, p0 = (ones + 0.5) / (known.sum() + 1), (zeros + 0.5) / ((1 - known).sum() + 1)
+        spread = np.sqrt(1 / (ones + 0.5) + 1 / (zeros + 0.5))
+        odds = np.log(p1 / p0)
+        clear = common & (np.abs(odds) > 3 * spread)
+        self.model = model = FmModel(-2.0, np.zeros(size), np.zeros((size, FACTORS)))
+        model.linear[clear] = np.sign(odds[clear]) * (np.abs(odds[clear]) - 2 * spread[clear])
+        model.factor[common] = self.rng.normal(0, SPREAD, (int(common.sum()), FACTORS))
+        keep = common[terms]
+        self.terms, self.passage = terms[keep], passage[keep]
+        self.begin = np.searchsorted(self.passage, np.arange(len(text) + 1))
+        self.first = np.searchsorted(text, np.arange(len(y)))
+        self.seen_w, self.seen_v, self.seen_b = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2), 1e-2
+        self.weight = np.where(y == 1, 0.5 / known.mean(), 0.5 / (1 - known.mean()))
+
+    def worst(self) -> tuple[np.ndarray, np.ndarray]:
+        """The worst passage of each text and its margin."""
+        margin = self.model.margins(self.terms, self.passage, len(self.text))
+        best = np.maximum.reduceat(margin, self.first)
+        hit = margin == best[self.text]
+        return np.flatnonzero(hit)[np.searchsorted(self.text[hit], np.arange(len(self.y)))], best
+
+    def loss(self, rows: np.ndarray) -> float:
+        """Weighted log loss of some rows."""
+        margin = np.clip(self.worst()[1][rows], -30, 30)
+        return float((self.weight[rows] * np.logaddexp(0, np.where(self.y[rows] == 1, -margin, margin))).mean())
+
+    def epoch(self) -> None:
+        model, (rate, factor_rate) = self.model, self.rates
+        worst, _ = self.worst()
+        order = self.rng.permutation(self.rows)
         for at in range(0, len(order), 64):
             batch = order[at : at + 64]
-            rows = [terms[begin[i] : begin[i + 1]] for i in worst[batch]]
-            flat = np.concatenate(rows)
-            group = np.repeat(np.arange(len(batch)), [len(r) for r in rows])
+            parts = [self.terms[self.begin[i] : self.begin[i + 1]] for i in worst[batch]]
+            flat = np.concatenate(parts)
+            group = np.repeat(np.arange(len(batch)), [len(r) for r in parts])
             now = np.clip(model.margins(flat, group, len(batch)), -30, 30)
-            error = (1 / (1 + np.exp(-now)) - y[batch]) * weight[batch]
+            error = (1 / (1 + np.exp(-now)) - self.y[batch]) * self.weight[batch]
             v = model.factor[flat]
             total = np.stack([np.bincount(group, weights=v[:, k], minlength=len(batch)) for k in range(FACTORS)], 1)
             own, place = np.unique(flat, return_inverse=True)
-            g_w = np.bincount(place, weights=error[group], minlength=len(own)) + ridge * model.linear[own]
+            g_w = np.bincount(place, weights=error[group], minlength=len(own)) + RIDGE * model.linear[own]
             pull = error[group][:, None] * (total[group] - v)
             g_v = np.stack([np.bincount(place, weights=pull[:, k], minlength=len(own)) for k in range(FACTORS)], 1)
-            g_v += ridge * model.factor[own]
+            g_v += RIDGE * model.factor[own]
             g_b = error.sum()
-            seen_w[own] += g_w**2
-            seen_v[own] += g_v**2
-            seen_b += g_b**2
-            model.linear[own] -= rate * g_w / np.sqrt(seen_w[own])
-            model.factor[own] -= 0.1 * rate * g_v / np.sqrt(seen_v[own])
-            model.base -= rate * g_b / np.sqrt(seen_b)
-    return model
+            self.seen_w[own] += g_w**2
+            self.seen_v[own] += g_v**2
+            self.seen_b += g_b**2
+            model.linear[own] -= rate * g_w / np.sqrt(self.seen_w[own])
+            model.factor[own] -= factor_rate * g_v / np.sqrt(self.seen_v[own])
+            model.base -= rate * g_b / np.sqrt(self.seen_b)
+
+
+def fit_terms(terms: np.ndarray, passage: np.ndarray, text: np.ndarray, y: np.ndarray) -> FmModel:
+    """Weights from the terms of passages. ``passage`` gives each term's passage, ``text`` each passage's
+    text, ``y`` each text's class. With too few rows to leave some out, the first rates and half of the epochs hold."""
+    if len(y) == 0 or y.min() == y.max():
+        share = (y.sum() + 1) / (len(y) + 2)
+        return FmModel(float(np.log(share / (1 - share))), np.zeros(1 << BITS), np.zeros((1 << BITS, FACTORS)))
+    left_out = np.arange(len(y)) % 5 == 4
+    rates, epochs = RATES[0], EPOCHS // 2
+    if min(y[left_out].sum(), (1 - y[left_out]).sum()) >= 5 and 0 < y[~left_out].mean() < 1:
+        tried = []
+        for candidate in RATES:
+            run = _Fit(terms, passage, text, y, ~left_out, candidate)
+            for n in range(1, EPOCHS + 1):
+                run.epoch()
+                tried.append((run.loss(np.flatnonzero(left_out)), candidate, n))
+        _, rates, epochs = min(tried)
+    run = _Fit(terms, passage, text, y, np.ones(len(y), bool), rates)
+    for _ in range(epochs):
+        run.epoch()
+    return run.model
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows: int = ROWS) -> FmModel:
