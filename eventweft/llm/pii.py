@@ -31,6 +31,8 @@ KINDS = (*BASE, "secret", "contact")
 ADDED = ("secret", "contact")
 LONGEST = 14
 REGIONS = 1200
+#: Characters of a neighbourhood that the fit reads; spans are looked for in whole texts.
+REGION_CHARS = 2_000
 EPOCHS = 5
 
 # The base patterns, in forms that never look at a character twice
@@ -270,7 +272,7 @@ def train(texts: list[str], epochs: int = EPOCHS) -> Field:
 def fit(docs: DataFrame, rows: int = REGIONS) -> Field:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in texts_of(batches):
-            yield record_batch([("region", [t[a:b][:2000] for t in texts for a, b in regions(t)], pa.string())])
+            yield record_batch([("region", [t[a:b][:REGION_CHARS] for t in texts for a, b in regions(t)], pa.string())])
 
     found = docs.select("text").mapInArrow(gather, "region string")
     return train([r.region for r in hashed_sample(found, rows, "region").collect()])

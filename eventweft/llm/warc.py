@@ -38,8 +38,8 @@ SPLIT = 32 << 20
 FILE_BYTES = 1 << 28
 SALTS = 8
 LEVEL = 5
-#: Headers longer than this are no headers.
-HEADER_BYTES = 1 << 20
+#: Members are decoded in pieces of at most this size.
+PIECE = 1 << 20
 CHUNK = 1 << 18
 DATE = "2024-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
@@ -146,20 +146,23 @@ def read_member(file: pa.NativeFile, position: int) -> tuple[dict[str, str], byt
     unpack, out, header, fed = zlib.decompressobj(31), bytearray(), -1, 0
     fields = None
     while not unpack.eof:
-        data = file.read(CHUNK)
+        data = unpack.unconsumed_tail
         if not data:
-            return None
-        fed += len(data)
+            data = file.read(CHUNK)
+            fed += len(data)
         try:
-            out += unpack.decompress(data)
+            piece = unpack.decompress(data, PIECE)
         except zlib.error:
             return None
+        if not data and not piece and not unpack.eof:
+            return None
+        seen = len(out)
+        out += piece
         if fields is None:
+            # of any length: only what begins as a record is decoded further
             if not bytes(out[:7]) == b"WARC/1."[: len(out[:7])]:
                 return None
-            header = out.find(b"\r\n\r\n")
-            if header < 0 and len(out) > HEADER_BYTES:
-                return None
+            header = out.find(b"\r\n\r\n", max(0, seen - 3))
             if header >= 0:
                 fields = parse_header(bytes(out[:header]))
                 if fields is None:
