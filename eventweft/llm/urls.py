@@ -7,8 +7,8 @@ support and confidence are pruned. Matching goes by an inverted index: every min
 its rarest token, the distinct sets of mined tokens that pages have are looked up there, and a rule holds
 if the set has all of its tokens. The most confident rule gives the verdict; without one it is allow.
 
-Pages with equal token sets are one row in that join, so a host with a third of all pages costs no more
-than another. Defined results: a NULL url or one without ``://`` has an empty host and path and is
+Pages with equal token sets are one row in that join; their verdict goes back to the pages by set and one of
+``SALTS`` numbers, so that the pages of one set meet in several tasks. Defined results: a NULL url or one without ``://`` has an empty host and path and is
 allowed unless a mined rule says otherwise; repeated rows and ties are judged alike; empty tables give no
 rows; other columns are not read.
 """
@@ -32,8 +32,7 @@ RULES = [
 ROWS = 50_000
 SUPPORT = 0.005
 CONFIDENCE = 0.8
-#: Tokens of one URL that mining reads: it goes through their combinations.
-MINED = 10
+SALTS = 16
 #: Mined rules up to this number are sent to all executors; more are joined by a shuffle.
 SENT_RULES = 10_000
 
@@ -59,7 +58,7 @@ def fitting(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
 
 
 def tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a URL, the telling ones first: domain endings, first folders, file ending,
+    """Distinct tokens of a URL, the telling ones first: domain endings, folders by place, file ending,
     names before the domain, query names, mark of a fragment."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     n = F.size(labels)
@@ -70,7 +69,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         F.transform(F.slice(labels, -1, 1), lambda x: F.concat(F.lit("end:"), x)),
         F.when(n > 1, F.array(F.concat(F.lit("domain:"), F.array_join(F.slice(labels, F.greatest(n - 1, F.lit(1)), 2), "."))))
         .otherwise(F.array().cast("array<string>")),
-        F.transform(F.slice(folders, 1, 2), lambda x, i: F.concat(F.lit("folder"), i.cast("string"), F.lit(":"), x)),
+        F.transform(folders, lambda x, i: F.concat(F.lit("folder"), i.cast("string"), F.lit(":"), x)),
         F.when(n > 2, F.transform(F.slice(labels, 1, F.greatest(n - 2, F.lit(0))), lambda x: F.concat(F.lit("name:"), x)))
         .otherwise(F.array().cast("array<string>")),
         F.when(path.rlike(r"\.[A-Za-z0-9]{1,5}$"), F.array(F.concat(F.lit("file:"), F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)))))
@@ -84,8 +83,21 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 def mine(known: DataFrame, rows: int = ROWS, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(verdict, tokens, confidence, support) of the rules mined from (page_id, tokens, label)."""
     label = F.concat(F.lit("="), F.col("label"))
-    sample = hashed_sample(known, rows, "page_id", "tokens", "label")
-    items = sample.select(F.concat(F.slice("tokens", 1, MINED), F.array(label)).alias("items"))
+    known = known.select("page_id", F.array_distinct("tokens").alias("tokens"), "label")
+    n = known.count()
+    # a token's pages are told by two sums of hashes of their ids
+    number = F.monotonically_increasing_id()
+    pages = staged(known.withColumn("__page", number), "marked")
+    each = pages.select("__page", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("__page").cast("decimal(38,0)")).alias("a"),
+        F.sum(F.xxhash64("__page", F.lit(1)).cast("decimal(38,0)")).alias("b"),
+    )
+    frequent = each.filter(F.col("n") >= support * n).groupBy("n", "a", "b").agg(F.min("token").alias("token")).select("token")
+    sample = hashed_sample(pages.select("page_id", "tokens", "label", "__page"), rows, "page_id", "tokens", "label")
+    kept = sample.select("__page", F.explode("tokens").alias("token")).join(frequent, "token")
+    kept = kept.groupBy("__page").agg(F.sort_array(F.collect_set("token")).alias("kept"))
+    items = sample.join(kept, "__page", "left").select(F.concat(F.coalesce("kept", F.array().cast("array<string>")), F.array(label)).alias("items"))
     items = staged(items, "items")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     mined = model.associationRules
@@ -121,12 +133,14 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str,
     known = marked.select("page_id", "tokens", label.alias("label")).filter("label IS NOT NULL")
     mined = staged(mine(known).withColumn("rule", F.monotonically_increasing_id()), "rules")
     # tokens that no rule has part no sets
-    # there are MINED / SUPPORT of them at most: each is in that share of the sample, of MINED tokens a row
+    # each is in a share of SUPPORT of the sample, so there are at most as many as tokens of a URL over SUPPORT
     words = sorted(r.t for r in mined.select(F.explode("tokens").alias("t")).distinct().collect())
     known_words = F.lit(words) if words else F.array().cast("array<string>")
     named = named.withColumn("tokens", F.array_sort(F.array_intersect("tokens", known_words)))
     sets = judged(named.select("tokens").distinct(), mined)
-    out = named.join(sets, "tokens", "left")
+    sets = sets.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = named.withColumn("__salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    out = named.join(sets, ["tokens", "__salt"], "left")
     return out.select(
         "page_id", "host", "path", F.col("fixed.rule").alias("rule"),
         F.coalesce("fixed.verdict", "mined", F.lit("allow")).alias("verdict"), "mined",
