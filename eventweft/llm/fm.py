@@ -199,11 +199,13 @@ def fit_terms(terms: np.ndarray, passage: np.ndarray, text: np.ndarray, y: np.nd
     if min(y[left_out].sum(), (1 - y[left_out]).sum()) >= 5 and 0 < y[~left_out].mean() < 1:
         tried = []
         for candidate in RATES:
+            run = None  # one run's terms at a time
             run = _Fit(terms, passage, text, y, ~left_out, candidate)
             for n in range(1, EPOCHS + 1):
                 run.epoch()
                 tried.append((run.loss(np.flatnonzero(left_out)), candidate, n))
         _, rates, epochs = min(tried)
+        run = None
     run = _Fit(terms, passage, text, y, np.ones(len(y), bool), rates)
     for _ in range(epochs):
         run.epoch()
