@@ -1,34 +1,46 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension (is it above zero?), in one 64-bit number per 64 dimensions.
-Equal codes are one row of the index, which keeps their ``k`` smallest ids: more can't be in an answer.
-The code is cut into segments of at most 16 bits; the index holds each code under each segment's
-value. Per round the open queries look up all values at segment distance r, verify the whole distance of
-what they find, and keep their k best. Any code that was not found differs by more than r in every
-segment, so with m segments all codes within m (r + 1) - 1 are known: a query whose k-th distance is
-within that is done. The others go on with r + 1, in as many segments as their k-th distance so far calls
-for: each segment whose radius grows covers one more bit. When a round would ask for more values than a scan
-compares, the open queries are compared with all codes in blocks, which is as exact.
+Equal codes are one row of the index, which keeps their ``k`` smallest ids: more can't be in an answer. Equal
+codes among the queries are asked once. Codes and asked codes are dealt by hash to shards of about ``SHARD`` codes,
+at least one per core, and to blocks of about ``BLOCK`` queries; a task gets one shard and one block.
+
+There the codes are cut into segments of at most 16 bits and filed under each segment's value. A query starts
+with radius 0 in no segment; each step lets the radius of one segment grow, in turn: it looks up the values at just
+that distance from its own, verifies the whole distance of the codes filed there, and keeps a count per distance. A
+code that step s has not found differs in every segment by more than its radius, so by more than s in all: the query
+is done as soon as its k-th distance is at most s. A step that would look up more than ``PROBES`` values compares the query
+with the whole shard instead, which is as exact. Candidates never become rows: a shard returns k rows for a query.
 
 Defined results: answers are by (distance, id); a query finds itself and its copies like any other row;
 fewer than k rows give shorter answers; repeated
-rows count once; NULL ids, NULL vectors and vectors of another length than most (of equally frequent
+rows count once; an id with several vectors asks and is found by each of them; NULL ids, NULL vectors and vectors of another length than most (of equally frequent
 lengths the longest) are no rows of the index and, as queries, have no answer; other columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import spread, staged, table
 
 TOP = 10
 EVERY = 100
 SEGMENT_BITS = 16
-#: Values that one query may look up in one round; beyond it the open queries scan.
+#: Values that one step of a query may look up; beyond it the query is compared with its shard.
 PROBES = 20_000
-BLOCK = 500
+#: Codes and queries that meet in one task, on average.
+SHARD = 1 << 16
+BLOCK = 1 << 14
+#: Parts of the queries that share one code when answers are given back to them.
+SALTS = 16
 
 
 def code(vector: Column, dims: int) -> Column:
@@ -46,10 +58,6 @@ def code(vector: Column, dims: int) -> Column:
     return F.array(*words)
 
 
-def distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-
-
 def segments(dims: int, bits: int) -> list[tuple[int, int, int]]:
     """(word, first bit, width) of each segment; none crosses a word."""
     out = []
@@ -61,107 +69,146 @@ def segments(dims: int, bits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_values(codes: Column, parts: list[tuple[int, int, int]]) -> Column:
-    return F.array(*[
-        F.shiftrightunsigned(F.get(codes, F.lit(w)), s).bitwiseAND(F.lit((1 << n) - 1)).cast("int") for w, s, n in parts
-    ])
-
-
-def codes_of(vectors: DataFrame, dims: int) -> DataFrame:
-    fine = vectors.filter((F.size("embedding") == dims) & F.col("vec_id").isNotNull())
-    return fine.select("vec_id", code(F.col("embedding"), dims).alias("code"))
-
-
-def best(found: DataFrame, k: int) -> DataFrame:
-    """The k smallest (distance, vec_id) of each query."""
-    order = Window.partitionBy("query").orderBy("distance", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def nearest_codes(found: DataFrame, k: int) -> DataFrame:
-    """(query, vec_id, distance) of the k nearest codes of each query. A code behind k others by its
-    distance and smallest id has no id among the k best: the others' smallest ids are before it."""
-    order = Window.partitionBy("query").orderBy("distance", F.get("ids", F.lit(0)))
-    kept = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
-    return kept.select("query", F.explode("ids").alias("vec_id"), "distance")
-
-
-def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES) -> DataFrame:
+@functools.lru_cache(maxsize=None)
+def masks(width: int, r: int) -> np.ndarray:
+    """The numbers of ``width`` bits of which ``r`` are set."""
+    numbers = np.arange(1 << width)
+    return numbers[np.bitwise_count(numbers) == r]
+
+
+class Shard:
+    """Codes filed under the value of each segment."""
+
+    def __init__(self, codes: np.ndarray, dims: int) -> None:
+        self.codes, self.parts = codes, segments(dims, SEGMENT_BITS)
+        self.files = []
+        for word, low, width in self.parts:
+            value = self.value(codes, word, low, width)
+            starts = np.r_[0, np.cumsum(np.bincount(value, minlength=1 << width))]
+            self.files.append((np.argsort(value, kind="stable"), starts))
+
+    @staticmethod
+    def value(codes: np.ndarray, word: int, low: int, width: int) -> np.ndarray:
+        return (codes[..., word] >> np.uint64(low)).astype(np.int64) & ((1 << width) - 1)
+
+    def distances(self, asked: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
+        return np.bitwise_count(self.codes[rows] ^ asked).sum(1, dtype=np.int64)
+
+    def nearest(self, asked: np.ndarray, sizes: np.ndarray, k: int, probes: int, dims: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows, with their distances, that hold the k nearest ids; row i holds ``sizes[i]`` ids."""
+        m = len(self.parts)
+        seen = np.zeros(len(self.codes), bool)
+        counts, rows, far = np.zeros(dims + 1), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        kth = dims
+        for step in range(m * (SEGMENT_BITS + 1)):
+            segment, r = step % m, step // m
+            word, low, width = self.parts[segment]
+            near = masks(width, r)
+            if len(near) > probes:
+                found = np.flatnonzero(~seen)
+                seen[:] = True
+            else:
+                order, starts = self.files[segment]
+                value = self.value(asked, word, low, width) ^ near
+                found = order[spread(starts[value], starts[value + 1] - starts[value])]
+                found = found[~seen[found]]
+                seen[found] = True
+            if len(found):
+                gap = self.distances(asked, found)
+                rows.append(found)
+                far.append(gap)
+                counts += np.bincount(gap, weights=sizes[found], minlength=dims + 1)
+                held = np.cumsum(counts)
+                kth = int(np.searchsorted(held, k)) if held[-1] >= k else dims
+            if kth <= step or len(near) > probes:
+                break
+        row, gap = np.concatenate(rows), np.concatenate(far)
+        keep = gap <= kth
+        return row[keep], gap[keep]
+
+
+def searcher(dims: int, k: int, probes: int, answer: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Answers of one block of asked codes in one shard: k rows each at most."""
+
+    def words(column: pa.ChunkedArray) -> np.ndarray:
+        flat = pc.list_flatten(column).to_numpy().astype(np.int64)
+        return flat.view(np.uint64).reshape(len(column), -1)
+
+    def run(index: pa.Table, asked: pa.Table) -> pa.Table:
+        if not index.num_rows or not asked.num_rows:
+            return answer.empty_table()
+        shard = Shard(words(index["code"]), dims)
+        ids = pc.list_flatten(index["ids"]).combine_chunks()
+        sizes = pc.list_value_length(index["ids"]).to_numpy().astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        place = np.empty(len(ids), np.int64)
+        place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        query, chosen, gaps = [], [], []
+        for n, own in enumerate(words(asked["asked"])):
+            row, gap = shard.nearest(own, sizes, k, probes, dims)
+            # a code behind k others by (distance, smallest id) has no id among the k nearest
+            order = np.lexsort((place[first[row]], gap))[:k]
+            row, gap = row[order], gap[order]
+            held, gap = spread(first[row], sizes[row]), np.repeat(gap, sizes[row])
+            order = np.lexsort((place[held], gap))[:k]
+            query.append(np.full(len(order), n))
+            chosen.append(held[order])
+            gaps.append(gap[order])
+        picked = asked["asked"].take(pa.array(np.concatenate(query)))
+        return pa.Table.from_arrays(
+            [picked, ids.take(pa.array(np.concatenate(chosen))), pa.array(np.concatenate(gaps), pa.int32())], names=answer.names
+        ).cast(answer)
+
+    return run
+
+
+def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(query, rank, vec_id, distance) of the rows that pass ``chosen``, against all rows."""
     spark = vectors.sparkSession
     size = F.size("embedding")
     common = vectors.filter(size > 0).groupBy(size.alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
     dims = common["dims"] if common else 0
-    nothing = spark.createDataFrame([], f"query {vectors.schema['vec_id'].dataType.simpleString()}, rank int, vec_id {vectors.schema['vec_id'].dataType.simpleString()}, distance int")
+    kind = vectors.schema["vec_id"].dataType.simpleString()
     if dims <= 0:
-        return nothing
+        return spark.createDataFrame([], f"query {kind}, rank int, vec_id {kind}, distance int")
     coded = staged(codes_of(vectors, dims), "codes")
     # k smallest ids of each code: rank 1..k is cut before the shuffle
     order = Window.partitionBy("code").orderBy("vec_id")
     kept = coded.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
     index = staged(kept.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "index")
-    parts = segments(dims, SEGMENT_BITS)
-    widest = max(n for _, _, n in parts)
-    filed = staged(index.select("code", "ids", F.posexplode(segment_values(F.col("code"), parts)).alias("segment", "value")), "filed")
-    asked = coded.filter(chosen).select(F.col("vec_id").alias("query"), F.col("code").alias("asked")).distinct()
-    asked = asked.withColumn("need", F.lit(len(parts)))
-    open_, answers, known = staged(asked, "open"), None, None
-    for r in range(widest + 1):
-        if open_.isEmpty():
-            break
-        # values at distance r, as numbers to xor; the widest segment bounds them
-        masks = [m for m in range(1 << widest) if m.bit_count() == r]
-        if len(masks) * len(parts) > probes:
-            found = _scan(open_.drop("need"), index, k)
-            answers = found if answers is None else answers.unionByName(found)
-            open_ = open_.limit(0)
-            break
-        probe = open_.select("query", "asked", F.posexplode(F.slice(segment_values(F.col("asked"), parts), F.lit(1), F.col("need"))).alias("segment", "value"))
-        probe = probe.select("query", "asked", "segment", F.explode(F.transform(F.lit(masks), lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
-        # both sides grow with the data and with r, which estimates before the explode don't show: no broadcast
-        new = probe.hint("merge").join(filed.hint("merge"), ["segment", "value"]).select("query", "code", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
-        new = nearest_codes(new.dropDuplicates(["query", "code"]), k)
-        if known is not None:
-            new = new.unionByName(known).distinct()
-        top = staged(best(new, k).drop("rank"), f"top{r}")
-        covered = len(parts) * (r + 1) - 1
-        state = top.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
-        # far only falls: the segments that cover it are enough, and those who asked fewer are covered now
-        need = F.when(F.col("n") == k, F.least(F.col("far") - covered, F.lit(len(parts)))).otherwise(F.lit(len(parts)))
-        state = open_.join(state, "query", "left").withColumn(
-            "next", F.when(F.col("need") < len(parts), F.lit(0)).otherwise(need)
-        )
-        state = staged(state.select("query", "asked", F.col("next").alias("need")), f"open{r}")
-        done = state.filter("need <= 0").select("query")
-        ready = top.join(done, "query", "left_semi")
-        answers = ready if answers is None else answers.unionByName(ready)
-        open_ = state.filter("need > 0")
-        known = top.join(done, "query", "left_anti")
-    else:
-        answers = known if answers is None else answers.unionByName(known)
-    if answers is None:
-        return nothing
-    return best(answers.select("query", "vec_id", "distance"), k).select("query", "rank", "vec_id", "distance")
-
-
-def _scan(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """Blocks of queries against all codes; each task keeps the k best of what it has."""
-    spark = queries.sparkSession
-    out, block = None, []
-
-    def run(rows: list) -> DataFrame:
-        sent = F.broadcast(spark.createDataFrame(rows, queries.schema))  # BLOCK rows
-        pairs = index.join(sent, F.size("code") == F.size("asked"))
-        pairs = pairs.select("query", "ids", distance(F.col("asked"), F.col("code")).alias("distance"))
-        return staged(best(nearest_codes(pairs, k), k).drop("rank"), "scan")
-
-    for row in queries.toLocalIterator():
-        block.append(row)
-        if len(block) == BLOCK:
-            out, block = run(block) if out is None else out.unionByName(run(block)), []
-    if block:
-        out = run(block) if out is None else out.unionByName(run(block))
-    return out
+    queries = coded.filter(chosen).select(F.col("vec_id").alias("query"), F.col("code").alias("asked")).distinct()
+    asked = staged(queries.select("asked").distinct(), "asked")
+    shards = max(spark.sparkContext.defaultParallelism, -(-index.count() // shard))
+    blocks = max(1, -(-asked.count() // block))
+
+    def dealt(key: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    left = index.select("code", "ids", dealt("code", shards).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = asked.select("asked", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), dealt("asked", blocks).alias("block"))
+    schema = f"asked array<long>, vec_id {kind}, distance int"
+    answer = pa.schema([("asked", pa.list_(pa.int64())), ("vec_id", _arrow_type(vectors)), ("distance", pa.int32())])
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(searcher(dims, k, probes, answer), schema)
+    nearest = Window.partitionBy("asked").orderBy("distance", "vec_id")
+    top = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+    # many queries may have asked one code: they are dealt to salts
+    top = top.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    queries = queries.withColumn("salt", dealt("query", SALTS))
+    # an id may have several vectors
+    own = Window.partitionBy("query").orderBy("distance", "vec_id")
+    pairs = queries.join(top.drop("rank"), ["asked", "salt"]).withColumn("rank", F.row_number().over(own))
+    return pairs.filter(F.col("rank") <= k).select("query", "rank", "vec_id", "distance")
+
+
+def _arrow_type(vectors: DataFrame) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(vectors.schema["vec_id"].dataType)
+
+
+def codes_of(vectors: DataFrame, dims: int) -> DataFrame:
+    fine = vectors.filter((F.size("embedding") == dims) & F.col("vec_id").isNotNull())
+    return fine.select("vec_id", code(F.col("embedding"), dims).alias("code"))
 
 
 def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:

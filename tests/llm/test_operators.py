@@ -266,6 +266,22 @@ def test_top_k_matches_all_distances(spark):
     assert hamming.top_k(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_over_shards_blocks_copies_and_ids_of_several_vectors(spark):
+    rng = np.random.default_rng(9)
+    for dims in (5, 64, 130):
+        rows = [(i % 120, rng.normal(size=dims).tolist()) for i in range(150)]
+        rows += [(1000 + i, rows[0][1]) for i in range(30)] + rows[:3]
+        bits = {(i, tuple(np.array(v) > 0)) for i, v in rows}
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        want = set()
+        for q in {i for i, _ in bits if i % 100 == 0}:
+            pairs = sorted((sum(x != y for x, y in zip(a, b)), i) for p, a in bits if p == q for i, b in bits)
+            want |= {(q, n + 1, i, d) for n, (d, i) in enumerate(pairs[:5])}
+        for probes, shard, block in ((hamming.PROBES, hamming.SHARD, hamming.BLOCK), (hamming.PROBES, 20, 1), (1, 20, 1)):
+            got = hamming.top_k(frame, F.col("vec_id") % 100 == 0, 5, probes, shard, block).collect()
+            assert {(r.query, r["rank"], r.vec_id, r.distance) for r in got} == want
+
+
 def test_near_copies_of_larger_texts(spark):
     """Near copies, many copies of one text, and a template that unlike documents share: none of these is linked."""
     from eventweft.llm import copies
