@@ -39,6 +39,8 @@ PROBES = 20_000
 #: Codes and queries that meet in one task, on average.
 SHARD = 1 << 16
 BLOCK = 1 << 14
+#: Tasks that shards and blocks are dealt to at most.
+TASKS = 20_000
 #: Parts of the queries that share one code when answers are given back to them.
 SALTS = 16
 
@@ -188,6 +190,9 @@ def top_k(vectors: DataFrame, chosen: Column, k: int = TOP, probes: int = PROBES
     right = asked.select("asked", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), dealt("asked", blocks).alias("block"))
     schema = f"asked array<long>, vec_id {kind}, distance int"
     answer = pa.schema([("asked", pa.list_(pa.int64())), ("vec_id", _arrow_type(vectors)), ("distance", pa.int32())])
+    # few bytes make much work here: a number of its own, which adaptive execution does not make less
+    tasks = min(shards * blocks, TASKS)
+    left, right = left.repartition(tasks, "shard", "block"), right.repartition(tasks, "shard", "block")
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(searcher(dims, k, probes, answer), schema)
     nearest = Window.partitionBy("asked").orderBy("distance", "vec_id")
     top = found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
