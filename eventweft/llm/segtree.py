@@ -1,16 +1,22 @@
-"""Edit-aware token counts: a segment tree of pre-token runs per document.
+"""Edit-aware token counts: stored segment trees of pre-token runs, one per document.
 
 The text is cut into leaves at places where a pre-token starts in whatever text stands around: before a
 space that follows a sign which is no white space and is followed by a letter. A leaf is the run of
 pre-tokens up to the first such place after ``LEAF`` characters; its tokens don't depend on its
-neighbours. The tree keeps, per node, the sums of characters and of tokens below it. An edit finds its
-leaves by descending the character sums, re-encodes only those, widened by the neighbour on a side where
-the edit has broken the boundary, and updates the sums on the way to the root; a tree whose leaf count
-changes is rebuilt from leaf sums, without encoding. ``text`` itself is needed only for touched leaves.
+neighbours. ``built`` encodes a table of documents once and writes, in the shared folder, the leaves' texts and a tree per
+row: the ids of its leaves in order and, in heap order, the characters and tokens below every node.
+
+``edited`` applies a table of edits to such a store. An edit finds its leaves by descending the character
+sums. The leaves it touches and one neighbour on each side, where a broken boundary ends at the latest, are a block; edits
+that meet are one block. Only the texts of blocks are joined to the edits; inside a block only touched leaves, and a
+neighbour whose boundary broke, are encoded again. What they become is written as new leaves beside the old ones; trees get
+the new ids and the sums on the way to the root, or, if the number of leaves changes, sums made again from leaf
+sums, without encoding. The result is a store again: the next edits need no text but that of their blocks.
 
 Defined results: NULL reads as empty; an empty text has one empty leaf and no tokens; edits apply in the
-order of their list, each to the text that the former left; positions beyond the end mean the end;
-repeated rows are counted alike; other columns pass untouched.
+order of their list, each to the text that the former left; positions before the start or NULL mean the start, beyond the
+end the end; NULL lists, and rows without edits, change nothing; every row has a tree of its own, so repeated rows are
+counted alike and NULL ids are ids like others; columns not asked to be kept are not read.
 """
 
 from __future__ import annotations
@@ -18,20 +24,25 @@ from __future__ import annotations
 import base64
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, staged, table
 
 LEAF = 512
 #: A pre-token starts at the space of such a place, whatever stands around.
 _CUT = re.compile(r"(?<=\S)(?= [^\W\d_])")
 EDIT = "array<struct<start:int,end:int,text:string>>"
-COUNTED = "struct<before:long,after:long,chars_after:long,leaves:long,reencoded_chars:long,encoded_leaves:long>"
-
+LEAVES = "array<struct<text:string,tokens:int>>"
+TREE = "struct<ids:array<long>,chars:array<long>,tokens:array<long>>"
+BLOCKS = "array<struct<first:int,last:int,edits:array<struct<start:int,end:int,text:string>>>>"
+MENDED = "struct<leaves:array<struct<text:string,tokens:int>>,encoded_chars:long,encoded_leaves:long>"
+#: Bits of a leaf id below the generation, and below the block that it came with.
+GENERATION, WITHIN = 42, 20
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, pattern: str):
@@ -54,52 +65,83 @@ def leaves_of(text: str, size: int = LEAF) -> list[str]:
     return out
 
 
-class Tree:
-    """Leaves and, over them, sums in heap order: node i has the children 2i and 2i + 1."""
+class Sums:
+    """Sums in heap order over a row of numbers: node i has the children 2i and 2i + 1."""
 
-    def __init__(self, text: str, count):
-        self.count = count
-        self.leaves = leaves_of(text)
-        self.tokens = [count(p) for p in self.leaves]
-        self.encoded_chars, self.encoded_leaves = 0, 0
-        self._sum()
-
-    def _sum(self) -> None:
-        width = 1
-        while width < len(self.leaves):
-            width *= 2
-        self.width = width
-        self.chars_sum, self.tokens_sum = [0] * (2 * width), [0] * (2 * width)
-        self.chars_sum[width : width + len(self.leaves)] = [len(p) for p in self.leaves]
-        self.tokens_sum[width : width + len(self.leaves)] = self.tokens
-        for i in range(width - 1, 0, -1):
-            self.chars_sum[i] = self.chars_sum[2 * i] + self.chars_sum[2 * i + 1]
-            self.tokens_sum[i] = self.tokens_sum[2 * i] + self.tokens_sum[2 * i + 1]
+    def __init__(self, values: list[int]) -> None:
+        self.size = len(values)
+        self.width = 1
+        while self.width < self.size:
+            self.width *= 2
+        self.heap = [0] * (2 * self.width)
+        self.heap[self.width : self.width + self.size] = values
+        for i in range(self.width - 1, 0, -1):
+            self.heap[i] = self.heap[2 * i] + self.heap[2 * i + 1]
+
+    @classmethod
+    def stored(cls, heap: list[int], size: int) -> Sums:
+        sums = cls.__new__(cls)
+        sums.heap, sums.size, sums.width = list(heap), size, len(heap) // 2
+        return sums
 
     @property
     def total(self) -> int:
-        return self.tokens_sum[1]
+        return self.heap[1]
 
     @property
-    def length(self) -> int:
-        return self.chars_sum[1]
+    def values(self) -> list[int]:
+        return self.heap[self.width : self.width + self.size]
 
     def find(self, place: int) -> tuple[int, int]:
-        """Leaf that holds the character at ``place`` (the last one at the end), and where it starts."""
+        """Number that holds the ``place``, as counted by the sums (the last one at the end), and where it starts."""
         node, start = 1, 0
         while node < self.width:
             node *= 2
-            if place >= start + self.chars_sum[node] and self.chars_sum[node + 1] > 0:
-                start += self.chars_sum[node]
+            if place >= start + self.heap[node] and self.heap[node + 1] > 0:
+                start += self.heap[node]
                 node += 1
-        return min(node - self.width, len(self.leaves) - 1), start
+        return min(node - self.width, self.size - 1), start
+
+    def replaced(self, first: int, last: int, values: list[int]) -> Sums:
+        """Sums with other numbers from ``first`` to ``last``: along the paths if their count stays, else made again."""
+        if len(values) != last + 1 - first:
+            own = self.values
+            return Sums(own[:first] + values + own[last + 1 :])
+        for place, value in enumerate(values, first):
+            node = self.width + place
+            more = value - self.heap[node]
+            while node:
+                self.heap[node] += more
+                node //= 2
+        return self
+
+
+class Tree:
+    """Leaves and the sums over them; only what is new to it is encoded."""
+
+    def __init__(self, leaves: list[str], tokens: list[int], count: Callable[[str], int]) -> None:
+        self.count, self.leaves = count, leaves
+        self.chars, self.tokens = Sums([len(p) for p in leaves]), Sums(tokens)
+        self.encoded_chars, self.encoded_leaves = 0, 0
+
+    @classmethod
+    def of(cls, text: str, count: Callable[[str], int]) -> Tree:
+        leaves = leaves_of(text)
+        return cls(leaves, [count(p) for p in leaves], count)
+
+    @property
+    def total(self) -> int:
+        return self.tokens.total
+
+    @property
+    def length(self) -> int:
+        return self.chars.total
 
     def edit(self, start: int, end: int, text: str) -> None:
         """Replaces the characters from ``start`` to ``end``."""
-        start = max(0, min(start, self.length))
-        end = max(start, min(end, self.length))
-        first, begin = self.find(start)
-        last, last_begin = self.find(end)
+        start, end = clamped(start, end, self.length)
+        first, begin = self.chars.find(start)
+        last, _ = self.chars.find(end)
         new = "".join(self.leaves[first : last + 1])
         new = new[: start - begin] + text + new[end - begin :]
         # context: a border holds only while a pre-token is sure to start there
@@ -110,42 +152,200 @@ class Tree:
             last += 1
             new += self.leaves[last]
         parts = leaves_of(new)
-        tokens = [self.count(p) for p in parts]
         self.encoded_chars += len(new)
         self.encoded_leaves += len(parts)
-        same = len(parts) == last + 1 - first
-        self.leaves[first : last + 1], self.tokens[first : last + 1] = parts, tokens
-        if not same:
-            self._sum()
-            return
-        for leaf in range(first, last + 1):
-            node = self.width + leaf
-            more_chars = len(self.leaves[leaf]) - self.chars_sum[node]
-            more_tokens = self.tokens[leaf] - self.tokens_sum[node]
-            while node:
-                self.chars_sum[node] += more_chars
-                self.tokens_sum[node] += more_tokens
-                node //= 2
+        self.leaves[first : last + 1] = parts
+        self.chars = self.chars.replaced(first, last, [len(p) for p in parts])
+        self.tokens = self.tokens.replaced(first, last, [self.count(p) for p in parts])
+
+
+def clamped(start: int, end: int, length: int) -> tuple[int, int]:
+    start = max(0, min(start, length))
+    return start, max(start, min(end, length))
+
+
+def listed(edits: list[dict] | None) -> list[tuple[int, int, str]]:
+    return [(e["start"] or 0, e["end"] or 0, e["text"] or "") for e in edits or [] if e]
+
+
+def blocks_of(chars: Sums, edits: list[tuple[int, int, str]]) -> list[dict]:
+    """Blocks of leaves that edits touch, one neighbour on each side included, with the edits as places in the block."""
+    # parts of the text: first leaf, last leaf, characters before the edits, edits within
+    parts = [(i, i, n, []) for i, n in enumerate(chars.values)]
+    sums = Sums.stored(chars.heap, chars.size)
+    for start, end, text in edits:
+        start, end = clamped(start, end, sums.total)
+        first, last = max(0, sums.find(start)[0] - 1), min(sums.size - 1, sums.find(end)[0] + 1)
+        sizes = sums.values
+        begin, met, own, at = sum(sizes[:first]), parts[first : last + 1], [], sum(p[2] for p in parts[first : last + 1])
+        # parts edited before do not touch each other: from the last one on, no edit moves one still to come
+        for part in reversed(met):
+            at -= part[2]
+            own += [(s + at, e + at, t) for s, e, t in part[3]]
+        own.append((start - begin, end - begin, text))
+        parts[first : last + 1] = [(met[0][0], met[-1][1], sum(p[2] for p in met), own)]
+        sums = sums.replaced(first, last, [sum(sizes[first : last + 1]) + len(text) - (end - start)])
+    return [
+        {"first": a, "last": b, "edits": [{"start": s, "end": e, "text": t} for s, e, t in own]} for a, b, _, own in parts if own
+    ]
+
+
+@dataclass(frozen=True)
+class Store:
+    """``trees``: a row id ``row``, the kept columns as ``kept``, ``tree``. ``texts``: ``row``, leaf ``id``, ``text``, ``tokens``;
+    with leaves that no tree holds any more. ``generation`` numbers the writes."""
+
+    trees: DataFrame
+    texts: DataFrame
+    path: str
+    pattern: str
+    generation: int = 0
+
+    def totals(self) -> DataFrame:
+        """All columns of the trees but the tree, n_tokens, n_chars and n_leaves: no text is read."""
+        names = [F.col(c) for c in self.trees.columns if c != "tree"]
+        return self.trees.select(
+            *names, F.get("tree.tokens", F.lit(1)).alias("n_tokens"), F.get("tree.chars", F.lit(1)).alias("n_chars"),
+            F.size("tree.ids").cast("long").alias("n_leaves"),
+        )
+
+
+_LEAVES = pa.list_(pa.struct([("text", pa.string()), ("tokens", pa.int32())]))
+_TREE = pa.struct([(n, pa.list_(pa.int64())) for n in ("ids", "chars", "tokens")])
+_EDITS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
+_BLOCKS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("edits", _EDITS)]))
+_MENDED = pa.struct([("leaves", _LEAVES), ("encoded_chars", pa.int64()), ("encoded_leaves", pa.int64())])
+
+
+def _rows(kind: pa.DataType, own: Callable[..., list], *arrays: pa.Array) -> pa.Array:
+    """What ``own`` makes of the values of some columns, part by part of the first one's bytes."""
+    out, at = [pa.array([], kind)], 0
+    for part in sliced(arrays[0], 1 << 22):
+        out.append(pa.array(own(*[a.slice(at, len(part)).to_pylist() for a in arrays]), kind))
+        at += len(part)
+    return pa.concat_arrays(out)
+
+
+def _cut(text: Column, path: str, pattern: str) -> Column:
+    """Leaves of whole texts, encoded."""
+
+    @F.arrow_udf(LEAVES)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = encoder(path, pattern).encode_ordinary
+        for batch in batches:
+            yield _rows(_LEAVES, lambda texts: [[{"text": p, "tokens": len(encode(p))} for p in leaves_of(t or "")] for t in texts], batch)
+
+    return run(text)
+
+
+def _planted(chars: Column, tokens: Column) -> Column:
+    """Trees over leaves numbered from 0."""
+
+    @F.arrow_udf(TREE)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for sizes, counts in batches:
+            rows = zip(sizes.to_pylist(), counts.to_pylist())
+            yield pa.array([{"ids": list(range(len(s))), "chars": Sums(s).heap, "tokens": Sums(n).heap} for s, n in rows], _TREE)
+
+    return run(chars, tokens)
+
 
+def _planned(tree: Column, edits: Column) -> Column:
+    """Blocks that edits touch."""
+
+    @F.arrow_udf(BLOCKS)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for trees, changes in batches:
+            rows = zip(trees.to_pylist(), changes.to_pylist())
+            yield pa.array([blocks_of(Sums.stored(t["chars"], len(t["ids"])), listed(e)) for t, e in rows], _BLOCKS)
+
+    return run(tree, edits)
 
-def counted(text: Column, edits: Column, path: str, pattern: str) -> Column:
-    """Token counts of each whole text before and after its edits."""
 
-    @F.arrow_udf(COUNTED)
+def _mended(leaves: Column, edits: Column, path: str, pattern: str) -> Column:
+    """Blocks after their edits."""
+
+    @F.arrow_udf(MENDED)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encode = encoder(path, pattern).encode_ordinary
-        names = [p.split(":")[0] for p in COUNTED[7:-1].split(",")]
-        for texts, lists in batches:
-            rows = []
-            for text, changes in zip(texts, lists):
-                tree = Tree(text.as_py() or "", lambda p: len(encode(p)))
-                before = tree.total
-                for e in changes.as_py() or []:
-                    tree.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
-                rows.append((before, tree.total, tree.length, len(tree.leaves), tree.encoded_chars, tree.encoded_leaves))
-            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))], names)
 
-    return run(text, edits)
+        def one(own: list[dict], changes: list[dict]) -> dict:
+            tree = Tree([x["text"] for x in own], [x["tokens"] for x in own], lambda p: len(encode(p)))
+            for change in listed(changes):
+                tree.edit(*change)
+            now = [{"text": p, "tokens": n} for p, n in zip(tree.leaves, tree.tokens.values)]
+            return {"leaves": now, "encoded_chars": tree.encoded_chars, "encoded_leaves": tree.encoded_leaves}
+
+        for batch, changes in batches:
+            yield _rows(_MENDED, lambda own, e: list(map(one, own, e)), batch, changes)
+
+    return run(leaves, edits)
+
+
+def _grafted(tree: Column, changes: Column) -> Column:
+    """Trees whose blocks have become other leaves."""
+
+    @F.arrow_udf(TREE)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for trees, lists in batches:
+            out = []
+            for old, blocks in zip(trees.to_pylist(), lists.to_pylist()):
+                ids = old["ids"]
+                chars, tokens = Sums.stored(old["chars"], len(ids)), Sums.stored(old["tokens"], len(ids))
+                for b in sorted(blocks or [], key=lambda b: -b["first"]):
+                    chars = chars.replaced(b["first"], b["last"], b["chars"])
+                    tokens = tokens.replaced(b["first"], b["last"], b["tokens"])
+                    ids[b["first"] : b["last"] + 1] = b["ids"]
+                out.append({"ids": ids, "chars": chars.heap, "tokens": tokens.heap})
+            yield pa.array(out, _TREE)
+
+    return run(tree, changes)
+
+
+def built(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> Store:
+    """The store of ``docs``, with the columns ``keep`` beside each tree: every text is encoded once."""
+    kept = F.struct(*[F.col(c) for c in keep])
+    first = docs.select(kept.alias("kept"), _cut(F.col("text"), path, pattern).alias("leaves"))
+    first = staged(first.select(F.monotonically_increasing_id().alias("row"), "kept", "leaves"), "leaves")
+    sizes = F.transform("leaves.text", lambda t: F.length(t).cast("long"))
+    trees = first.select("row", "kept", _planted(sizes, F.transform("leaves.tokens", lambda n: n.cast("long"))).alias("tree"))
+    texts = first.select("row", F.posexplode("leaves").alias("id", "leaf"))
+    texts = texts.select("row", F.col("id").cast("long").alias("id"), "leaf.text", "leaf.tokens")
+    return Store(staged(trees, "trees"), texts, path, pattern)
+
+
+def edited(store: Store, edits: DataFrame) -> tuple[Store, DataFrame]:
+    """The store after ``edits`` (row, edits: a list, one row per tree at most), and what that took per edited row: row,
+    encoded_chars, encoded_leaves."""
+    edits = edits.select("row", F.col("edits").alias("__edits"))
+    planned = store.trees.join(edits, "row").select("row", "tree", F.explode(_planned(F.col("tree"), F.col("__edits"))).alias("block"))
+    ids = F.slice("tree.ids", F.col("block.first") + 1, F.col("block.last") - F.col("block.first") + 1)
+    wanted = staged(planned.select("row", "block", ids.alias("ids")), "blocks")
+    # on the row alone, so that the leaves of a block need no second shuffle
+    texts = store.texts.withColumnRenamed("row", "__row")
+    met = wanted.join(texts, (F.col("row") == F.col("__row")) & F.array_contains("ids", F.col("id")))
+    leaf = F.struct(F.array_position("ids", F.col("id")).alias("at"), "text", "tokens")
+    blocks = met.groupBy("row", "block.first").agg(
+        F.first("block").alias("block"), F.array_sort(F.collect_list(leaf)).alias("own")
+    )
+    own = F.transform("own", lambda x: F.struct(x["text"].alias("text"), x["tokens"].alias("tokens")))
+    blocks = blocks.select("row", "block.first", "block.last", _mended(own, F.col("block.edits"), store.path, store.pattern).alias("now"))
+    generation = store.generation + 1
+    # the generation, the block's first leaf, the leaf's place in the block: distinct within the tree
+    block = F.lit(generation << GENERATION) + F.shiftleft(F.col("first").cast("long"), WITHIN)
+    new = F.transform("now.leaves", lambda x, i: block + i)
+    blocks = staged(blocks.select("row", "first", "last", "now", new.alias("ids")), "mended")
+    texts = blocks.select("row", F.explode(F.arrays_zip("ids", "now.leaves")).alias("x"))
+    texts = texts.select("row", F.col("x.ids").alias("id"), F.col("x.leaves.text").alias("text"), F.col("x.leaves.tokens").alias("tokens"))
+    sizes = F.transform("now.leaves", lambda x: F.length(x["text"]).cast("long"))
+    change = F.struct(
+        "first", "last", "ids", sizes.alias("chars"), F.transform("now.leaves", lambda x: x["tokens"].cast("long")).alias("tokens")
+    )
+    changes = blocks.groupBy("row").agg(F.collect_list(change).alias("changes"))
+    trees = store.trees.join(changes, "row", "left")
+    trees = trees.select("row", "kept", _grafted(F.col("tree"), F.col("changes")).alias("tree"))
+    work = blocks.groupBy("row").agg(F.sum("now.encoded_chars").alias("encoded_chars"), F.sum("now.encoded_leaves").alias("encoded_leaves"))
+    return Store(staged(trees, "trees"), store.texts.unionByName(texts), store.path, store.pattern, generation), work
 
 
 def derived_edits(text: Column, lang: Column, source: Column) -> Column:
@@ -168,7 +368,13 @@ def op5_segtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    edits = derived_edits(F.col("text"), F.col("lang"), F.col("source"))
+    docs = docs.withColumn("edits", derived_edits(F.col("text"), F.col("lang"), F.col("source")))
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    out = docs.select("doc_id", counted(F.col("text"), edits, path, public_tokenizers.PATTERN).alias("c"))
-    return out.select("doc_id", *[F.col("c")[n].alias(n) for n in ("before", "after", "chars_after", "leaves", "reencoded_chars", "encoded_leaves")])
+    before = built(docs, path, public_tokenizers.PATTERN, ["doc_id", "edits"])
+    after, work = edited(before, before.trees.select("row", "kept.edits"))
+    old = before.totals().select("row", F.col("n_tokens").alias("before"))
+    out = after.totals().join(old, "row").join(work, "row", "left")
+    return out.select(
+        "kept.doc_id", "before", F.col("n_tokens").alias("after"), F.col("n_chars").alias("chars_after"), F.col("n_leaves").alias("leaves"),
+        F.coalesce("encoded_chars", F.lit(0)).alias("reencoded_chars"), F.coalesce("encoded_leaves", F.lit(0)).alias("encoded_leaves"),
+    )

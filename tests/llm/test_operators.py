@@ -219,7 +219,7 @@ def test_edited_counts_match_encoding_anew():
     rng = random.Random(3)
     for _ in range(300):
         text = "".join(rng.choices(["a", "the", " ", "  ", "\n", "1", "!", "'s", "é", " b", " word"], k=rng.randint(0, 900)))
-        tree = segtree.Tree(text, lambda p: len(code(p)))
+        tree = segtree.Tree.of(text, lambda p: len(code(p)))
         for _ in range(4):
             a = rng.randint(0, len(text) + 2)
             b, new = a + rng.choice([0, 1, 9]), "".join(rng.choices([" ", "a", "\n", "'s"], k=3))
