@@ -3,15 +3,16 @@
 The text is cut into leaves at places where a pre-token starts in whatever text stands around: before a
 space that follows a sign which is no white space and is followed by a letter. A leaf is the run of
 pre-tokens up to the first such place after ``LEAF`` characters; its tokens don't depend on its
-neighbours. ``built`` encodes a table of documents once and writes, in the shared folder, the leaves' texts and a tree per
-row: the ids of its leaves in order and, in heap order, the characters and tokens below every node.
+neighbours. ``built`` encodes a table of documents once and writes, in the shared folder, a row per document: its leaves and a
+tree, that is the ids of the leaves in order and, in heap order, the characters and tokens below every node.
 
 ``edited`` applies a table of edits to such a store. An edit finds its leaves by descending the character
-sums. The leaves it touches and one neighbour on each side, where a broken boundary ends at the latest, are a block; edits
-that meet are one block. Only the texts of blocks are joined to the edits; inside a block only touched leaves, and a
-neighbour whose boundary broke, are encoded again. What they become is written as new leaves beside the old ones; trees get
-the new ids and the sums on the way to the root, or, if the number of leaves changes, sums made again from leaf
-sums, without encoding. The result is a store again: the next edits need no text but that of their blocks.
+sums. The leaves it touches are a block, with the neighbour on a side where it reaches the signs that make the boundary (a
+broken boundary ends there at the latest); edits that meet are one block. Only the texts of blocks leave the JVM;
+inside a block only touched leaves, and a neighbour whose boundary broke, are encoded again. What they become is written as
+new leaves in a layer of its own, other leaves keep their ids and stay where they are; trees get the new ids and the sums
+on the way to the root, or, if the number of leaves changes, sums made again from leaf sums, without encoding. The layers
+are a store again.
 
 Defined results: NULL reads as empty; an empty text has one empty leaf and no tokens; edits apply in the
 order of their list, each to the text that the former left; positions before the start or NULL mean the start, beyond the
@@ -37,12 +38,12 @@ LEAF = 512
 #: A pre-token starts at the space of such a place, whatever stands around.
 _CUT = re.compile(r"(?<=\S)(?= [^\W\d_])")
 EDIT = "array<struct<start:int,end:int,text:string>>"
-LEAVES = "array<struct<text:string,tokens:int>>"
 TREE = "struct<ids:array<long>,chars:array<long>,tokens:array<long>>"
-BLOCKS = "array<struct<first:int,last:int,edits:array<struct<start:int,end:int,text:string>>>>"
-MENDED = "struct<leaves:array<struct<text:string,tokens:int>>,encoded_chars:long,encoded_leaves:long>"
-#: Bits of a leaf id below the generation, and below the block that it came with.
-GENERATION, WITHIN = 42, 20
+MADE = f"struct<tree:{TREE},leaves:array<struct<id:long,text:string,tokens:long>>,encoded_chars:long,encoded_leaves:long>"
+BLOCKS = f"array<struct<first:int,last:int,edits:{EDIT}>>"
+#: Bits of a leaf's id below its generation.
+GENERATION = 40
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, pattern: str):
@@ -117,10 +118,11 @@ class Sums:
 
 
 class Tree:
-    """Leaves and the sums over them; only what is new to it is encoded."""
+    """Leaves and the sums over them; only what is new to it is encoded. ``old``: places of leaves that were there at first."""
 
     def __init__(self, leaves: list[str], tokens: list[int], count: Callable[[str], int]) -> None:
         self.count, self.leaves = count, leaves
+        self.old: list[int | None] = list(range(len(leaves)))
         self.chars, self.tokens = Sums([len(p) for p in leaves]), Sums(tokens)
         self.encoded_chars, self.encoded_leaves = 0, 0
 
@@ -154,7 +156,7 @@ class Tree:
         parts = leaves_of(new)
         self.encoded_chars += len(new)
         self.encoded_leaves += len(parts)
-        self.leaves[first : last + 1] = parts
+        self.leaves[first : last + 1], self.old[first : last + 1] = parts, [None] * len(parts)
         self.chars = self.chars.replaced(first, last, [len(p) for p in parts])
         self.tokens = self.tokens.replaced(first, last, [self.count(p) for p in parts])
 
@@ -169,14 +171,19 @@ def listed(edits: list[dict] | None) -> list[tuple[int, int, str]]:
 
 
 def blocks_of(chars: Sums, edits: list[tuple[int, int, str]]) -> list[dict]:
-    """Blocks of leaves that edits touch, one neighbour on each side included, with the edits as places in the block."""
+    """Blocks of leaves that edits touch, with the edits as places in the block."""
     # parts of the text: first leaf, last leaf, characters before the edits, edits within
     parts = [(i, i, n, []) for i, n in enumerate(chars.values)]
     sums = Sums.stored(chars.heap, chars.size)
     for start, end, text in edits:
         start, end = clamped(start, end, sums.total)
-        first, last = max(0, sums.find(start)[0] - 1), min(sums.size - 1, sums.find(end)[0] + 1)
+        (first, begin), (last, last_begin) = sums.find(start), sums.find(end)
         sizes = sums.values
+        # a boundary is the sign before it and the two after it
+        if first > 0 and start < begin + 2:
+            first -= 1
+        if last + 1 < sums.size and end >= last_begin + sizes[last]:
+            last += 1
         begin, met, own, at = sum(sizes[:first]), parts[first : last + 1], [], sum(p[2] for p in parts[first : last + 1])
         # parts edited before do not touch each other: from the last one on, no edit moves one still to come
         for part in reversed(met):
@@ -192,62 +199,65 @@ def blocks_of(chars: Sums, edits: list[tuple[int, int, str]]) -> list[dict]:
 
 @dataclass(frozen=True)
 class Store:
-    """``trees``: a row id ``row``, the kept columns as ``kept``, ``tree``. ``texts``: ``row``, leaf ``id``, ``text``, ``tokens``;
-    with leaves that no tree holds any more. ``generation`` numbers the writes."""
+    """``layers``, one per generation, a row per document: row id ``row``, the kept columns as ``kept``, ``tree``, the
+    ``leaves`` that this generation has made, and what that took: ``n_before`` tokens before, ``encoded_chars``,
+    ``encoded_leaves``. The trees of the last layer hold; leaves that none of them names are left over."""
 
-    trees: DataFrame
-    texts: DataFrame
+    layers: tuple[DataFrame, ...]
     path: str
     pattern: str
-    generation: int = 0
 
     def totals(self) -> DataFrame:
-        """All columns of the trees but the tree, n_tokens, n_chars and n_leaves: no text is read."""
-        names = [F.col(c) for c in self.trees.columns if c != "tree"]
-        return self.trees.select(
+        """n_tokens, n_chars, n_leaves and the columns of the last layer but tree and leaves: no text is read."""
+        last = self.layers[-1]
+        names = [F.col(c) for c in last.columns if c not in ("tree", "leaves")]
+        return last.select(
             *names, F.get("tree.tokens", F.lit(1)).alias("n_tokens"), F.get("tree.chars", F.lit(1)).alias("n_chars"),
             F.size("tree.ids").cast("long").alias("n_leaves"),
         )
 
+    def whole(self) -> DataFrame:
+        """row, kept, tree and all leaves. One layer is read as it lies; more are joined by row."""
+        out = self.layers[-1].select("row", "kept", "tree", "leaves")
+        for n, layer in enumerate(self.layers[:-1]):
+            out = out.join(layer.select("row", F.col("leaves").alias(f"leaves{n}")), "row")
+        older = [F.col(f"leaves{n}") for n in range(len(self.layers) - 1)]
+        return out.select("row", "kept", "tree", F.concat(*older, F.col("leaves")).alias("leaves"))
+
 
-_LEAVES = pa.list_(pa.struct([("text", pa.string()), ("tokens", pa.int32())]))
 _TREE = pa.struct([(n, pa.list_(pa.int64())) for n in ("ids", "chars", "tokens")])
+_LEAVES = pa.list_(pa.struct([("id", pa.int64()), ("text", pa.string()), ("tokens", pa.int64())]))
 _EDITS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
 _BLOCKS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("edits", _EDITS)]))
-_MENDED = pa.struct([("leaves", _LEAVES), ("encoded_chars", pa.int64()), ("encoded_leaves", pa.int64())])
+_MADE = pa.struct([("tree", _TREE), ("leaves", _LEAVES), ("encoded_chars", pa.int64()), ("encoded_leaves", pa.int64())])
 
 
 def _rows(kind: pa.DataType, own: Callable[..., list], *arrays: pa.Array) -> pa.Array:
     """What ``own`` makes of the values of some columns, part by part of the first one's bytes."""
     out, at = [pa.array([], kind)], 0
     for part in sliced(arrays[0], 1 << 22):
-        out.append(pa.array(own(*[a.slice(at, len(part)).to_pylist() for a in arrays]), kind))
+        out.append(pa.array([own(*row) for row in zip(*[a.slice(at, len(part)).to_pylist() for a in arrays])], kind))
         at += len(part)
     return pa.concat_arrays(out)
 
 
 def _cut(text: Column, path: str, pattern: str) -> Column:
-    """Leaves of whole texts, encoded."""
+    """Tree and leaves of whole texts, encoded."""
 
-    @F.arrow_udf(LEAVES)
+    @F.arrow_udf(MADE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(path, pattern).encode_ordinary
-        for batch in batches:
-            yield _rows(_LEAVES, lambda texts: [[{"text": p, "tokens": len(encode(p))} for p in leaves_of(t or "")] for t in texts], batch)
-
-    return run(text)
-
 
-def _planted(chars: Column, tokens: Column) -> Column:
-    """Trees over leaves numbered from 0."""
+        def one(text: str | None) -> dict:
+            tree = Tree.of(text or "", lambda p: len(encode(p)))
+            leaves = [{"id": i, "text": p, "tokens": n} for i, (p, n) in enumerate(zip(tree.leaves, tree.tokens.values))]
+            sums = {"ids": list(range(len(leaves))), "chars": tree.chars.heap, "tokens": tree.tokens.heap}
+            return {"tree": sums, "leaves": leaves, "encoded_chars": tree.length, "encoded_leaves": len(leaves)}
 
-    @F.arrow_udf(TREE)
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for sizes, counts in batches:
-            rows = zip(sizes.to_pylist(), counts.to_pylist())
-            yield pa.array([{"ids": list(range(len(s))), "chars": Sums(s).heap, "tokens": Sums(n).heap} for s, n in rows], _TREE)
+        for batch in batches:
+            yield _rows(_MADE, one, batch)
 
-    return run(chars, tokens)
+    return run(text)
 
 
 def _planned(tree: Column, edits: Column) -> Column:
@@ -255,97 +265,78 @@ def _planned(tree: Column, edits: Column) -> Column:
 
     @F.arrow_udf(BLOCKS)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for trees, changes in batches:
-            rows = zip(trees.to_pylist(), changes.to_pylist())
-            yield pa.array([blocks_of(Sums.stored(t["chars"], len(t["ids"])), listed(e)) for t, e in rows], _BLOCKS)
+        for batch, changes in batches:
+            yield _rows(_BLOCKS, lambda t, e: blocks_of(Sums.stored(t["chars"], len(t["ids"])), listed(e)), batch, changes)
 
     return run(tree, edits)
 
 
-def _mended(leaves: Column, edits: Column, path: str, pattern: str) -> Column:
-    """Blocks after their edits."""
+def _mended(blocks: Column, tree: Column, generation: int, path: str, pattern: str) -> Column:
+    """Trees after the edits of their blocks, which hold their leaves, and the leaves that are new."""
 
-    @F.arrow_udf(MENDED)
+    @F.arrow_udf(MADE)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encode = encoder(path, pattern).encode_ordinary
 
-        def one(own: list[dict], changes: list[dict]) -> dict:
-            tree = Tree([x["text"] for x in own], [x["tokens"] for x in own], lambda p: len(encode(p)))
-            for change in listed(changes):
-                tree.edit(*change)
-            now = [{"text": p, "tokens": n} for p, n in zip(tree.leaves, tree.tokens.values)]
-            return {"leaves": now, "encoded_chars": tree.encoded_chars, "encoded_leaves": tree.encoded_leaves}
-
-        for batch, changes in batches:
-            yield _rows(_MENDED, lambda own, e: list(map(one, own, e)), batch, changes)
-
-    return run(leaves, edits)
-
-
-def _grafted(tree: Column, changes: Column) -> Column:
-    """Trees whose blocks have become other leaves."""
-
-    @F.arrow_udf(TREE)
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for trees, lists in batches:
-            out = []
-            for old, blocks in zip(trees.to_pylist(), lists.to_pylist()):
-                ids = old["ids"]
-                chars, tokens = Sums.stored(old["chars"], len(ids)), Sums.stored(old["tokens"], len(ids))
-                for b in sorted(blocks or [], key=lambda b: -b["first"]):
-                    chars = chars.replaced(b["first"], b["last"], b["chars"])
-                    tokens = tokens.replaced(b["first"], b["last"], b["tokens"])
-                    ids[b["first"] : b["last"] + 1] = b["ids"]
-                out.append({"ids": ids, "chars": chars.heap, "tokens": tokens.heap})
-            yield pa.array(out, _TREE)
-
-    return run(tree, changes)
+        def one(blocks: list[dict], old: dict) -> dict:
+            ids, fresh, chars_encoded, leaves_encoded = old["ids"], [], 0, 0
+            chars, tokens = Sums.stored(old["chars"], len(ids)), Sums.stored(old["tokens"], len(ids))
+            # from the last block on, so that the places of those before it stay
+            for b in reversed(blocks):
+                first, last = b["first"], b["last"]
+                part = Tree([x["text"] for x in b["leaves"]], [x["tokens"] for x in b["leaves"]], lambda p: len(encode(p)))
+                for change in listed(b["edits"]):
+                    part.edit(*change)
+                now = []
+                for text, n, place in zip(part.leaves, part.tokens.values, part.old):
+                    if place is None:
+                        now.append(generation << GENERATION | len(fresh))
+                        fresh.append({"id": now[-1], "text": text, "tokens": n})
+                    else:
+                        now.append(ids[first + place])
+                ids[first : last + 1] = now
+                chars = chars.replaced(first, last, part.chars.values)
+                tokens = tokens.replaced(first, last, part.tokens.values)
+                chars_encoded += part.encoded_chars
+                leaves_encoded += part.encoded_leaves
+            sums = {"ids": ids, "chars": chars.heap, "tokens": tokens.heap}
+            return {"tree": sums, "leaves": fresh, "encoded_chars": chars_encoded, "encoded_leaves": leaves_encoded}
+
+        for batch, trees in batches:
+            yield _rows(_MADE, one, batch, trees)
+
+    return run(blocks, tree)
 
 
 def built(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> Store:
     """The store of ``docs``, with the columns ``keep`` beside each tree: every text is encoded once."""
-    kept = F.struct(*[F.col(c) for c in keep])
-    first = docs.select(kept.alias("kept"), _cut(F.col("text"), path, pattern).alias("leaves"))
-    first = staged(first.select(F.monotonically_increasing_id().alias("row"), "kept", "leaves"), "leaves")
-    sizes = F.transform("leaves.text", lambda t: F.length(t).cast("long"))
-    trees = first.select("row", "kept", _planted(sizes, F.transform("leaves.tokens", lambda n: n.cast("long"))).alias("tree"))
-    texts = first.select("row", F.posexplode("leaves").alias("id", "leaf"))
-    texts = texts.select("row", F.col("id").cast("long").alias("id"), "leaf.text", "leaf.tokens")
-    return Store(staged(trees, "trees"), texts, path, pattern)
-
-
-def edited(store: Store, edits: DataFrame) -> tuple[Store, DataFrame]:
-    """The store after ``edits`` (row, edits: a list, one row per tree at most), and what that took per edited row: row,
-    encoded_chars, encoded_leaves."""
-    edits = edits.select("row", F.col("edits").alias("__edits"))
-    planned = store.trees.join(edits, "row").select("row", "tree", F.explode(_planned(F.col("tree"), F.col("__edits"))).alias("block"))
-    ids = F.slice("tree.ids", F.col("block.first") + 1, F.col("block.last") - F.col("block.first") + 1)
-    wanted = staged(planned.select("row", "block", ids.alias("ids")), "blocks")
-    # on the row alone, so that the leaves of a block need no second shuffle
-    texts = store.texts.withColumnRenamed("row", "__row")
-    met = wanted.join(texts, (F.col("row") == F.col("__row")) & F.array_contains("ids", F.col("id")))
-    leaf = F.struct(F.array_position("ids", F.col("id")).alias("at"), "text", "tokens")
-    blocks = met.groupBy("row", "block.first").agg(
-        F.first("block").alias("block"), F.array_sort(F.collect_list(leaf)).alias("own")
-    )
-    own = F.transform("own", lambda x: F.struct(x["text"].alias("text"), x["tokens"].alias("tokens")))
-    blocks = blocks.select("row", "block.first", "block.last", _mended(own, F.col("block.edits"), store.path, store.pattern).alias("now"))
-    generation = store.generation + 1
-    # the generation, the block's first leaf, the leaf's place in the block: distinct within the tree
-    block = F.lit(generation << GENERATION) + F.shiftleft(F.col("first").cast("long"), WITHIN)
-    new = F.transform("now.leaves", lambda x, i: block + i)
-    blocks = staged(blocks.select("row", "first", "last", "now", new.alias("ids")), "mended")
-    texts = blocks.select("row", F.explode(F.arrays_zip("ids", "now.leaves")).alias("x"))
-    texts = texts.select("row", F.col("x.ids").alias("id"), F.col("x.leaves.text").alias("text"), F.col("x.leaves.tokens").alias("tokens"))
-    sizes = F.transform("now.leaves", lambda x: F.length(x["text"]).cast("long"))
-    change = F.struct(
-        "first", "last", "ids", sizes.alias("chars"), F.transform("now.leaves", lambda x: x["tokens"].cast("long")).alias("tokens")
-    )
-    changes = blocks.groupBy("row").agg(F.collect_list(change).alias("changes"))
-    trees = store.trees.join(changes, "row", "left")
-    trees = trees.select("row", "kept", _grafted(F.col("tree"), F.col("changes")).alias("tree"))
-    work = blocks.groupBy("row").agg(F.sum("now.encoded_chars").alias("encoded_chars"), F.sum("now.encoded_leaves").alias("encoded_leaves"))
-    return Store(staged(trees, "trees"), store.texts.unionByName(texts), store.path, store.pattern, generation), work
+    made = docs.select(F.struct(*keep).alias("kept"), _cut(F.col("text"), path, pattern).alias("made"))
+    layer = made.select(F.monotonically_increasing_id().alias("row"), "kept", F.lit(0).cast("long").alias("n_before"), "made.*")
+    return Store((staged(layer, "trees"),), path, pattern)
+
+
+def edited(store: Store, edits: DataFrame | Column) -> Store:
+    """The store after edits: a list for each tree, a table (row, edits) with one row per tree at most, or a column over the
+    store's own columns, which needs no join. Few edits are broadcast where Spark measures them as few."""
+    docs = store.whole()
+    if isinstance(edits, DataFrame):
+        docs = docs.join(edits.select("row", F.col("edits").alias("edits")), "row", "left")
+    else:
+        docs = docs.withColumn("edits", edits)
+    docs = docs.withColumn("blocks", _planned(F.col("tree"), F.col("edits")))
+
+    def leaves(block: Column) -> Column:
+        ids = F.slice("tree.ids", block["first"] + 1, block["last"] - block["first"] + 1)
+        return F.transform(ids, lambda i: F.get("leaves", (F.array_position("leaves.id", i) - 1).cast("int")))
+
+    blocks = F.transform(
+        "blocks",
+        lambda b: F.struct(b["first"].alias("first"), b["last"].alias("last"), b["edits"].alias("edits"), leaves(b).alias("leaves")),
+    )
+    made = _mended(blocks, F.col("tree"), len(store.layers), store.path, store.pattern)
+    layer = docs.select("row", "kept", F.get("tree.tokens", F.lit(1)).alias("n_before"), made.alias("made"))
+    layer = staged(layer.select("row", "kept", "n_before", "made.*"), "trees")
+    return Store((*store.layers, layer), store.path, store.pattern)
 
 
 def derived_edits(text: Column, lang: Column, source: Column) -> Column:
@@ -370,11 +361,9 @@ def op5_segtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     docs = docs.withColumn("edits", derived_edits(F.col("text"), F.col("lang"), F.col("source")))
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    before = built(docs, path, public_tokenizers.PATTERN, ["doc_id", "edits"])
-    after, work = edited(before, before.trees.select("row", "kept.edits"))
-    old = before.totals().select("row", F.col("n_tokens").alias("before"))
-    out = after.totals().join(old, "row").join(work, "row", "left")
-    return out.select(
-        "kept.doc_id", "before", F.col("n_tokens").alias("after"), F.col("n_chars").alias("chars_after"), F.col("n_leaves").alias("leaves"),
-        F.coalesce("encoded_chars", F.lit(0)).alias("reencoded_chars"), F.coalesce("encoded_leaves", F.lit(0)).alias("encoded_leaves"),
+    store = built(docs, path, public_tokenizers.PATTERN, ["doc_id", "edits"])
+    after = edited(store, F.col("kept.edits"))
+    return after.totals().select(
+        "kept.doc_id", F.col("n_before").alias("before"), F.col("n_tokens").alias("after"), F.col("n_chars").alias("chars_after"),
+        F.col("n_leaves").alias("leaves"), F.col("encoded_chars").alias("reencoded_chars"), "encoded_leaves",
     )

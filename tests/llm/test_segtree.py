@@ -30,9 +30,9 @@ def _check(store, want):
     got = {r["row"]: (r["n_tokens"], r["n_chars"]) for r in store.totals().collect()}
     assert got == {row: (len(count(t)), len(t)) for row, t in want.items()}
     # the leaves that a tree names, in its order, are the text
-    texts = {(r["row"], r["id"]): r["text"] for r in store.texts.collect()}
-    for r in store.trees.collect():
-        assert "".join(texts[r["row"], i] for i in r["tree"]["ids"]) == want[r["row"]]
+    for r in store.whole().collect():
+        texts = {x["id"]: x["text"] for x in r["leaves"]}
+        assert len(texts) == len(r["leaves"]) and "".join(texts[i] for i in r["tree"]["ids"]) == want[r["row"]]
 
 
 def test_two_generations_of_edits(spark):
@@ -40,7 +40,7 @@ def test_two_generations_of_edits(spark):
     words = ["a", "the", " ", "  ", "\n", "1", "!", "'s", "é", " b", " word", "😀"]
     texts = [None, "", "x" * 3000, None, "one", "one"] + ["".join(rng.choices(words, k=rng.randint(0, 6000))) for _ in range(40)]
     store = _store(spark, texts)
-    want = {r["row"]: r["kept"]["text"] or "" for r in store.trees.collect()}
+    want = {r["row"]: r["kept"]["text"] or "" for r in store.whole().collect()}
     _check(store, want)
     for _ in range(2):
         edits = {}
@@ -53,31 +53,33 @@ def test_two_generations_of_edits(spark):
         first = sorted(want)[:3]
         edits[first[0]], edits[first[1]] = None, [(None, None, None), (None, 1, "q")]
         del edits[first[2]]
-        store, work = segtree.edited(store, spark.createDataFrame(list(edits.items()), EDITS))
+        store = segtree.edited(store, spark.createDataFrame(list(edits.items()), EDITS))
         want = {row: _after(text, edits.get(row)) for row, text in want.items()}
         _check(store, want)
-        assert {r["row"] for r in work.collect()} == {row for row, e in edits.items() if e}
+        touched = {r["row"] for r in store.totals().collect() if r["encoded_leaves"] or r["encoded_chars"]}
+        assert touched == {row for row, e in edits.items() if e}
 
 
 def test_one_edit_encodes_little(spark):
     text = " ".join(["several", "words", "of", "prose"] * 5000)
     store = _store(spark, [text])
-    edits = spark.createDataFrame([(store.trees.first()["row"], [(60_000, 60_005, "other")])], EDITS)
-    after, work = segtree.edited(store, edits)
-    assert 0 < work.first()["encoded_chars"] < len(text) // 50
+    edits = spark.createDataFrame([(store.totals().first()["row"], [(60_000, 60_005, "other")])], EDITS)
+    after = segtree.edited(store, edits)
+    took = after.totals().first()
+    assert 0 < took["encoded_chars"] < len(text) // 50
+    assert sum(len(x["text"]) for x in after.layers[-1].first()["leaves"]) == took["encoded_chars"]
     _check(after, {edits.first()["row"]: text[:60_000] + "other" + text[60_005:]})
 
 
 def test_empty_tables(spark):
-    store = _store(spark, ["a b"]).trees.limit(0)
     empty = segtree.built(spark.createDataFrame([], "doc_id long, text string"), PATH, PATTERN, ["doc_id"])
-    after, work = segtree.edited(empty, spark.createDataFrame([], EDITS))
-    assert store.count() == empty.totals().count() == after.totals().count() == work.count() == 0
+    after = segtree.edited(empty, spark.createDataFrame([], EDITS))
+    assert empty.totals().count() == after.totals().count() == 0
 
 
 def test_edits_of_no_tree_are_passed_over(spark):
-    after, work = segtree.edited(_store(spark, ["a b"]), spark.createDataFrame([(12345, [(0, 1, "c")])], EDITS))
-    assert work.count() == 0 and after.totals().first()["n_chars"] == 3
+    after = segtree.edited(_store(spark, ["a b"]), spark.createDataFrame([(12345, [(0, 1, "c")])], EDITS))
+    assert [(r["n_chars"], r["encoded_leaves"]) for r in after.totals().collect()] == [(3, 0)]
 
 
 def test_the_query_counts_like_encoding_anew(spark, tmp_path):
