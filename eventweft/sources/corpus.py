@@ -18,10 +18,21 @@ def money(value: Column, kind: str = "decimal(12,2)") -> Column:
     return value.cast(kind)
 
 
-def _item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Bytes of stored tables told in one partition of documents, which are some ten times as large.
+PART_BYTES = 4 << 20
+
+
+def document_parts(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """Partitions for documents made from these tables: their number follows the tables' bytes, so that what a task
+    sorts stays as small as it is; at least as many as Spark's shuffles have."""
+    told = sum(_version(spark, sf_dir, name)[1] or 0 for name in names)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-told // PART_BYTES))
+
+
+def _item_lists(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
     """Line items gathered per order: one order is one document, whatever its size, so the list is as
-    long as the document has to be."""
-    lines = table(spark, sf_dir, "lineitem")
+    long as the document has to be. Flat rows are dealt; the nested ones are made where they are gathered."""
+    lines = table(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey")
     charge = lambda kind, amount: F.struct(F.lit(kind).alias("kind"), money(F.col(amount), "decimal(5,2)").alias("amount"))
     charges = F.filter(
         F.array(charge("discount", "l_discount"), charge("tax", "l_tax")), lambda c: c["amount"] > F.lit(0)
@@ -61,17 +72,18 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
-def _spread(rows: DataFrame, key: str) -> DataFrame:
+def _spread(rows: DataFrame, parts: int, key: str) -> DataFrame:
     """Making and reading documents costs CPU out of proportion to their bytes. The number of partitions
     is named, which keeps adaptive execution from joining them by their bytes."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return rows.repartition(parts, key)
 
 
 def make_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orderCreate`` for every order, ``orderModify`` for every tenth key, ``orderCancel`` for status F."""
-    # spread by the key that the join with line items needs
-    whole = _spread(table(spark, sf_dir, "orders"), "o_orderkey").join(_item_lists(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    full = whole.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    # customers first, while an order is a short row; then spread by the key that the join with line items needs
+    parts = document_parts(spark, sf_dir, "orders", "lineitem")
+    short = table(spark, sf_dir, "orders").join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    full = _spread(short, parts, "o_orderkey").join(_item_lists(spark, sf_dir, parts), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key = F.col("o_orderkey")
     kinds = F.filter(
         F.array(
@@ -210,7 +222,7 @@ def make_stay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     The nation is the hotel, every seventh without a currency; the customer is the guest.
     """
     full = table(spark, sf_dir, "orders").join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    full = _spread(full, "o_orderkey")
+    full = _spread(full, document_parts(spark, sf_dir, "orders"), "o_orderkey")
     key, nation = F.col("o_orderkey"), F.col("n_nationkey")
     kinds = F.array(
         F.struct(F.lit(1).alias("n"), F.lit("reservationCreate").alias("name"), F.lit("reservation").alias("body")),
