@@ -3,8 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventweft.sources import corpus
+from eventweft.sources import landing as L
+from eventweft.streaming import ingest
 
 
 def plan(frame):
@@ -50,3 +53,16 @@ def test_partitions_of_documents_follow_the_tables(spark, star, monkeypatch):
     bytes_ = sum(corpus._version(spark, star, t)[1] for t in ("orders", "lineitem"))
     assert corpus.document_parts(spark, star, "orders", "lineitem") == -(-bytes_ // 100)
     assert corpus.make_order_events(spark, star).count() == 8
+
+
+def test_landing_files_are_compressed_and_read_all_the_same(spark, star, tmp_path):
+    base = str(tmp_path / "landing")
+    events = corpus.make_order_events(spark, star)
+    L.write_landing(events, base, 10, "2024-01-30", parts=3)
+    files = [r["key"] for r in L.manifest(spark, base).collect()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    want = sorted((r["id"], r["raw"]) for r in events.collect())
+    assert sorted((r["id"], r["raw"]) for r in L.scan_csv(spark, base + "/*/*/*/*").collect()) == want
+    out = str(tmp_path / "out")
+    ingest.run_available(ingest.landing_stream(spark, base), str(tmp_path / "state"), ingest.write_numbered(out))
+    assert spark.read.parquet(out).agg(F.count("id")).first()[0] == len(want)
