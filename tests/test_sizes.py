@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from eventweft.functions import paths
 from eventweft.sources import corpus
 from eventweft.sources import landing as L
 from eventweft.streaming import ingest
@@ -66,3 +67,20 @@ def test_landing_files_are_compressed_and_read_all_the_same(spark, star, tmp_pat
     out = str(tmp_path / "out")
     ingest.run_available(ingest.landing_stream(spark, base), str(tmp_path / "state"), ingest.write_numbered(out))
     assert spark.read.parquet(out).agg(F.count("id")).first()[0] == len(want)
+
+
+def test_a_filter_on_the_document_parses_it_once(spark):
+    events = spark.createDataFrame([(1, '{"a":{"b":["x","y"]}}'), (2, '{"a":{}}')], "id long, raw string")
+    held = paths.with_document(events, "raw", paths.shape(["a.b[].c", "a.d"]))
+    kept = held.select("id", F.size(paths.every("doc", "a.b[].c")).alias("n"), paths.scalar("doc", "a.d").alias("d")).filter("n > 0 OR d IS NULL")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2]
+
+
+def test_text_that_does_not_parse_is_tried_once_per_form(spark):
+    raws = ["{", '{"a":1', '{""a"":""1""}', '"{""a"":""1""}"', '"{"a":"1"}"', '{"a":""}', '{"a":"1"}"', '{"a":"1"} x']
+    rows = spark.createDataFrame(list(enumerate(raws)), "id long, raw string")
+    sql = paths.repaired_variant_sql("raw")
+    assert sql.count("try_parse_json") == 3 and " <> u THEN" in sql and "u <> `raw`" in sql
+    got = {r["id"]: r["a"] for r in rows.selectExpr("id", f"try_variant_get({sql}, '$.a', 'string') AS a").collect()}
+    assert got == {0: None, 1: None, 2: "1", 3: "1", 4: "1", 5: "", 6: "1", 7: None}
