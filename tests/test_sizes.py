@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from eventweft.checks import QUERIES
 from eventweft.functions import paths
 from eventweft.sources import corpus
 from eventweft.sources import landing as L
@@ -84,3 +85,8 @@ def test_text_that_does_not_parse_is_tried_once_per_form(spark):
     assert sql.count("try_parse_json") == 3 and " <> u THEN" in sql and "u <> `raw`" in sql
     got = {r["id"]: r["a"] for r in rows.selectExpr("id", f"try_variant_get({sql}, '$.a', 'string') AS a").collect()}
     assert got == {0: None, 1: None, 2: "1", 3: "1", 4: "1", 5: "", 6: "1", 7: None}
+
+
+def test_sink_parquet_stores_the_references_of_all_orders(spark, star):
+    got = {r["status"]: (r["n_rows"], r["n_folders"]) for r in QUERIES["sink_parquet"](spark, star).collect()}
+    assert got == {"succeeded": (5, 1)}  # four numbers of the web, one of the store
