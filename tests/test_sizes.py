@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from eventweft.checks import QUERIES
 from eventweft.functions import paths
+from eventweft.models.orders import ORDERS
+from eventweft.plans import shred as S
+from eventweft.plans.run import open_batch
 from eventweft.sources import corpus
 from eventweft.sources import landing as L
 from eventweft.streaming import ingest
@@ -90,3 +93,26 @@ def test_text_that_does_not_parse_is_tried_once_per_form(spark):
 def test_sink_parquet_stores_the_references_of_all_orders(spark, star):
     got = {r["status"]: (r["n_rows"], r["n_folders"]) for r in QUERIES["sink_parquet"](spark, star).collect()}
     assert got == {"succeeded": (5, 1)}  # four numbers of the web, one of the store
+
+
+@pytest.mark.parametrize("name", [e.name for e in ORDERS.entities])
+def test_rows_get_types_and_ids_outside_lambdas_and_agree_with_the_wide_frame(spark, star, name):
+    events = corpus.make_order_events(spark, star)
+    batch = open_batch(events, ORDERS)
+    rows = batch.all_rows(name)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    if name != "purchase":  # which takes its parents' ids, made inside the event
+        assert "sha1" not in text[text.index("Generate") :]  # ids are made above the generator, row by row
+    wide = S.entity_rows(S.shred(S.working_events(events, ORDERS), ORDERS), ORDERS.entity(name))
+    assert rows.columns == wide.columns and sorted(map(str, rows.collect())) == sorted(map(str, wide.collect()))
+    told = open_batch(events, ORDERS, stage="documents")
+    assert sorted(map(str, told.all_rows(name).collect())) == sorted(map(str, wide.collect()))
+
+
+def test_counts_off_rows_agree_with_the_wide_frame(spark, star):
+    events = corpus.make_order_events(spark, star)
+    wide = S.shred(S.working_events(events, ORDERS), ORDERS)
+    got = open_batch(events, ORDERS).counts()
+    assert got.schema.simpleString() == S.counts(wide, ORDERS).schema.simpleString()
+    assert sorted(got.collect()) == sorted(S.counts(wide, ORDERS).collect())
+    assert open_batch(events.limit(0), ORDERS).counts().count() == 0
