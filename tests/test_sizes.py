@@ -10,7 +10,7 @@ from eventweft.functions import paths
 from eventweft.models.orders import ORDERS
 from eventweft.plans import shred as S
 from eventweft.plans.run import open_batch
-from eventweft.sources import corpus
+from eventweft.sources import corpus, families
 from eventweft.sources import landing as L
 from eventweft.streaming import ingest
 
@@ -116,3 +116,14 @@ def test_counts_off_rows_agree_with_the_wide_frame(spark, star):
     assert got.schema.simpleString() == S.counts(wide, ORDERS).schema.simpleString()
     assert sorted(got.collect()) == sorted(S.counts(wide, ORDERS).collect())
     assert open_batch(events.limit(0), ORDERS).counts().count() == 0
+
+
+def test_documents_of_a_small_file_are_made_in_many_tasks(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "FRANCE")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(1,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    parts = spark.range(0, 2500, 25).selectExpr("id + 1 AS p_partkey", "'a' AS p_name")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(families, "PART_ROWS", 5)
+    events = families.family_events(spark, str(tmp_path), "inventory")
+    assert events.rdd.getNumPartitions() == 2 * 20  # two kinds of events over 100 rows, 5 to a task
+    assert events.filter("event_name = 'inventoryBatch'").count() == 100
