@@ -170,6 +170,38 @@ def test_cascade_takes_the_whole_event(spark):
     assert counts == {"parent": (1, 3), "child": (1, 2), "toy": (1, 4)}
 
 
+@pytest.mark.parametrize("scope", ["event", "path"])
+@pytest.mark.parametrize("cascade", [False, True])
+@pytest.mark.parametrize("stage", [False, "documents"])
+def test_links_and_counts_off_documents_agree_with_the_wide_form(spark, scope, cascade, stage):
+    from dataclasses import replace
+
+    from eventweft.plans import shred as S
+
+    model = replace(family(scope=scope), cascade=cascade)
+    model = replace(model, links=(*model.links, Link("kin", "child", "parent", "child_id", "parent_id")))
+    docs = [("e", FAMILY), ("e", {"c": 1, "ps": [{"p": "fine", "ts": [{"t": 1}, {}]}]}), ("e", {"c": 2}), ("e", {"ps": [{"ts": [{"t": 1}]}]}), ("e", None), ("x", FAMILY)]
+    events = landed(spark, docs)
+    wide = S.shred(S.working_events(events, model), model)
+    batch = open_batch(events, model, stage=stage)
+    slim = open_batch(events, S.for_links(model), stage=stage)
+    key = lambda f: sorted((r["id"], r["source_id"], r["received_at"]) for r in f.collect())
+    for link in model.links:
+        want = key(S.link_rows(wide, link, model))
+        assert want and key(batch.all_rows(link.name)) == want == key(slim.all_rows(link.name))
+    count = lambda f: sorted(tuple(r[c] for c in ("table_name", "n_rows", "n_valid", "n_failed")) for r in f.collect())
+    assert count(batch.counts()) == count(S.counts(wide, model))
+    for e in model.entities:
+        want = sorted((r["id"], tuple(r[Q.REASONS])) for r in S.entity_rows(wide, e).collect())
+        assert sorted((r["id"], tuple(r[Q.REASONS])) for r in batch.all_rows(e.name).collect()) == want
+
+
+def test_values_of_a_link_are_made_once(spark):
+    plan = open_batch(landed(spark, [("e", FAMILY)]), family()).succeeded("own")._jdf.queryExecution().executedPlan().toString()
+    # no filter was moved below what makes the ids, where it would make them again
+    assert all("sha1" not in line for line in plan.splitlines() if "Filter" in line)
+
+
 def test_frame_form_agrees_with_the_arrays_form(spark):
     batch = open_batch(landed(spark, [("e", FAMILY), ("e", {"c": 2})]), family())
     parents = batch.lookup("parent")
