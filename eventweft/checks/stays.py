@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from eventweft.checks.registry import query, sql_id
 from eventweft.models.hospitality import HOSPITALITY
 from eventweft.operators import quality as Q
+from eventweft.plans import shred as S
 from eventweft.plans.run import open_batch
 from eventweft.sources.corpus import stay_events
 
@@ -68,9 +69,10 @@ def stays_counts(spark, sf_dir):
     SELECT DISTINCT table_name, l AS left_id, r AS right_id FROM p""",
 )
 def stays_links(spark, sf_dir):
-    batch = open_batch(stay_events(spark, sf_dir), HOSPITALITY)
+    names = ("reservationCustomerLink", "contactContactPurposeLink")
+    batch = open_batch(stay_events(spark, sf_dir), S.for_links(HOSPITALITY, *names), stage="documents")
     parts = []
-    for name in ("reservationCustomerLink", "contactContactPurposeLink"):
+    for name in names:
         ln = HOSPITALITY.table(name)
         parts.append(batch.succeeded(name).select(F.lit(name).alias("table_name"), F.col(ln.left_column).alias("left_id"), F.col(ln.right_column).alias("right_id")))
     return reduce(lambda a, b: a.unionByName(b), parts)
