@@ -3,8 +3,7 @@
 The words of the benchmark are the vocabulary. Document frequencies are counted over all documents.
 Passages of ``WINDOW`` words, by half of that apart, are TF-IDF rows of unit length; a randomised SVD
 (sketch rows of A^T A W summed by Spark, then a small Nystroem eigenproblem) gives ``RANK`` directions.
-Its rows are the passages of a hash-chosen sample of about ``FIT_DOCS`` documents and, as heavy in sum,
-those of the benchmark. Every passage of every whole document is then projected and compared with all
+Its rows are the passages of all documents and, as heavy in sum, those of the benchmark. Every passage of every whole document is then projected and compared with all
 benchmark passages; those with a cosine of ``COSINE`` or more are candidates. So is every place with
 ``GRAM`` words in a row of an item (all words of a shorter one), whatever their weights: an item that is
 itself in many documents has frequent words only, which tell little in the latent space. No word weighs 0.
@@ -34,7 +33,6 @@ from .common import record_batch, sliced, spread, table, texts_of
 WINDOW = 24
 RANK = 96
 OVERSAMPLE = 16
-FIT_DOCS = 20_000
 #: Least cosine in the latent space, and least share of a passage's length that lies in it.
 COSINE = 0.65
 WITHIN = 0.1
@@ -128,9 +126,11 @@ def passages(ids: list[np.ndarray], weight: np.ndarray, factors: np.ndarray):
     known[known] = weight[flat[known]] > 0
     flat, part = flat[known], part[known]
     sums = np.zeros((int(halves.sum()), factors.shape[1]), np.float32)
-    own, begin = np.unique(part, return_index=True)
-    if len(flat):
-        sums[own] = np.add.reduceat(factors[flat], begin, axis=0)
+    # the k-th words of all halves at once: a half has few, so that few additions do
+    slot = np.arange(len(part)) - np.searchsorted(part, part)
+    for k in range(half):
+        at = np.flatnonzero(slot == k)
+        sums[part[at]] += factors[flat[at]]
     square = np.bincount(part, weights=weight[flat] ** 2, minlength=len(sums))
     # a passage is two halves; the last half of a text has no other behind it
     last = np.zeros(len(sums), bool)
@@ -147,11 +147,12 @@ def passages(ids: list[np.ndarray], weight: np.ndarray, factors: np.ndarray):
 def sketch(ids: list[np.ndarray], weight: np.ndarray, test: np.ndarray) -> np.ndarray:
     """A^T A W of the passages of some texts, W = ``test``."""
     both, norm, _, _, (at, follows, part, flat) = passages(ids, weight, (weight[:, None] * test).astype(np.float32))
-    both = both / np.maximum(norm, 1e-9)[:, None] ** 2
-    per_half = np.zeros((int(max(at.max(), follows.max())) + 1 if len(at) else 0, test.shape[1]))
-    np.add.at(per_half, at, both)
+    both /= (np.maximum(norm, 1e-9)[:, None] ** 2).astype(np.float32)
+    per_half = np.zeros((int(max(at.max(), follows.max())) + 1 if len(at) else 0, test.shape[1]), np.float32)
+    # a half begins one passage at most and ends one at most
+    per_half[at] = both
     two = follows != at
-    np.add.at(per_half, follows[two], both[two])
+    per_half[follows[two]] += both[two]
     out = np.zeros((len(weight), test.shape[1]))
     if len(flat):
         order = np.argsort(flat, kind="stable")
@@ -160,14 +161,12 @@ def sketch(ids: list[np.ndarray], weight: np.ndarray, test: np.ndarray) -> np.nd
     return out
 
 
-def latent_axes(docs: DataFrame, block: Block, weight: np.ndarray, rows: int) -> np.ndarray:
+def latent_axes(docs: DataFrame, block: Block, weight: np.ndarray) -> np.ndarray:
     """Words x RANK: the leading directions of the TF-IDF passages."""
     count = len(block.vocabulary)
     rank = min(RANK + OVERSAMPLE, count)
     test = np.random.default_rng(5).normal(size=(count, rank))
     shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, weight, test))
-    share = min(1.0, FIT_DOCS / max(1, rows))
-    chosen = docs.filter(F.abs(F.xxhash64("doc_id", "text") % (1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select("text")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, idf, w = shared.value
@@ -187,7 +186,7 @@ def latent_axes(docs: DataFrame, block: Block, weight: np.ndarray, rows: int) ->
 
     kind = "word long, row array<double>"
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    summed = chosen.mapInArrow(part, kind).repartition(parts, "word").mapInArrow(add, kind)
+    summed = docs.select("text").mapInArrow(part, kind).repartition(parts, "word").mapInArrow(add, kind)
     corpus = np.zeros((count, rank))
     for row in summed.toLocalIterator():
         corpus[row.word] = row.row
@@ -208,18 +207,24 @@ def numbers(texts: list[str], known: dict[bytes, int]) -> list[np.ndarray]:
     return [np.array([get(w, -1) for w in words_of(t)], np.int64) for t in texts]
 
 
-def common_subsequence(item: list[int], words: list[int]) -> int:
-    """Length of the longest common subsequence, by bits of one number per word."""
+def places_of(item: list[int]) -> dict[int, int]:
+    """The places of each word of an item, as bits of one number."""
     at: dict[int, int] = {}
     for i, w in enumerate(item):
         at[w] = at.get(w, 0) | 1 << i
-    full = (1 << len(item)) - 1
+    return at
+
+
+def common_subsequence(size: int, places: list[int]) -> int:
+    """Length of the longest common subsequence of an item of ``size`` words and a text, given as the places in the item
+    of each of its words that the item has."""
+    full = (1 << size) - 1
     rest = full
-    for w in words:
-        u = rest & at.get(w, 0)
+    for at in places:
+        u = rest & at
         if u:
             rest = ((rest + u) | (rest - u)) & full
-    return len(item) - rest.bit_count()
+    return size - rest.bit_count()
 
 
 def gram_keys(ids: np.ndarray, n: int, count: int) -> np.ndarray:
@@ -257,6 +262,7 @@ class Index:
     targets: np.ndarray
     target_case: np.ndarray
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
+    places: list[dict[int, int]]
 
     def find(self, texts: list[str]) -> list[list[tuple[int, float, float, bool]]]:
         ids = numbers(texts, self.block.vocabulary)
@@ -270,7 +276,10 @@ class Index:
             cosine = (part / length[:, None]) @ self.targets.T
             at, target = np.nonzero(cosine >= COSINE)
             score = cosine[at, target]
-            for k in np.argsort(-score, kind="stable").tolist():
+            # best first, each passage and case once: a second comparison would find the same
+            order = np.argsort(-score, kind="stable")
+            _, once = np.unique(at[order] * len(self.block.cases) + self.target_case[target[order]], return_index=True)
+            for k in order[np.sort(once)].tolist():
                 row = low + int(at[k])
                 self._verify(ids, best, int(of[row]), int(start[row]), int(self.target_case[target[k]]), float(score[k]))
         self._by_grams(ids, best, both, of)
@@ -314,13 +323,22 @@ class Index:
         known = best[text].get(case)
         if known is not None and known[3]:
             return
-        words = self.block.cases[case][1]
-        near = ids[text][max(0, start - len(words)) : start + WINDOW + len(words)].tolist()
-        lcs = common_subsequence(words.tolist(), near) / len(words)
-        if known is not None and lcs <= known[0] and lcs < LIKELY:
+        words, places = self.block.cases[case][1], self.places[case]
+        size = len(words)
+        near = ids[text][max(0, start - size) : start + WINDOW + size].tolist()
+        common = [places[w] for w in near if w in places]
+        # places of the item whose word is near: no common subsequence is longer
+        seen = 0
+        for at in common:
+            seen |= at
+        if seen.bit_count() / size < LIKELY:
+            return
+        lcs = common_subsequence(size, common) / size
+        if lcs < LIKELY:
             return
-        tail = words[-ANSWER_WORDS:].tolist()
-        answer = common_subsequence(tail, near) >= ANSWER * len(tail)
+        tail = places_of(words[-ANSWER_WORDS:].tolist())
+        ends = min(size, ANSWER_WORDS)
+        answer = common_subsequence(ends, [tail[w] for w in near if w in tail]) >= ANSWER * ends
         sure = lcs >= SURE or (lcs >= LIKELY and answer)
         if sure or known is None or lcs > known[0]:
             best[text][case] = (lcs, score, answer, sure)
@@ -329,13 +347,14 @@ class Index:
 def build(docs: DataFrame, block: Block) -> Index:
     seen, rows = frequencies(docs, block.vocabulary)
     weight = np.log1p(rows / (seen + 1.0))  # above 0 even for a word of all documents
-    axes = latent_axes(docs, block, weight, rows)
+    axes = latent_axes(docs, block, weight)
     factors = (weight[:, None] * axes).astype(np.float32)
     cases = [c for _, c in block.cases]
     both, _, of, _, _ = passages(cases, weight, factors)
     length = np.linalg.norm(both, axis=1)
     keep = length > 0
-    return Index(block, weight, factors, both[keep] / length[keep, None], of[keep], gram_table(block))
+    places = [places_of(c.tolist()) for c in cases]
+    return Index(block, weight, factors, both[keep] / length[keep, None], of[keep], gram_table(block), places)
 
 
 def hits(text: Column, index: Index) -> Column:

@@ -160,6 +160,40 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == r.toxic for r in both]) >= 0.85
 
 
+def test_latent_axes_come_from_all_documents(spark):
+    rows = [(i, f"left{i} right{i % 3} " * 12) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    block = lsa.Block.of([(0, [w.encode() for i in range(40) for w in (f"left{i}", f"right{i % 3}")])])
+    weight = np.ones(len(block.vocabulary))
+    sketch = lsa.sketch
+    asked = lsa.latent_axes(docs, block, weight)
+    # the same sums in one place, over every text
+    rank = min(lsa.RANK + lsa.OVERSAMPLE, len(weight))
+    test = np.random.default_rng(5).normal(size=(len(weight), rank))
+    corpus = sketch(lsa.numbers([t for _, t in rows], block.vocabulary), weight, test)
+    own = sketch([c for _, c in block.cases], weight, test)
+    z = own + corpus * (np.linalg.norm(own) / np.linalg.norm(corpus))
+    value, vector = np.linalg.eigh((test.T @ z + (test.T @ z).T) / 2)
+    fine = value > value.max() * 1e-9
+    want = np.linalg.svd(z @ (vector[:, fine] / np.sqrt(value[fine])), full_matrices=False)[0][:, : lsa.RANK]
+    assert asked.shape == want.shape
+    assert np.allclose(np.abs(asked[:, :2].T @ want[:, :2]), np.eye(2), atol=1e-2)
+    assert not hasattr(lsa, "FIT_DOCS")
+
+
+def test_an_early_bound_loses_no_common_subsequence():
+    rng = random.Random(4)
+    for _ in range(200):
+        item, near = ([rng.randrange(12) for _ in range(n)] for n in (rng.randrange(1, 20), rng.randrange(40)))
+        table = [[0] * (len(near) + 1) for _ in range(len(item) + 1)]
+        for i, a in enumerate(item):
+            for j, b in enumerate(near):
+                table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+        places = lsa.places_of(item)
+        common = [places[w] for w in near if w in places]
+        assert lsa.common_subsequence(len(item), common) == table[-1][-1]
+
+
 def test_benchmark_passages_are_found(spark, docs):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("bcdfghklmnprstvw", k=4)) + rng.choice("aeiou")
