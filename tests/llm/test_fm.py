@@ -37,3 +37,19 @@ def test_few_rows_and_one_class():
     assert np.isfinite(model.margins(term, passage, 2)).all()
     model = fm.fit_terms(term, passage, text, np.array([1.0, 1.0]))
     assert not model.linear.any() and model.base > 0
+
+
+def test_terms_of_passages_are_distinct_and_sorted_without_a_hash_table(monkeypatch):
+    monkeypatch.setattr(np, "unique", None)
+    texts = ["one two one", "", "two " * 200]
+    passage, term, text = fm.Terms().passages(texts)
+    monkeypatch.undo()
+    key = passage << fm.BITS | term
+    assert (np.diff(key) > 0).all()
+    names = {w: {fm.xxhash.xxh64_intdigest(f"w{w}", 0) & ((1 << fm.BITS) - 1)} for w in ("one", "two")}
+    want = {0: names["one"] | names["two"], 1: set()}
+    got = {i: set(term[text[passage] == i].tolist()) for i in range(3)}
+    assert got[0] == want[0] and got[1] == want[1] and got[2] == names["two"]
+    assert text.tolist() == [0, 1] + [2] * 6
+    passage, term, text = fm.Terms().passages(["", ""])
+    assert not len(term) and text.tolist() == [0, 1]
