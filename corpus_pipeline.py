@@ -22,7 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies: five-word shingles, similarity 0.8."""
+    """One document, that of the smallest id, of each group of near copies, by SimHash and pivot tables with an
+    exact check: five-word shingles, similarity 0.8."""
     return copies.one_of_each(docs)
 
 

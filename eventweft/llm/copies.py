@@ -1,27 +1,33 @@
-"""Near copies by their sets of shingles, whatever the edits.
+"""SimHash near copies of similarity 0.8 and more by pivot distance tables, whatever the edits.
 
 1. A document's set: XXH64 of every ``SHINGLE`` words in a row (the whole of a shorter text), made in one pass that
-   also gives the set's node (its hash), its sketch and its keys. Copies are one node, aggregated on the map side.
-2. Keys of sets up to ``SMALL`` / ``LEAST`` shingles: two sets of similarity ``LEAST`` differ in at most a
+   also gives the set's node (its hash) and its SimHash fingerprint of ``WORDS`` words (``simhash.wide_print``).
+   Copies are one node, aggregated on the map side.
+2. Sets of similarity s and like sizes differ in a share of acos(2s/(1+s))/pi of the bits on average, 0.152 for 0.8; small
+   sets a little more, ``FLIPPED`` at most, but for those of ``TINY`` shingles. Fingerprints that agree on all bits of
+   a band meet in a cell. The number of sets gives the width of a band, so that unlike ones leave a cell at some ``CELL`` members;
+   the width gives the number of bands, so that a pair of similarity 0.8 meets nowhere with probability ``MISSED``
+   (0.85: below 2e-5 for 200,000 sets); a group is lost only if all its links are. Keys per set grow with the
+   number of sets, with its power 0.24.
+3. Beside them, sets up to ``SMALL`` / ``LEAST`` shingles have exact keys: two sets of similarity ``LEAST`` differ in at most a
    (1-LEAST)/(1+LEAST) share of the sum of their sizes. Sets of one size level (powers of 1/LEAST; each set is dealt to
    its own and the next) are cut by hash into more segments than that, so one segment at least agrees whole.
-   Segments without shingles are dealt only by sets whose other segments may all differ. This is exact.
-3. Keys of larger sets: ``BANDS`` bands of ``ROWS`` minimum hashes. Two sets of similarity s share a band
-   with probability 1 - (1 - s**ROWS)**BANDS: 0.9994 for 0.8, 0.99999 for 0.85; a group is lost only if all its
-   links are. A key per set costs what the number of bands says, not what the text's length says.
-4. Sets that share a key are first compared with the smallest of the cell. What is then still in different components
-   of a cell is compared pair by pair inside the cell's task, of which a forest leaves it. Both compare sketches, one
-   byte per minimum hash: fewer than ``AGREE`` equal bytes, over five standard deviations below what similarity
-   0.8 gives, is no link. What is left is decided by the exact Jaccard similarity of the two sets, each made once
-   from its text: pairs with the smallest of a cell by joins, the others inside the task of their group of
-   alike sets, which again only a forest leaves.
-5. Components of the links, as in ``simhash``.
+   Segments without shingles are dealt only by sets whose other segments may all differ.
+4. In a cell the first ``HEAD`` words are compared by a pivot distance table (``simhash.near_pairs``): pivots are members of
+   the cell, far from each other; what the triangle inequality leaves is verified bit by bit. Sets near no other leave
+   the cell, the others stay in components, each a cell of its own.
+5. The sets of such a cell are first compared with its smallest. What is then still in different components
+   of a cell is compared inside the cell's task, by pivots again, of which a forest leaves it. Both take whole fingerprints:
+   over ``RADIUS`` differing bits is no link. What is left is decided by the exact Jaccard similarity of the
+   two sets, each made once from its text: pairs with the smallest of a cell by joins, the others
+   inside the task of their group of alike sets, which again only a forest leaves.
+6. Components of the links, as in ``simhash``.
 
 No text is staged, and none is in a row of pairs: texts move once per comparing round, one for each set still in question.
 Defined results: NULL and empty texts have the empty set and are copies of each other; repeated rows and
-NULL ids are as in ``simhash``; texts of one 64-bit hash count as one. The byte comparisons of step 4 (not its rows) grow
-with the square of the unlike documents that share a key, which for the larger sets are those of similarity 0.5 and
-more. A task holds the sketches of one cell, ``BANDS`` * ``ROWS`` bytes for each set, and compares them in blocks;
+NULL ids are as in ``simhash``; texts of one 64-bit hash count as one. The radii lie five standard deviations and more
+above what similarity 0.8 gives. The bit comparisons of steps 4 and 5 (not their rows) grow
+with the square of the unlike documents that share a key. A task holds the fingerprints of one cell and compares them in blocks;
 in the last comparison it holds the sets of one group of alike sets that are not yet linked, whatever their number.
 """
 
@@ -37,17 +43,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import record_batch, sliced, staged, texts_of
-from .simhash import SEED, components, smallest_of_each
+from .simhash import SEED, WORDS, components, joined, near_pairs, smallest_of_each, wide_print
 
 SHINGLE = 5
 LEAST = 0.8
 #: Segments for each shingle in which two sets may differ.
 SPARE = 1.1
-#: Sets up to this size are found by their segments alone, larger ones by bands of minimum hashes.
+#: Sets up to this size also have segments as keys.
 SMALL = 64
-BANDS, ROWS = 40, 8
-#: Equal bytes that two sketches need at least.
-AGREE = 217
+#: Share of the bits in which fingerprints of similarity LEAST differ at most, but for sets of up to TINY shingles.
+FLIPPED = 0.155
+#: Share of such pairs that may share no band.
+MISSED = 6e-4
+#: Sets in a cell on average, at most.
+CELL = 256
+#: Differing bits of a link at most, five standard deviations and more above those of similarity LEAST.
+RADIUS = 224
+TINY, TINY_RADIUS = 4, 260
+#: First words, compared in the cells, and their differing bits at most.
+HEAD, HEAD_RADIUS = 3, 64
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -89,98 +103,108 @@ def segment_keys(own: np.ndarray, least: float = LEAST) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    digests = [xxhash.xxh64_intdigest(f"minimum {i}".encode(), SEED) for i in range(2 * BANDS * ROWS)]
-    values = np.array(digests, np.uint64).astype(np.uint32).reshape(2, -1)
-    return values[0] | np.uint32(1), values[1]
-
-
-FACTOR, SHIFT = _multipliers()
-WEIGHT = (np.arange(1, ROWS + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
-
-
-def minima(own: np.ndarray) -> np.ndarray:
-    """The minimum hashes of a set."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
-    short = (own >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), 512):
-        part = short[at : at + 512, None] * FACTOR + SHIFT
-        low = np.minimum(low, part.min(0))
-    return low
-
-
-def band_keys(low: np.ndarray) -> np.ndarray:
-    rows = low.reshape(BANDS, ROWS).astype(np.uint64)
-    mixed = (rows * WEIGHT).sum(1, dtype=np.uint64)
-    return (mixed ^ (mixed >> np.uint64(29))) * MIX[1] + np.arange(BANDS, dtype=np.uint64) * MIX[2]
-
-
-def keys_of(own: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """Keys and sketch of a set."""
-    keys, low = [], minima(own)
-    if len(own) <= SMALL / LEAST:
-        keys.append(segment_keys(own))
-    if len(own) > SMALL:
-        keys.append(band_keys(low))
-    return np.concatenate(keys), low.astype(np.uint8).tobytes()
+def bands(sets: int) -> np.ndarray:
+    """Places of the bits of each band, a row per band, for so many sets."""
+    width = max(4, math.ceil(math.log2(max(1, sets) / CELL)))
+    count = math.ceil(math.log(MISSED) / math.log(1 - (1 - FLIPPED) ** width))
+    rng = np.random.default_rng(SEED)
+    places: list[np.ndarray] = []
+    free = np.zeros(0, np.int64)
+    for _ in range(count):  # no bit twice before each was used once
+        if len(free) < width:
+            free = rng.permutation(64 * WORDS)
+        places.append(free[:width])
+        free = free[width:]
+    return np.stack(places)
+
+
+def _words(prints: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints and sizes of the sets."""
+    values = prints if isinstance(prints, list) else prints.to_pylist()
+    rows = np.frombuffer(b"".join(values), np.uint64).reshape(-1, WORDS + 1)
+    return rows[:, :WORDS], rows[:, WORDS].astype(np.int64)
+
+
+def radius_of(size: np.ndarray) -> np.ndarray:
+    return np.where(size <= TINY, TINY_RADIUS, RADIUS)
+
+
+def dealt(prints: DataFrame) -> DataFrame:
+    """(key, node, h0, h1, h2): the cells of each set, with the first words of its fingerprint."""
+    places = bands(prints.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.int64(1) << np.arange(places.shape[1], dtype=np.int64)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                node = np.asarray(batch.column("node"), np.int64)
+                words, _ = _words(batch.column("print"))
+                bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1)
+                value = np.stack([bits[:, p] @ weight for p in places], 1).astype(np.uint64)
+                key = (value * MIX[0]) ^ (np.arange(1, len(places) + 1, dtype=np.uint64) * MIX[1])
+                more = batch.column("keys").to_pylist()
+                row = np.r_[np.repeat(np.arange(len(node)), len(places)), np.repeat(np.arange(len(node)), [len(m) for m in more])]
+                key = np.r_[key.reshape(-1).view(np.int64), np.array([k for m in more for k in m], np.int64)]
+                head = words[row, :HEAD].view(np.int64)
+                yield record_batch([("key", key, pa.int64()), ("node", node[row], pa.int64())] + [
+                    (f"h{i}", np.ascontiguousarray(head[:, i]), pa.int64()) for i in range(HEAD)
+                ])
+
+    return prints.mapInArrow(run, "key long, node long, " + ", ".join(f"h{i} long" for i in range(HEAD)))
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, mark, node, keys, sketch); copies within a batch are read once, and only one has keys."""
+    """(id, mark, node, print, keys); copies within a batch are read once, and only one has print and keys."""
     for batch, texts in texts_of(batches, 1 << 21):
         known: dict[int, int] = {}
-        node, keys, sketch = [], [], []
+        node, prints, keys = [], [], []
         for mark, text in zip(batch.column("mark").to_pylist(), texts):
             if mark in known:
                 node.append(known[mark])
+                prints.append(None)
                 keys.append(None)
-                sketch.append(None)
                 continue
             own = shingles(text)
             print_ = xxhash.xxh64_intdigest(own.tobytes(), SEED)
             known[mark] = print_ - (1 << 64) if print_ >= 1 << 63 else print_
             node.append(known[mark])
-            key, byte = keys_of(own)
-            keys.append(key.view(np.int64))
-            sketch.append(byte)
+            prints.append(np.r_[wide_print(own), np.uint64(len(own))].tobytes())
+            keys.append(segment_keys(own).view(np.int64) if len(own) <= SMALL / LEAST else [])
         yield record_batch([
             ("doc_id", batch.column("doc_id"), None), ("mark", batch.column("mark"), None), ("node", node, pa.int64()),
-            ("keys", pa.array(keys, pa.list_(pa.int64())), None), ("sketch", sketch, pa.binary()),
+            ("print", prints, pa.binary()), ("keys", pa.array(keys, pa.list_(pa.int64())), None),
         ])
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, least) of the cells of several nodes, in a partition sorted by key and node."""
+    """(key, node, least): the sets of each cell that are near another one by the first words of their fingerprints,
+    in cells of their own, in a partition sorted by key and node."""
 
-    def several(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    def several(key: np.ndarray, node: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
         size = np.diff(np.r_[begin, len(key)])
-        many = np.repeat(size > 1, size)
-        least = np.repeat(node[begin], size)
-        return record_batch([("key", key[many], pa.int64()), ("node", node[many], pa.int64()), ("least", least[many], pa.int64())])
-
-    key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        least = np.arange(len(key))
+        for at, n in zip(begin[size > 1].tolist(), size[size > 1].tolist()):
+            label = np.arange(n)
+            for x, y in near_pairs(head[at : at + n], np.full(n, HEAD_RADIUS), label):
+                joined(label, x, y)
+            least[at : at + n] = at + label
+        many = np.bincount(least, minlength=len(key))[least] > 1
+        first = node[least[many]]
+        own = key[many] ^ (first.view(np.uint64) * MIX[2]).view(np.int64)
+        return record_batch([("key", own, pa.int64()), ("node", node[many], pa.int64()), ("least", first, pa.int64())])
+
+    key, node, head = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, HEAD), np.uint64)
     for batch in batches:
         key = np.r_[key, np.asarray(batch.column("key"), np.int64)]
         node = np.r_[node, np.asarray(batch.column("node"), np.int64)]
+        words = [np.asarray(batch.column(f"h{i}"), np.int64).view(np.uint64) for i in range(HEAD)]
+        head = np.r_[head, np.stack(words, 1)]
         cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-        yield several(key[:cut], node[:cut])
-        key, node = key[cut:], node[cut:]
-    yield several(key, node)
-
-
-#: Bytes compared at once.
-COMPARED = 1 << 25
-
-
-def _agreeing(sketch: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places x < y of different components whose sketches are alike, a block of x at a time."""
-    step = max(1, COMPARED // max(1, sketch.size))
-    for low in range(0, len(root), step):
-        own = sketch[low : low + step]
-        agree = (own[:, None, :] == sketch[None, low:, :]).sum(2, dtype=np.int32) >= AGREE
-        x, y = np.nonzero(agree & (root[low : low + step, None] != root[None, low:]))
-        yield low + x[x < y], low + y[x < y]
+        yield several(key[:cut], node[:cut], head[:cut])
+        key, node, head = key[cut:], node[cut:], head[cut:]
+    yield several(key, node, head)
 
 
 def _joined(label: list[int], a: int, b: int) -> bool:
@@ -210,51 +234,53 @@ def _cells(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...]
         yield rows
 
 
-def _sketches(values: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.uint8).reshape(-1, BANDS * ROWS)
-
-
 def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return record_batch([("a", [r[0] for r in rows], pa.int64()), ("b", [r[1] for r in rows], pa.int64())])
 
 
 def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest (a, b) of the alike sets of each cell, fewer rows than the cell has sets."""
-    for node, root, sketch in _cells(batches, "key", ("node", "root", "sketch")):
-        label, out = list(range(len(node))), []
-        for x, y in _agreeing(_sketches(sketch), np.array(root, np.int64)):
-            out += [(node[j], node[i]) for i, j in zip(x.tolist(), y.tolist()) if _joined(label, i, j)]
-        yield _pairs(out)
+    for node, root, prints in _cells(batches, "key", ("node", "root", "print")):
+        words, size = _words(prints)
+        label = np.arange(len(node))
+        for x, y in near_pairs(words, radius_of(size), np.array(root, np.int64)):
+            fit = _sizes_fit(size[x], size[y])
+            joined(label, x[fit], y[fit])
+        yield _pairs([(node[i], node[j]) for i, j in enumerate(label.tolist()) if i != j])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) that join the components of a group of alike sets, each compared by its whole set."""
-    for node, root, sketch, own in _cells(batches, "alike", ("node", "root", "sketch", "own")):
+    for node, root, prints, own in _cells(batches, "alike", ("node", "root", "print", "own")):
+        words, size = _words(prints)
         roots = {r: i for i, r in enumerate(sorted(set(root)))}
         label, out = list(range(len(roots))), []
         sets = [np.frombuffer(o, np.uint64) for o in own]
-        for x, y in _agreeing(_sketches(sketch), np.array(root, np.int64)):
-            for i, j in zip(x.tolist(), y.tolist()):
-                small, large = sorted((len(sets[i]), len(sets[j])))
-                if small >= LEAST * large and similarity(sets[i], sets[j]) >= LEAST and _joined(label, roots[root[i]], roots[root[j]]):
+        for x, y in near_pairs(words, radius_of(size), np.array(root, np.int64)):
+            fit = _sizes_fit(size[x], size[y])
+            for i, j in zip(x[fit].tolist(), y[fit].tolist()):
+                if similarity(sets[i], sets[j]) >= LEAST and _joined(label, roots[root[i]], roots[root[j]]):
                     out.append((node[j], node[i]))
         yield _pairs(out)
 
 
-def alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs without those whose sketches differ too much."""
+def _sizes_fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a, b) >= LEAST * np.maximum(a, b)
+
+
+def alike(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """Pairs without those whose fingerprints or sizes differ too much."""
 
     @F.arrow_udf("boolean")
     def near(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
-            out = []
-            for a, b in zip(left.to_pylist(), right.to_pylist()):
-                out.append(int((np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)).sum()) >= AGREE)
-            yield pa.array(out, pa.bool_())
+            (a, m), (b, n) = _words(left), _words(right)
+            differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+            yield pa.array((differ <= np.maximum(radius_of(m), radius_of(n))) & _sizes_fit(m, n))
 
-    one = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-    both = one.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-    return both.filter(near("sa", "sb")).select("a", "b")
+    one = pairs.join(prints.select(F.col("node").alias("a"), F.col("print").alias("pa")), "a")
+    both = one.join(prints.select(F.col("node").alias("b"), F.col("print").alias("pb")), "b")
+    return both.filter(near("pa", "pb")).select("a", "b")
 
 
 def held(nodes: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
@@ -294,30 +320,31 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     marked = docs.select("doc_id", mark.alias("mark"), "text").mapInArrow(
-        _marked, f"doc_id {kind}, mark long, node long, keys array<long>, sketch binary"
+        _marked, f"doc_id {kind}, mark long, node long, print binary, keys array<long>"
     )
     marked = staged(marked, "marked")
     texts = docs.select(mark.alias("mark"), "text")
     sets = staged(marked.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("mark").alias("mark")), "sets")
-    sketches = staged(marked.filter("keys IS NOT NULL").groupBy("node").agg(F.max("sketch").alias("sketch")), "sketches")
-    dealt = marked.select(F.explode("keys").alias("key"), "node").distinct()
-    dealt = dealt.repartition(parts, "key").sortWithinPartitions("key", "node")
-    members = staged(dealt.mapInArrow(_members, "key long, node long, least long"), "members")
+    read = marked.filter("print IS NOT NULL").groupBy("node")
+    prints = staged(read.agg(F.max("print").alias("print"), F.max("keys").alias("keys")), "prints")
+    cells = dealt(prints).repartition(parts, "key").sortWithinPartitions("key", "node")
+    prints = prints.select("node", "print")
+    members = staged(cells.mapInArrow(_members, "key long, node long, least long"), "members")
     first = members.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     first = staged(first, "first")
-    edges = staged(links(staged(alike(first, sketches), "alike"), sets, texts), "links")
+    edges = staged(links(staged(alike(first, prints), "alike"), sets, texts), "links")
     roots = staged(components(edges), "roots")
     named = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     named = staged(named, "named")
     parted = named.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("n")).filter("m <> n").select("key")
-    left = named.join(parted, "key", "left_semi").join(sketches, "node")
+    left = named.join(parted, "key", "left_semi").join(prints, "node")
     left = left.repartition(parts, "key").sortWithinPartitions("key", "node")
     # groups of sets that may be joined: each pair still in question lies in one of them
     groups = components(staged(left.mapInArrow(_crossed, "a long, b long"), "cross"))
     groups = groups.unionByName(groups.select("root").distinct().select(F.col("root").alias("node"), "root"))
     groups = staged(groups.select("node", F.col("root").alias("alike")), "groups")
-    asked = groups.join(sketches, "node").join(held(groups, sets, texts), "node").join(roots, "node", "left")
-    asked = asked.select("alike", "node", F.coalesce("root", "node").alias("root"), "sketch", "own")
+    asked = groups.join(prints, "node").join(held(groups, sets, texts), "node").join(roots, "node", "left")
+    asked = asked.select("alike", "node", F.coalesce("root", "node").alias("root"), "print", "own")
     more = asked.repartition(parts, "alike").sortWithinPartitions("alike", "node").mapInArrow(_verified, "a long, b long")
     roots = components(edges.unionByName(staged(more, "more")))
     rooted = sets.select("node", "first_id").join(roots, "node", "left")

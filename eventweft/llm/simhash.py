@@ -11,6 +11,10 @@
    surviving pairs are verified bit by bit. Of the links of a cell only a spanning forest leaves it.
 5. Components of the links: alternating large and small stars, written to the shared folder per round.
 
+That is op6, as contracted. Sets of shingles whose similarity is only 0.8 differ in some 15 % of the bits: for them
+(``copies``) there are ``WORDS`` words of fingerprint, segments of the width that the data asks for, and pivots that are
+members of the cell, since fingerprints of their own never lie far enough apart to prune at such a radius.
+
 Defined results: NULL and empty texts have fingerprint zero and link like any other; a component's id is
 its smallest doc_id that is not NULL, NULL if there is none; repeated rows stay, one result row each;
 columns other than ``doc_id`` and ``text`` are not read, whatever their names.
@@ -37,6 +41,11 @@ PIVOTS = 16
 CELL = 2048
 #: Pairs held in memory at once.
 PAIRS = 1 << 20
+#: Words of 64 bits of a wide fingerprint.
+WORDS = 16
+SALTS = np.array([xxhash.xxh64_intdigest(f"word {i}".encode(), SEED) for i in range(WORDS)], np.uint64)
+#: Members of a cell for each member that is taken as its pivot, up to PIVOTS.
+SHARE = 64
 
 
 def fingerprint_of(text: str) -> int:
@@ -75,6 +84,87 @@ def pivots(count: int = PIVOTS) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(str(i).encode(), SEED) for i in range(count)], np.uint64)
 
 
+def wide_print(own: np.ndarray) -> np.ndarray:
+    """The ``WORDS`` words of a set of hashes: each bit the majority of that bit over the mixed hashes."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(own), 128):
+        z = own[at : at + 128, None] ^ SALTS
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        ones += np.unpackbits(z.view(np.uint8), axis=1).sum(0, dtype=np.uint8)  # 128 rows fit in a byte
+    return np.packbits(2 * ones > len(own)).view(np.uint64)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of each row of ``a`` and each of ``b``."""
+    total = np.zeros((len(a), len(b)), np.int16)
+    for word in range(a.shape[1]):
+        total += np.bitwise_count(a[:, None, word] ^ b[None, :, word])
+    return total
+
+
+def pivot_table(prints: np.ndarray, count: int) -> tuple[list[int], np.ndarray]:
+    """The members taken as pivots, each the one farthest from those before it, and all distances to them."""
+    chosen, columns = [], []
+    least = np.full(len(prints), np.iinfo(np.int16).max, np.int16)
+    for _ in range(count):
+        chosen.append(int(least.argmax()) if chosen else 0)
+        columns.append(_distances(prints, prints[chosen[-1:]])[:, 0])
+        least = np.minimum(least, columns[-1])
+    return chosen, np.stack(columns, 1) if columns else np.zeros((len(prints), 0), np.int16)
+
+
+def near_pairs(prints: np.ndarray, radius: np.ndarray, apart: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of a cell's pairs that differ in at most ``radius`` bits (the larger of the two) and in ``apart``, in
+    parts. ``apart`` is read anew for each part: places that the caller has joined since are not compared again.
+
+    Pairs with a pivot are read off the table. Of the others those are compared bit by bit whose rows
+    differ by no more than the radius anywhere: by the triangle inequality the rest is farther apart."""
+    n = len(prints)
+    chosen, rows = pivot_table(prints, min(PIVOTS, n // SHARE))
+    for place, row in zip(chosen, rows.T):
+        y = np.flatnonzero((row <= np.maximum(radius, radius[place])) & (apart != apart[place]))
+        if len(y):
+            yield np.full(len(y), place), y
+    widest = int(radius.max())
+    # neighbours in this order have like rows, so that whole blocks are far from others
+    order = np.lexsort((rows.min(1), rows.argmin(1), apart)) if chosen else np.arange(n)
+    step = max(1, min(PAIRS // n, SHARE))
+    for low in range(0, n, step):
+        x, y = order[low : low + step], order[low:]
+        if chosen:
+            near = (rows[y] >= rows[x].min(0) - widest) & (rows[y] <= rows[x].max(0) + widest)
+            behind = np.arange(low, n)[near.all(1)]
+        else:
+            behind = np.arange(low, n)
+        if (apart[x] == apart[x[0]]).all():
+            behind = behind[apart[order[behind]] != apart[x[0]]]
+        y = order[behind]
+        if not len(y):
+            continue
+        differ = _distances(prints[x], prints[y]).reshape(-1)
+        found = np.flatnonzero(differ <= widest)
+        i, j = np.divmod(found, len(y))
+        fine = (behind[j] > low + i) & (apart[x[i]] != apart[y[j]]) & (differ[found] <= np.maximum(radius[x[i]], radius[y[j]]))
+        if fine.any():
+            yield x[i[fine]], y[j[fine]]
+
+
+def joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Gives the components that the pairs join the smallest of their labels, in place."""
+    n = len(label)
+    a, b = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    a, b = np.divmod(np.unique(a[a != b] * n + b[a != b]), n)
+    least = np.arange(n)
+    while len(a):
+        before = least.copy()
+        np.minimum.at(least, a, least[b])
+        np.minimum.at(least, b, least[a])
+        least = least[least]
+        if (least == before).all():
+            break
+    label[:] = least[label]
 
 
 def links_in_cells(start: np.ndarray, size: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
