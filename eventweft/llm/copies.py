@@ -7,7 +7,7 @@
    sets a little more, ``FLIPPED`` at most, but for those of ``TINY`` shingles. Fingerprints that agree on all bits of
    a band meet in a cell. The number of sets gives the width of a band, so that unlike ones leave a cell at some ``CELL`` members;
    the width gives the number of bands, so that a pair of similarity 0.8 meets nowhere with probability ``MISSED``
-   (0.85: below 2e-5 for 200,000 sets); a group is lost only if all its links are. Keys per set grow with the
+   (0.85: some 2e-5 for 200,000 sets); a group is lost only if all its links are. Keys per set grow with the
    number of sets, with its power 0.24.
 3. Beside them, sets up to ``SMALL`` / ``LEAST`` shingles have exact keys: two sets of similarity ``LEAST`` differ in at most a
    (1-LEAST)/(1+LEAST) share of the sum of their sizes. Sets of one size level (powers of 1/LEAST; each set is dealt to
