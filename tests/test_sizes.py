@@ -109,6 +109,36 @@ def test_rows_get_types_and_ids_outside_lambdas_and_agree_with_the_wide_frame(sp
     assert sorted(map(str, told.all_rows(name).collect())) == sorted(map(str, wide.collect()))
 
 
+def versions(spark, star):
+    """Order events, and all of them again a day later under other ids."""
+    events = corpus.make_order_events(spark, star)
+    later = events.withColumns({"id": F.col("id") + 1000, "event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 1 DAY")})
+    return events.unionByName(later)
+
+
+def test_only_the_bytes_of_both_sides_ids_of_a_link_move(spark, star):
+    events = versions(spark, star)
+    for link in ORDERS.links:
+        rows = open_batch(events, ORDERS).succeeded(link.name)
+        text = plan(rows)
+        at = text.index("Exchange hashpartitioning(" + link.left_column)
+        # ids of the sides are packed below the shuffle, the link's own is made above it
+        assert "unhex(replace(" in text[at:] and "unhex(replace(" not in text[:at] and "sha1" in text[:at]
+        wide = open_batch(events, ORDERS, stage=True).succeeded(link.name)
+        assert sorted(map(str, rows.collect())) == sorted(map(str, wide.collect())) != []
+
+
+@pytest.mark.parametrize("name", [e.name for e in ORDERS.entities if e.name != "product"])
+def test_versions_are_told_by_the_text_of_their_id_which_is_made_once(spark, star, name):
+    events = versions(spark, star)
+    rows = open_batch(events, ORDERS).succeeded(name)
+    text = plan(rows)
+    at = text.index("Exchange hashpartitioning")
+    assert "sha1" in text[:at] and (name == "purchase" or "sha1" not in text[at:])  # a purchase holds its customer's id
+    wide = open_batch(events, ORDERS, stage=True).succeeded(name)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, wide.collect())) != []
+
+
 def test_counts_off_rows_agree_with_the_wide_frame(spark, star):
     events = corpus.make_order_events(spark, star)
     wide = S.shred(S.working_events(events, ORDERS), ORDERS)
