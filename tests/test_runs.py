@@ -257,6 +257,44 @@ def test_model_per_stream_batch(spark, base, tmp_path):
     assert stored.count() == stored.select("id").distinct().count() == 25
 
 
+def test_lanes_take_each_file_once_wherever_it_lies(spark, base, tmp_path):
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    for k in range(20, 30):
+        write_file(base, dt.date(2025, 3, k), 100 + k, 100 + k, [(100 + k, event(k))])
+    for i, folder in ((200, "."), (201, "old"), (202, "old/er"), (203, "year=2025/month=03/day=07/hour=01"), (204, "a/b/c/d")):
+        os.makedirs(os.path.join(base, folder), exist_ok=True)
+        write_file(base, dt.date(2025, 3, 9), i, i, [(i, event(i))], name="moved.csv")
+        os.replace(os.path.join(base, "year=2025/month=03/day=09/moved.csv"), os.path.join(base, folder, f"raw_data_{i}-{i}.csv"))
+
+    def run():
+        lanes = ingest.landing_lanes(spark, base, 1)
+        done = ingest.run_lanes(lanes, mark, ingest.write_lanes(out))
+        return sum(any(p["numInputRows"] for p in q.recentProgress) for q in done)
+
+    assert run() == 10  # side by side: each lane has files of its own
+    want = [*range(1, 21), *range(31, 36), *range(120, 130), *range(200, 205)]
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == want
+    write_file(base, DAY, 61, 62, [(61, event(61))])
+    assert run() == 1
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted([*want, 61])
+
+
+def test_a_failure_in_one_lane_is_raised_and_loses_nothing(spark, base, tmp_path):
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+
+    def broken(lane):
+        def write(batch, number):
+            raise RuntimeError("disk full")
+
+        return write if lane == 1 else ingest.write_numbered(f"{out}/lane={lane}")
+
+    with pytest.raises(Exception, match="disk full"):
+        ingest.run_lanes(ingest.landing_lanes(spark, base), mark, broken)
+    assert not spark.streams.active
+    ingest.run_lanes(ingest.landing_lanes(spark, base), mark, ingest.write_lanes(out))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [*range(1, 21), *range(31, 36)]
+
+
 # The hospitality model
 
 
