@@ -139,6 +139,17 @@ def test_versions_are_told_by_the_text_of_their_id_which_is_made_once(spark, sta
     assert sorted(map(str, rows.collect())) == sorted(map(str, wide.collect())) != []
 
 
+def test_ids_alone_need_no_other_columns(spark, star):
+    part, events = S.for_ids(ORDERS), versions(spark, star)
+    holed = events.withColumn("raw", F.when(F.col("id") % 20 == 11, F.regexp_replace("raw", '"(name|number|partKey|at|amount)":', '"no":')).otherwise(F.col("raw")))
+    batch, whole = open_batch(holed, part, stage="documents"), open_batch(holed, ORDERS, stage=True)
+    read = batch.documents.schema["doc"].dataType.simpleString()
+    assert "partKey" in read and "ship" not in read and "vip" not in read and "priority" not in read
+    for e in ORDERS.entities:
+        ids = [sorted(map(str, b.succeeded(e.name).select("id", "source_id").collect())) for b in (batch, whole)]
+        assert ids[0] == ids[1] and (ids[0] or e.name == "product")
+
+
 def test_counts_off_rows_agree_with_the_wide_frame(spark, star):
     events = corpus.make_order_events(spark, star)
     wide = S.shred(S.working_events(events, ORDERS), ORDERS)
